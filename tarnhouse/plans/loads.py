@@ -77,9 +77,10 @@ def load_incremental(
         window = source.filter(window_predicate(source, table.mark, start, end))
     name = table.path.rstrip("/").rsplit("/", 1)[-1]
     staged = table.spark.read.parquet(write_staging(window, staging_root, name))
+    landed = staged.count()
     done = create_or_upsert(table, staged)
     return LoadResult(
-        done.rows, done.rows, done.inserted, done.updated, done.max_mark, SUCCEEDED, begun, _now()
+        landed, landed, done.inserted, done.updated, done.max_mark, SUCCEEDED, begun, _now()
     )
 
 
