@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tarnhouse.catalogue import model as m
 from tarnhouse.catalogue.registry import query
+from tarnhouse.functions.dates import load_time
 from tarnhouse.operators.aggregates import summarize_columns
 from tarnhouse.plans import trips as tr
 from tarnhouse.plans.calendars import build_calendar
@@ -410,9 +411,6 @@ def truncate_load(spark: SparkSession, sf: str) -> DataFrame:
     return table.read()
 
 
-REVIEW = ("listing_id", "date", "reviewer_name", "comments", "sentiment")
-
-
 @query(
     "append_rows",
     """SELECT user_id AS listing_id, ts AS date, event_type AS reviewer_name, props AS comments,
@@ -435,7 +433,7 @@ def append_rows(spark: SparkSession, sf: str) -> DataFrame:
     table.append(
         m.table(spark, sf, "customer").select(
             F.col("c_custkey").alias("listing_id"),
-            F.lit("2024-02-01 12:00:00").cast("timestamp_ntz").alias("date"),
+            load_time("2024-02-01 12:00:00").alias("date"),
             F.col("c_name").alias("reviewer_name"),
             F.lit("excellent stay!").alias("comments"),
             F.lit("positive").alias("sentiment"),

@@ -87,6 +87,12 @@ def years_customer(opened: str | Column, as_of: str | date | Column | None = Non
     return F.year(today) - F.year(_col(opened))
 
 
+def load_time(as_of: str | None = None) -> Column:
+    """The time of loading, or a fixed one for a load that is repeated."""
+    now = F.current_timestamp() if as_of is None else F.lit(as_of)
+    return now.cast("timestamp_ntz")
+
+
 def date_from_us_text(column: str | Column) -> Column:
     """A date written month first, as in ``1/31/2013``; unreadable text is null."""
     return F.try_to_date(_col(column), "M/d/yyyy")
