@@ -27,8 +27,9 @@ def surrogate_key(
     spark = df.sparkSession
     path = staging or scratch_path(spark, name)
     # Position: the task in the high bits, the row within the task in the low ones.
-    df.orderBy(*order_by).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
-    stored = spark.read.parquet(path)
+    placed = df.orderBy(*order_by).withColumn("_at", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    stored = spark.read.schema(placed.schema).parquet(path)
     task = F.shiftright("_at", _PARTITION_BITS)
     sizes = stored.groupBy(task.alias("task")).agg(F.count("*").alias("rows")).collect()
     offsets, before = {}, 0

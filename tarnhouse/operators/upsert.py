@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnhouse.operators.filters import filter_between
-from tarnhouse.sources.lake import BUCKET, LakeTable, bucket_of
+from tarnhouse.sources.lake import BUCKET, LakeTable, bucket_of, conform
 
 FIRST_MARK = datetime(2013, 1, 1)
 LAST_MARK = datetime(9999, 12, 31)
@@ -77,52 +77,42 @@ def merged_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return updated.unionByName(inserted)
 
 
-def _reject_ambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
-    """Fail when several source rows match one target row; which one wins is undefined."""
-    repeated = source.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
-    if not repeated.isEmpty() and not target.join(repeated, list(keys), "left_semi").isEmpty():
-        raise ValueError("several source rows match the same target row")
-
-
 def upsert(table: LakeTable, source: DataFrame) -> UpsertResult:
     """Update the rows of ``table`` that ``source`` matches and add the others.
 
-    ``source`` is read several times, so pass stored rows rather than a long plan.
+    Several source rows that match one target row are an error, since it is undefined
+    which of them wins; the table then stays as it was. ``source`` is read several
+    times, so pass stored rows rather than a long plan.
     """
     keys = list(table.keys)
-    version, folders, layout = table.snapshot()
-    if not version:
+    base = table.snapshot()
+    if base is None:
         raise FileNotFoundError(f"no table at {table.path}")
-    columns = table.read_folders(folders).schema
-    missing = {c.name for c in columns} - set(source.columns)
-    if missing:
-        raise ValueError(f"the source lacks columns {sorted(missing)}")
-    source = source.select(*[F.col(c.name).cast(c.dataType) for c in columns])
-
-    touched, kept = folders, []
-    if layout:
-        buckets = {
-            r[0] for r in source.select(bucket_of(layout, keys).alias(BUCKET)).distinct().collect()
-        }
-        touched = [f for f in folders if f.bucket in buckets]
-        kept = [f for f in folders if f.bucket not in buckets]
-    # A source whose buckets are all new needs the stored schema, but no stored row.
-    target = table.read_folders(touched) if touched else table.read_folders(folders).limit(0)
-
-    _reject_ambiguous(target, source, keys)
-    changes = Observation()
-    written = table.write_data(
+    source = conform(source, base.schema)
+
+    touched, kept = base.folders, []
+    if base.layout:
+        bucket = bucket_of(base.layout, keys).alias(BUCKET)
+        buckets = {row[0] for row in source.select(bucket).distinct().collect()}
+        touched = [f for f in base.folders if f.bucket in buckets]
+        kept = [f for f in base.folders if f.bucket not in buckets]
+
+    target = table.read_folders(touched, base.schema)
+    written, changes = table.write_data(
         merged_rows(target, source, keys),
-        layout,
+        base.layout,
         helpers=["_change"],
-        observation=changes,
-        metrics=[F.count_if(F.col("_change") == "update").alias("updated")],
+        metrics=[
+            F.count_if(F.col("_change") == "insert").alias("inserted"),
+            F.count_if(F.col("_change") == "update").alias("updated"),
+        ],
     )
-    table.publish(version, kept + written, layout)
-
-    inserted = sum(f.rows for f in written) - sum(f.rows for f in touched)
-    updated = changes.get["updated"]
-    return UpsertResult(inserted + updated, inserted, updated, table.max_mark())
+    inserted, updated = changes.get("inserted", 0), changes.get("updated", 0)
+    # Every target row appears once, unless several source rows matched it.
+    if sum(f.rows for f in written) - inserted > sum(f.rows for f in touched):
+        raise ValueError("several source rows match the same target row")
+    done = table.publish(base, kept + written, base.layout, base.schema)
+    return UpsertResult(inserted + updated, inserted, updated, done.max_mark)
 
 
 def create_or_upsert(table: LakeTable, source: DataFrame) -> UpsertResult:

@@ -1,7 +1,7 @@
 """Lake tables: Parquet folders plus a small manifest of the folders that are current.
 
 ``<path>/data/<folder>/`` holds Parquet files and is never changed once written.
-``<path>/manifest/version=<n>/`` holds one small JSON file; each row of the newest
+``<path>/manifest/<n>/`` holds one small JSON file; each row of the newest
 version names one live folder. A load writes its data first and the manifest last, so a load that fails part-way leaves the previous version in place, and a
 plan may read the table it replaces.
 
@@ -11,18 +11,21 @@ the buckets its source touches and carries the other folders over.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tarnhouse.session import path_exists
+from tarnhouse.session import child_names
 
 BUCKET = "_bucket"
-ENTRY = "bucket long, folder string, rows long, mark string, layout string"
+ENTRY = "bucket long, folder string, rows long, mark string, layout string, schema string"
 
 
 def hash_layout(buckets: int) -> str:
@@ -52,6 +55,25 @@ class Folder:
     mark: str | None
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """One version of a table: its folders, bucket layout and columns."""
+
+    version: int
+    folders: list[Folder]
+    layout: str | None
+    schema: StructType
+
+    @property
+    def rows(self) -> int:
+        return sum(f.rows for f in self.folders)
+
+    @property
+    def max_mark(self) -> datetime | None:
+        marks = [datetime.fromisoformat(f.mark) for f in self.folders if f.mark is not None]
+        return max(marks, default=None)
+
+
 @dataclass(frozen=True)
 class LakeTable:
     """A table by path. ``keys`` are the upsert keys, ``mark`` the high-water column."""
@@ -64,45 +86,59 @@ class LakeTable:
 
     # -- reading -----------------------------------------------------------
 
-    def _manifest(self) -> DataFrame | None:
-        if not path_exists(self.spark, f"{self.path}/manifest"):
-            return None
-        return self.spark.read.schema(f"version long, {ENTRY}").json(f"{self.path}/manifest")
+    def snapshot(self) -> Snapshot | None:
+        """The newest complete version, or none before the first write.
 
-    def snapshot(self) -> tuple[int, list[Folder], str | None]:
-        """Newest version, its live folders and its bucket layout.
-
-        The rows collected here are one per live folder of one version.
+        Only the newest manifest is read; its rows are one per live folder.
         """
-        manifest = self._manifest()
-        if manifest is None:
-            return 0, [], self.layout
-        newest = manifest.agg(F.max("version")).head()[0]
-        if newest is None:
-            return 0, [], self.layout
-        rows = manifest.filter(F.col("version") == newest).collect()
-        folders = [Folder(r["bucket"], r["folder"], r["rows"], r["mark"]) for r in rows]
-        return newest, folders, rows[0]["layout"]
+        version = self._newest()
+        if not version:
+            return None
+        rows = self.spark.read.schema(ENTRY).json(f"{self.path}/manifest/{version}").collect()
+        folders = [
+            Folder(r["bucket"], r["folder"], r["rows"], r["mark"]) for r in rows if r["folder"]
+        ]
+        schema = StructType.fromJson(json.loads(rows[0]["schema"]))
+        return Snapshot(version, folders, rows[0]["layout"], schema)
+
+    def _versions(self) -> list[int]:
+        names = child_names(self.spark, f"{self.path}/manifest")
+        return [int(name) for name in names if name.isdigit()]
+
+    def _newest(self) -> int:
+        """Number of the newest version whose manifest is complete, 0 without one."""
+        for version in sorted(self._versions(), reverse=True):
+            if "_SUCCESS" in child_names(self.spark, f"{self.path}/manifest/{version}"):
+                return version
+        return 0
+
+    def _stored(self) -> Snapshot:
+        snapshot = self.snapshot()
+        if snapshot is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return snapshot
 
     def exists(self) -> bool:
-        return self.snapshot()[0] > 0
+        return self._newest() > 0
 
     def read(self) -> DataFrame:
-        version, folders, _ = self.snapshot()
-        if not version:
-            raise FileNotFoundError(f"no table at {self.path}")
-        return self.read_folders(folders)
+        snapshot = self._stored()
+        return self.read_folders(snapshot.folders, snapshot.schema)
 
-    def read_folders(self, folders: list[Folder]) -> DataFrame:
-        return self.spark.read.parquet(*[f"{self.path}/data/{f.folder}" for f in folders])
+    def read_folders(self, folders: list[Folder], schema: StructType) -> DataFrame:
+        """The rows of some folders. The stored schema spares a look into the files."""
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path}/data/{f.folder}" for f in folders]
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def row_count(self) -> int:
-        return sum(f.rows for f in self.snapshot()[1])
+        return self._stored().rows
 
     def max_mark(self) -> datetime | None:
-        """Largest value of the mark column, from the manifest and without a scan."""
-        marks = [f.mark for f in self.snapshot()[1] if f.mark is not None]
-        return max((datetime.fromisoformat(m) for m in marks), default=None)
+        """Newest value of the mark column, from the manifest and without a scan."""
+        snapshot = self.snapshot()
+        return snapshot.max_mark if snapshot else None
 
     # -- writing -----------------------------------------------------------
 
@@ -111,85 +147,87 @@ class LakeTable:
         df: DataFrame,
         layout: str | None,
         helpers: Sequence[str] = (),
-        observation: Observation | None = None,
         metrics: Sequence[Column] = (),
-    ) -> list[Folder]:
+    ) -> tuple[list[Folder], dict[str, Any]]:
         """Write rows below a new data folder and describe what was written.
 
-        Counts and marks come from the committed files, so they stay exact when tasks
-        are retried; the scan reads the mark column alone. ``metrics`` are observed in
-        the writing stage itself, behind the last shuffle, for the same reason; the
-        ``helpers`` columns serve them and are not stored.
+        Rows, newest mark and ``metrics`` are observed in the writing stage, behind the
+        last shuffle: Spark counts each of its tasks once, however often it is tried.
+        ``helpers`` are columns the metrics need; they are not stored. For a table in
+        buckets the counts per bucket come from the files, reading the mark column alone.
         """
         folder = uuid.uuid4().hex
         target = f"{self.path}/data/{folder}"
         if layout:
             df = df.withColumn(BUCKET, bucket_of(layout, list(self.keys))).hint("rebalance", BUCKET)
-        if observation:
-            df = df.observe(observation, *metrics)
-        df = df.drop(*helpers)
-        writer = df.write.partitionBy(BUCKET) if layout else df.write
-        writer.parquet(target)
-        written = self.spark.read.schema(
-            df.select(*([self.mark] if self.mark else [])).schema.add(BUCKET, "long")
-        ).parquet(target)
-        mark = F.max(F.col(self.mark).cast("timestamp_ntz")) if self.mark else F.lit(None)
-        groups = [BUCKET] if layout else []
-        stats = written.groupBy(*groups).agg(
-            F.count("*").alias("rows"), mark.cast("string").alias("mark")
-        )
-        return [
-            Folder(
-                r[BUCKET] if layout else None,
-                f"{folder}/{BUCKET}={r[BUCKET]}" if layout else folder,
-                r["rows"],
-                r["mark"],
-            )
+        rows = F.count(F.lit(1)).alias("rows")
+        mark = F.max(F.col(self.mark).cast("timestamp_ntz")) if self.mark else F.max(F.lit(None))
+        mark = mark.cast("string").alias("mark")
+        seen = Observation()
+        df = df.observe(seen, rows, mark, *metrics).drop(*helpers)
+        if not layout:
+            df.write.parquet(target)
+            observed = seen.get
+            entry = Folder(None, folder, observed.get("rows", 0), observed.get("mark"))
+            return [entry], observed
+        df.write.partitionBy(BUCKET).parquet(target)
+        stored = df.select(*([self.mark] if self.mark else [])).schema.add(BUCKET, "long")
+        stats = self.spark.read.schema(stored).parquet(target).groupBy(BUCKET).agg(rows, mark)
+        entries = [
+            Folder(r[BUCKET], f"{folder}/{BUCKET}={r[BUCKET]}", r["rows"], r["mark"])
             for r in stats.collect()
-        ] or [Folder(None, folder, 0, None)]
+        ]
+        return entries, seen.get
 
-    def publish(self, base: int, folders: list[Folder], layout: str | None) -> int:
+    def publish(
+        self, base: Snapshot | None, folders: list[Folder], layout: str | None, schema: StructType
+    ) -> Snapshot:
         """Make ``folders`` the current version, provided ``base`` still is.
 
         A table has one writer at a time; a version that appeared since ``base`` was
-        read is an error. A number left behind by a writer that died is passed over.
+        read is an error. Numbers left behind by a writer that died are passed over.
         """
-        rows = [(f.bucket, f.folder, f.rows, f.mark, layout) for f in folders]
+        known = base.version if base else 0
+        if self._newest() != known:
+            raise RuntimeError(f"another writer changed {self.path}")
+        version = max([known, *self._versions()]) + 1
+        # A table without rows still has a manifest row to carry its schema.
+        listed = folders or [Folder(None, "", 0, None)]
+        rows = [(f.bucket, f.folder, f.rows, f.mark, layout, schema.json()) for f in listed]
         entries = self.spark.createDataFrame(rows, ENTRY).coalesce(1)
-        version = base + 1
-        while True:
-            target = f"{self.path}/manifest/version={version}"
-            if not path_exists(self.spark, target):
-                entries.write.json(target)
-                return version
-            if self.snapshot()[0] != base:
-                raise RuntimeError(f"another writer changed {self.path}")
-            version += 1
+        entries.write.json(f"{self.path}/manifest/{version}")
+        return Snapshot(version, folders, layout, schema)
 
     def overwrite(self, df: DataFrame) -> int:
         """Replace the whole table; returns the number of rows written."""
-        version, _, _ = self.snapshot()
-        folders = self.write_data(df, self.layout)
-        self.publish(version, folders, self.layout)
-        return sum(f.rows for f in folders)
+        return self._replace(self.snapshot(), df)
+
+    def _replace(self, base: Snapshot | None, df: DataFrame) -> int:
+        folders, _ = self.write_data(df, self.layout)
+        return self.publish(base, folders, self.layout, df.schema).rows
 
     def create(self, df: DataFrame) -> int:
         """First save of a table; an existing table is an error."""
         if self.exists():
             raise FileExistsError(f"table exists at {self.path}")
-        return self.overwrite(df)
+        return self._replace(None, df)
 
     def truncate_load(self, df: DataFrame) -> int:
         """Replace all rows and keep the stored columns, their order and their types."""
-        stored = self.read().schema
-        return self.overwrite(df.select(*[F.col(c.name).cast(c.dataType) for c in stored]))
+        base = self._stored()
+        return self._replace(base, conform(df, base.schema))
 
     def append(self, df: DataFrame) -> int:
         """Add rows in a new folder; nothing already stored is read or moved."""
-        version, folders, layout = self.snapshot()
-        if version:
-            stored = self.read_folders(folders).schema
-            df = df.select(*[F.col(c.name).cast(c.dataType) for c in stored])
-        added = self.write_data(df, layout)
-        self.publish(version, folders + added, layout)
+        base = self._stored()
+        added, _ = self.write_data(conform(df, base.schema), base.layout)
+        self.publish(base, base.folders + added, base.layout, base.schema)
         return sum(f.rows for f in added)
+
+
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` by name, cast to its types."""
+    missing = set(schema.names) - set(df.columns)
+    if missing:
+        raise ValueError(f"columns missing: {sorted(missing)}")
+    return df.select(*[F.col(c.name).cast(c.dataType) for c in schema])
