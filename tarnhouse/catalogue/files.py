@@ -18,7 +18,7 @@ from tarnhouse.operators.aggregates import summarize_columns
 from tarnhouse.plans import trips as tr
 from tarnhouse.plans.calendars import build_calendar
 from tarnhouse.plans.gold import dim_supplier
-from tarnhouse.session import scratch_path
+from tarnhouse.session import local_rows, scratch_path
 from tarnhouse.sources import files as fs
 from tarnhouse.sources.budget import scan_budget, unpivot_budget
 from tarnhouse.sources.database import ParquetSource, scan_source_query
@@ -143,7 +143,7 @@ def budget_sheet(spark: SparkSession, sf: str, folder: str, file: str) -> None:
         ",," + ",".join(str(year) for _, year, _ in BUDGET_CELLS),
         "Category,Segment," + ",".join(month for _, _, month in BUDGET_CELLS),
     ]
-    top = spark.createDataFrame(list(enumerate(head)), "at int, value string")
+    top = local_rows(spark, list(enumerate(head)), "at int, value string")
     lines = top.unionByName(sheet).coalesce(1).sortWithinPartitions("at", "value")
     lines.select("value").write.text(f"{folder}/{file}")
 
@@ -250,7 +250,7 @@ def scan_entity_query(spark: SparkSession, sf: str) -> DataFrame:
         "partitions": [{"name": n, "location": f"{folder}/{n}"} for n in halves],
     }
     text = json.dumps({"name": "Model", "entities": [entity]})
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/model")
+    local_rows(spark, [(text,)], "value string").coalesce(1).write.text(f"{folder}/model")
     return scan_entity(spark, f"{folder}/model", "Customer")
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnhouse.session import scratch_path
+from tarnhouse.session import local_rows, scratch_path
 
 _PARTITION_BITS = 33
 
@@ -36,7 +36,7 @@ def surrogate_key(
     for row in sorted(sizes, key=lambda r: r["task"]):
         offsets[row["task"]] = before
         before += row["rows"]
-    starts = spark.createDataFrame(list(offsets.items()) or [(0, 0)], "_task long, _before long")
+    starts = local_rows(spark, list(offsets.items()), "_task long, _before long")
     row = F.col("_at").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
     key = (F.col("_before") + row + 1).cast("int" if before < 2**31 else "long")
     return (

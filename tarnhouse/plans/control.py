@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tarnhouse.operators.sets import union_distinct
+from tarnhouse.session import local_rows
 
 RUN_COLUMNS = (
     "batchloaddatetime timestamp_ntz, loadstatus string, rowsread long, rowscopied long, "
@@ -69,16 +72,15 @@ def control_rows(spark: SparkSession, pipeline: str, rows: list[tuple], sink_sch
     """
     run = (None,) * len(RUN_COLUMNS.split(","))
     values = [
-        (pipeline, schema, table, date, START if date else None, end, sink_schema, sink, kind, key, key2, False, *run)
-        for schema, table, date, end, sink, kind, key, key2 in rows
-    ]
-    text = CONTROL.replace("startdate timestamp_ntz", "startdate string").replace(
-        "enddate timestamp_ntz", "enddate string"
-    )
-    frame = spark.createDataFrame(values, text)
-    return frame.withColumns(
-        {c: frame[c].cast("timestamp_ntz") for c in ("startdate", "enddate")}
-    )
+        (
+            pipeline, schema, table, column,
+            datetime.fromisoformat(START) if column else None,
+            datetime.fromisoformat(end) if end else None,
+            sink_schema, sink, kind, key, key2, False, *run,
+        )
+        for schema, table, column, end, sink, kind, key, key2 in rows
+    ]
+    return local_rows(spark, values, CONTROL)
 
 
 def control_table(*parts: DataFrame) -> DataFrame:

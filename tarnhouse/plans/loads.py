@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tarnhouse.operators.filters import filter_enabled, window_predicate
 from tarnhouse.operators.upsert import create_or_upsert, update_then_insert
 from tarnhouse.plans.control import CONTROL_KEYS, FULL
+from tarnhouse.session import local_rows
 from tarnhouse.sources.files import write_staging
 from tarnhouse.sources.lake import LakeTable
 
@@ -147,8 +148,8 @@ def run_log(control: LakeTable, batch: datetime, results: Sequence[tuple[Row, Lo
         updated.append(new)
     if updated:
         schema = control.read().schema
-        frame = control.spark.createDataFrame(
-            [tuple(u[c] for c in schema.names) for u in updated], schema
+        frame = local_rows(
+            control.spark, [tuple(u[c] for c in schema.names) for u in updated], schema
         )
         create_or_upsert(control, frame)
 
@@ -209,7 +210,8 @@ def summary(results: dict[str, LoadResult], spark: SparkSession) -> DataFrame:
         (name, r.status, r.rows_read, r.inserted, r.updated, r.max_mark)
         for name, r in sorted(results.items())
     ]
-    return spark.createDataFrame(
+    return local_rows(
+        spark,
         rows,
         "sinktable string, loadstatus string, rowsread long, rowsinserted long, "
         "rowsupdated long, maxdatetime timestamp_ntz",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tarnhouse.session import local_rows
 from tarnhouse.sources.lake import LakeTable
 
 # Table and columns.
@@ -42,4 +43,4 @@ def warehouse_table(spark: SparkSession, root: str, name: str) -> LakeTable:
 def create_tables(spark: SparkSession, root: str) -> None:
     """Create every warehouse table empty, dropping what it held."""
     for name, schema in TABLES.items():
-        warehouse_table(spark, root, name).overwrite(spark.createDataFrame([], schema))
+        warehouse_table(spark, root, name).overwrite(local_rows(spark, [], schema))

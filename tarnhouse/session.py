@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,6 +65,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tarnhouse/{name}-{uuid.uuid4().hex}"
 
 
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A few rows held by the driver as a DataFrame.
+
+    They go over as one Arrow table, which starts no Python worker and leaves Spark
+    knowing their size.
+    """
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    arrow = to_arrow_schema(fields)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), fields)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in a folder; none when it does not exist."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

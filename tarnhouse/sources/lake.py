@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarnhouse.session import child_names
+from tarnhouse.session import child_names, local_rows
 
 BUCKET = "_bucket"
 ENTRY = "bucket long, folder string, rows long, mark string, layout string, schema string"
@@ -128,7 +128,7 @@ class LakeTable:
     def read_folders(self, folders: list[Folder], schema: StructType) -> DataFrame:
         """The rows of some folders. The stored schema spares a look into the files."""
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return local_rows(self.spark, [], schema)
         paths = [f"{self.path}/data/{f.folder}" for f in folders]
         return self.spark.read.schema(schema).parquet(*paths)
 
@@ -194,7 +194,7 @@ class LakeTable:
         # A table without rows still has a manifest row to carry its schema.
         listed = folders or [Folder(None, "", 0, None)]
         rows = [(f.bucket, f.folder, f.rows, f.mark, layout, schema.json()) for f in listed]
-        entries = self.spark.createDataFrame(rows, ENTRY).coalesce(1)
+        entries = local_rows(self.spark, rows, ENTRY).coalesce(1)
         entries.write.json(f"{self.path}/manifest/{version}")
         return Snapshot(version, folders, layout, schema)
 
