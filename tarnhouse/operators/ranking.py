@@ -21,13 +21,14 @@ def surrogate_key(
     The keys equal ``row_number() over (order by …)``, but no task sees all rows: the
     rows are sorted over many tasks and stored once with their position, then the
     number of rows in the tasks before is added. That offset table has one row per task
-    of the sort, whatever the size of the data. Make ``order_by`` unique; rows that tie
-    on it may be numbered either way round.
+    of the sort, whatever the size of the data. Rows that tie on ``order_by`` may be
+    numbered either way round; a hash of the whole row orders them, so that many ties
+    still spread over many tasks.
     """
     spark = df.sparkSession
     path = staging or scratch_path(spark, name)
     # Position: the task in the high bits, the row within the task in the low ones.
-    placed = df.orderBy(*order_by).withColumn("_at", F.monotonically_increasing_id())
+    placed = df.orderBy(*order_by, F.xxhash64(*df.columns)).withColumn("_at", F.monotonically_increasing_id())
     placed.write.parquet(path)
     stored = spark.read.schema(placed.schema).parquet(path)
     task = F.shiftright("_at", _PARTITION_BITS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
@@ -170,19 +170,24 @@ def run_loads(
     stage: int = 1,
     warehouse: bool = False,
     batch: datetime | None = None,
+    layouts: Mapping[str, str] | None = None,
 ) -> dict[str, LoadResult]:
     """Load every active control row and write the outcome back.
 
     ``source(schema, table)`` gives the rows to load. Tables go to ``<root>/Tables`` and
-    increments to ``<root>/Files``. Up to four loads run at once; each submits its own
-    Spark jobs, so under the fair scheduler they share the cluster.
+    increments to ``<root>/Files``. ``layouts`` gives the bucket layout of target tables,
+    so that an increment rewrites only the buckets it touches. Up to four loads run at
+    once, each in its own scheduler pool, so under the fair scheduler they share the
+    cluster.
     """
     rows = filter_enabled(control.read(), stage).collect()
 
     def load(row: Row) -> LoadResult:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", row["sinktable"])
         keys = tuple(k for k in (row["tablekey"], row["tablekey2"]) if k)
         parts = [root, "Tables", row["sinkschema"], row["sinktable"]]
-        table = LakeTable(spark, "/".join(p for p in parts if p), keys, row["datecolumn"])
+        layout = (layouts or {}).get(row["sinktable"])
+        table = LakeTable(spark, "/".join(p for p in parts if p), keys, row["datecolumn"], layout)
         rows_in = source(row["sourceschema"], row["sourcetable"])
         window = (row["startdate"], row["enddate"])
         if warehouse:
