@@ -14,6 +14,7 @@ from tarnhouse.functions import numbers as N
 from tarnhouse.functions import text as T
 from tarnhouse.operators import filters as fl
 from tarnhouse.operators import shaping as sh
+from tarnhouse.plans.stages import GEOGRAPHY
 
 
 @query(
@@ -21,7 +22,7 @@ from tarnhouse.operators import shaping as sh
     m.sql("SELECT * EXCLUDE (DeliveryLocation) FROM m_customers"),
 )
 def drop_unsupported(spark: SparkSession, sf: str) -> DataFrame:
-    return sh.drop_unsupported(m.customers(spark, sf), "DeliveryLocation")
+    return sh.drop_unsupported(m.customers(spark, sf), *GEOGRAPHY["Customers"])
 
 
 @query(

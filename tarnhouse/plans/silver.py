@@ -35,15 +35,6 @@ SILVER_FILES = {
     "silver_Suppliers": "Suppliers.csv",
 }
 
-# Columns left out of a source table because they hold geography.
-GEOGRAPHY = {
-    "Cities": ["Location"],
-    "Countries": ["Border"],
-    "StateProvinces": ["Border"],
-    "Suppliers": ["DeliveryLocation"],
-    "Customers": ["DeliveryLocation"],
-}
-
 
 def load_silver(spark: SparkSession, folder: str, root: str, tables: list[str] | None = None) -> dict[str, int]:
     """Overwrite silver tables from pipe-delimited bronze files; returns rows per table."""

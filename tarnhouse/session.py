@@ -26,17 +26,38 @@ SETTINGS = {
 }
 
 
-def get_session(app_name: str = "tarnhouse", master: str | None = None, **conf: str) -> SparkSession:
+# Shuffled bytes per task to aim for before adaptive execution merges small partitions.
+SHUFFLE_TASK_BYTES = 128 << 20
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for inputs of this size: about 800,000 for 100 TB.
+
+    Adaptive execution merges partitions that turn out small, so too many cost little,
+    while too few would spill.
+    """
+    return max(200, -(-input_bytes // SHUFFLE_TASK_BYTES))
+
+
+def get_session(
+    app_name: str = "tarnhouse",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the settings the library is written for.
 
-    ``conf`` adds or overrides settings; write dots as double underscores, so
-    ``spark__sql__shuffle__partitions="8"``.
+    ``input_bytes``, the size of the largest input, sets the number of shuffle
+    partitions. ``conf`` adds or overrides settings; write dots as double underscores,
+    so ``spark__sql__shuffle__partitions="8"``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
@@ -62,9 +83,24 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
+_session_folders: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch folder; nothing exists there yet."""
-    return f"{scratch_root(spark)}/tarnhouse/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch folder; nothing exists there yet.
+
+    All scratch paths of an application lie in one folder, which is removed when the
+    application ends.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _session_folders:
+        path = f"{scratch_root(spark)}/tarnhouse/{application}-{uuid.uuid4().hex[:8]}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+        _session_folders[application] = path
+    return f"{_session_folders[application]}/{name}-{uuid.uuid4().hex}"
 
 
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
