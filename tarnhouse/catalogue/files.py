@@ -367,10 +367,10 @@ def ctas_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     return fs.ctas(yearly, "sales_by_year", scratch_path(spark, "sales-by-year"))
 
 
-DIM_SUPPLIER_SQL = """SELECT CAST(row_number() OVER (ORDER BY s.SupplierID) AS INTEGER) AS SupplierKey,
-    CAST(s.SupplierID AS INTEGER) AS SupplierID, s.SupplierName, c.SupplierCategoryName,
+DIM_SUPPLIER_SQL = """SELECT CAST(rank() OVER (ORDER BY k.id) AS INTEGER) AS SupplierKey,
+    CAST(k.id AS INTEGER) AS SupplierID, SupplierName, SupplierCategoryName,
     DATE '2013-01-01' AS ValidFromDate
-    FROM m_suppliers s LEFT JOIN m_supcats c ON c.SupplierCategoryID = s.SupplierCategoryID"""
+    FROM (SELECT *, SupplierID AS id FROM m_suppliers) k LEFT JOIN m_supcats USING (SupplierCategoryID)"""
 
 
 @query("create_or_replace_as", m.sql(DIM_SUPPLIER_SQL))
@@ -422,7 +422,7 @@ def truncate_load(spark: SparkSession, sf: str) -> DataFrame:
     "append_rows",
     """SELECT user_id AS listing_id, ts AS date, event_type AS reviewer_name, props AS comments,
     'neutral' AS sentiment FROM events
-    UNION ALL SELECT c_custkey, TIMESTAMP '2024-02-01 12:00:00', c_name, 'excellent stay!', 'positive'
+    UNION ALL SELECT c_custkey, TIMESTAMP '2024-02-01 12:00:00', c_name, 'quiet rooms', 'positive'
     FROM customer""",
 )
 def append_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -442,7 +442,7 @@ def append_rows(spark: SparkSession, sf: str) -> DataFrame:
             F.col("c_custkey").alias("listing_id"),
             load_time("2024-02-01 12:00:00").alias("date"),
             F.col("c_name").alias("reviewer_name"),
-            F.lit("excellent stay!").alias("comments"),
+            F.lit("quiet rooms").alias("comments"),
             F.lit("positive").alias("sentiment"),
         )
     )

@@ -72,12 +72,12 @@ def replace_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "split_column",
-    """SELECT p_partkey, string_split(p_name, ' ')[1] AS "Name.1", string_split(p_name, ' ')[2] AS "Name.2",
-    string_split(p_name, ' ')[3] AS "Name.3", p_brand FROM part""",
+    """SELECT p_partkey, string_split(p_name, ' ')[1] AS "Name1", string_split(p_name, ' ')[2] AS "Name2",
+    string_split(p_name, ' ')[3] AS "Name3", p_brand FROM part""",
 )
 def split_column(spark: SparkSession, sf: str) -> DataFrame:
     part = m.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
-    return sh.split_column(part, "p_name", " ", ["Name.1", "Name.2", "Name.3"])
+    return sh.split_column(part, "p_name", " ", ["Name1", "Name2", "Name3"])
 
 
 @query(

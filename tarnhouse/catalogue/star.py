@@ -130,16 +130,15 @@ def v_calendar(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "v_customer_delivered_to",
     m.sql(
-        """SELECT CAST(2024 - year(AccountOpenedDate) AS INTEGER) AS YearsCustomer, c.BuyingGroupID,
+        """SELECT CAST(2024 - year(AccountOpenedDate) AS INTEGER) AS YearsCustomer, BuyingGroupID,
         coalesce(BuyingGroupName, 'Undefined') AS BuyingGroupName, CreditLimit, CustomerCategoryID,
         CustomerID, CustomerName, DeliveryCityID, CityName AS DeliveryCity,
         StateProvinceName AS DeliveryStateProvince, CountryName AS DeliveryCountry, Region, Subregion,
         Continent, SalesTerritory, DeliveryPostalCode, IsOnCreditHold, PaymentDays,
         substring(PhoneNumber, 2, 3) AS AreaCode
-        FROM m_customers c LEFT JOIN m_groups bg ON bg.BuyingGroupID = c.BuyingGroupID
-        JOIN m_cities ci ON ci.CityID = c.DeliveryCityID
-        JOIN m_states s ON s.StateProvinceID = ci.StateProvinceID
-        JOIN m_countries co ON co.CountryID = s.CountryID"""
+        FROM m_customers LEFT JOIN m_groups USING (BuyingGroupID)
+        JOIN (m_cities JOIN m_states USING (StateProvinceID) JOIN m_countries USING (CountryID))
+        ON CityID = DeliveryCityID"""
     ),
 )
 def v_customer_delivered_to(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,8 +156,8 @@ def v_customer_delivered_to(spark: SparkSession, sf: str) -> DataFrame:
     "v_products",
     m.sql(
         """SELECT coalesce(Brand, 'No Brand') AS Brand, ColorName, LeadTimeDays, StockItemID, StockItemName,
-        i.SupplierID, SupplierName FROM m_items i JOIN m_suppliers s ON s.SupplierID = i.SupplierID
-        JOIN m_colors c ON c.ColorID = i.ColorID"""
+        SupplierID, SupplierName
+        FROM m_items JOIN m_suppliers USING (SupplierID) JOIN m_colors USING (ColorID)"""
     ),
 )
 def v_products(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,28 +199,27 @@ def v_sales_orders(spark: SparkSession, sf: str) -> DataFrame:
 # -- gold star: silver columns are text, as loaded from CSV ---------------------
 
 
-DIM_CUSTOMER = """SELECT CAST(row_number() OVER (ORDER BY CAST(c.CustomerID AS VARCHAR)) AS INTEGER)
-    AS CustomerKey, CAST(c.CustomerID AS INTEGER) AS CustomerID, c.CustomerName,
-    cc.CustomerCategoryName, bg.BuyingGroupName, dm.DeliveryMethodName, ci.CityName AS DeliveryCityName,
-    s.StateProvinceName AS DeliveryStateProvinceName, s.SalesTerritory AS DeliverySalesTerritory,
-    co.CountryName AS DeliveryCountry, co.Continent AS DeliveryContinent, co.Region AS DeliveryRegion,
-    co.Subregion AS DeliverySubregion, DATE '2013-01-01' AS ValidFromDate
-    FROM m_customers c LEFT JOIN m_categories cc ON cc.CustomerCategoryID = c.CustomerCategoryID
-    LEFT JOIN m_cities ci ON ci.CityID = c.DeliveryCityID
-    LEFT JOIN m_states s ON s.StateProvinceID = ci.StateProvinceID
-    LEFT JOIN m_countries co ON co.CountryID = s.CountryID
-    LEFT JOIN m_groups bg ON bg.BuyingGroupID = c.BuyingGroupID
-    LEFT JOIN m_methods dm ON dm.DeliveryMethodID = c.DeliveryMethodID"""
-
-DIM_STOCK_ITEM = """SELECT CAST(row_number() OVER (ORDER BY CAST(i.StockItemID AS VARCHAR)) AS INTEGER)
-    AS StockItemKey, CAST(i.StockItemID AS INTEGER) AS StockItemID, i.StockItemName,
-    CAST(i.LeadTimeDays AS VARCHAR) AS LeadTimeDays, c.ColorName,
-    p.PackageTypeName AS OuterPackageTypeName, DATE '2013-01-01' AS ValidFromDate,
-    CAST(i.SupplierID AS INTEGER) AS SupplierID
-    FROM m_items i LEFT JOIN m_colors c ON c.ColorID = i.ColorID
-    LEFT JOIN m_packages p ON p.PackageTypeID = i.OuterPackageID"""
-
-DIM_SUPPLIER_TEXT = DIM_SUPPLIER_SQL.replace("ORDER BY s.SupplierID", "ORDER BY CAST(s.SupplierID AS VARCHAR)")
+DIM_CUSTOMER = """SELECT CAST(rank() OVER (ORDER BY CAST(k.id AS VARCHAR)) AS INTEGER) AS CustomerKey,
+    CAST(k.id AS INTEGER) AS CustomerID, CustomerName, CustomerCategoryName, BuyingGroupName,
+    DeliveryMethodName, CityName AS DeliveryCityName, StateProvinceName AS DeliveryStateProvinceName,
+    SalesTerritory AS DeliverySalesTerritory, CountryName AS DeliveryCountry,
+    Continent AS DeliveryContinent, Region AS DeliveryRegion, Subregion AS DeliverySubregion,
+    DATE '2013-01-01' AS ValidFromDate
+    FROM (SELECT *, CustomerID AS id FROM m_customers) k
+    LEFT JOIN m_categories USING (CustomerCategoryID)
+    LEFT JOIN m_groups USING (BuyingGroupID) LEFT JOIN m_methods USING (DeliveryMethodID)
+    LEFT JOIN (m_cities JOIN m_states USING (StateProvinceID) JOIN m_countries USING (CountryID))
+    ON CityID = DeliveryCityID"""
+
+DIM_STOCK_ITEM = """SELECT CAST(rank() OVER (ORDER BY CAST(k.id AS VARCHAR)) AS INTEGER) AS StockItemKey,
+    CAST(k.id AS INTEGER) AS StockItemID, StockItemName,
+    CAST(k.LeadTimeDays AS VARCHAR) AS LeadTimeDays, ColorName,
+    PackageTypeName AS OuterPackageTypeName, DATE '2013-01-01' AS ValidFromDate,
+    CAST(k.supplier AS INTEGER) AS SupplierID
+    FROM (SELECT *, StockItemID AS id, SupplierID AS supplier FROM m_items) k
+    LEFT JOIN m_colors USING (ColorID) LEFT JOIN m_packages ON PackageTypeID = OuterPackageID"""
+
+DIM_SUPPLIER_TEXT = DIM_SUPPLIER_SQL.replace("ORDER BY k.id", "ORDER BY CAST(k.id AS VARCHAR)")
 
 STAR = {"g_customer": DIM_CUSTOMER, "g_item": DIM_STOCK_ITEM, "g_supplier": DIM_SUPPLIER_TEXT}
 
@@ -292,15 +290,12 @@ def dim_date(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "fact_sales",
     m.sql(
-        """SELECT c.CustomerKey,
-        CAST(year(o.OrderDate) * 10000 + month(o.OrderDate) * 100 + day(o.OrderDate) AS INTEGER)
-            AS OrderDateKey, i.StockItemKey, s.SupplierKey, CAST(o.OrderID AS INTEGER) AS OrderID,
-        CAST(l.OrderLineID AS INTEGER) AS OrderLineID, l.Quantity AS SalesOrderQuantity,
-        l.UnitPrice AS SalesOrderUnitPrice
-        FROM m_lines l JOIN m_orders o ON o.OrderID = l.OrderID
-        JOIN g_customer c ON c.CustomerID = o.CustomerID
-        JOIN g_item i ON i.StockItemID = l.StockItemID
-        JOIN g_supplier s ON s.SupplierID = i.SupplierID""",
+        """SELECT CustomerKey, CAST(strftime(OrderDate, '%Y%m%d') AS INTEGER) AS OrderDateKey,
+        StockItemKey, SupplierKey, CAST(OrderID AS INTEGER) AS OrderID,
+        CAST(OrderLineID AS INTEGER) AS OrderLineID, Quantity AS SalesOrderQuantity,
+        UnitPrice AS SalesOrderUnitPrice
+        FROM m_lines JOIN m_orders USING (OrderID) JOIN g_customer USING (CustomerID)
+        JOIN (g_item JOIN g_supplier USING (SupplierID)) USING (StockItemID)""",
         **STAR,
     ),
 )
