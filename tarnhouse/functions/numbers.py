@@ -15,8 +15,8 @@ def _col(column: str | Column) -> Column:
 
 
 def to_currency(column: str | Column) -> Column:
-    """Text in en-US form as currency with four decimals; unreadable text is null."""
-    return F.replace(_col(column), F.lit(","), F.lit("")).try_cast(CURRENCY)
+    """Text in en-US form, such as ``$1,234.50``, with four decimals; unreadable text is null."""
+    return F.translate(_col(column), "$,", "").try_cast(CURRENCY)
 
 
 def currency_to_int(column: str | Column) -> Column:

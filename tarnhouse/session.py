@@ -116,6 +116,11 @@ def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructT
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), fields)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in a folder; none when it does not exist."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarnhouse.session import child_names, local_rows
+from tarnhouse.session import child_names, local_rows, remove_folder
 
 BUCKET = "_bucket"
 ENTRY = "bucket long, folder string, rows long, mark string, layout string, schema string"
@@ -91,9 +91,10 @@ class LakeTable:
 
         Only the newest manifest is read; its rows are one per live folder.
         """
-        version = self._newest()
-        if not version:
-            return None
+        newest = self._newest()
+        return self._version(newest) if newest else None
+
+    def _version(self, version: int) -> Snapshot:
         rows = self.spark.read.schema(ENTRY).json(f"{self.path}/manifest/{version}").collect()
         folders = [
             Folder(r["bucket"], r["folder"], r["rows"], r["mark"]) for r in rows if r["folder"]
@@ -108,10 +109,13 @@ class LakeTable:
     def _newest(self) -> int:
         """Number of the newest version whose manifest is complete, 0 without one."""
         for version in sorted(self._versions(), reverse=True):
-            if "_SUCCESS" in child_names(self.spark, f"{self.path}/manifest/{version}"):
+            if self._complete(version):
                 return version
         return 0
 
+    def _complete(self, version: int) -> bool:
+        return "_SUCCESS" in child_names(self.spark, f"{self.path}/manifest/{version}")
+
     def _stored(self) -> Snapshot:
         snapshot = self.snapshot()
         if snapshot is None:
@@ -198,6 +202,26 @@ class LakeTable:
         entries.write.json(f"{self.path}/manifest/{version}")
         return Snapshot(version, folders, layout, schema)
 
+    def remove_old(self, keep: int = 2) -> int:
+        """Delete data that none of the newest ``keep`` versions holds; returns how much.
+
+        Replaced versions and failed loads leave their folders behind. Run this while no
+        load writes the table and no query still reads an older version.
+        """
+        complete = [v for v in sorted(self._versions(), reverse=True) if self._complete(v)]
+        if keep < 1 or not complete:
+            raise ValueError("keep at least one complete version")
+        live = {f.folder for v in complete[:keep] for f in self._version(v).folders}
+        removed = 0
+        for name in child_names(self.spark, f"{self.path}/data"):
+            inside = child_names(self.spark, f"{self.path}/data/{name}")
+            buckets = [f"{name}/{b}" for b in inside if b.startswith(f"{BUCKET}=")]
+            for folder in buckets or [name]:
+                if folder not in live:
+                    remove_folder(self.spark, f"{self.path}/data/{folder}")
+                    removed += 1
+        return removed
+
     def overwrite(self, df: DataFrame) -> int:
         """Replace the whole table; returns the number of rows written."""
         return self._replace(self.snapshot(), df)

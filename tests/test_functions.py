@@ -58,7 +58,8 @@ def test_number_days_and_years(spark):
 
 
 def test_us_dates_are_month_first(spark):
-    assert one(spark, D.date_from_us_text("d"), d=("1/31/2013", "string")) == date(2013, 1, 31)
+    for text in ("1/31/2013", "01/31/2013"):
+        assert one(spark, D.date_from_us_text("d"), d=(text, "string")) == date(2013, 1, 31)
     assert one(spark, D.date_from_us_text("d"), d=("31/1/2013", "string")) is None
 
 
@@ -70,7 +71,8 @@ def test_currency_halves_go_to_even(spark, amount, whole):
 
 
 def test_currency_text(spark):
-    assert str(one(spark, N.to_currency("a"), a=("1,234.50", "string"))) == "1234.5000"
+    for text in ("1,234.50", "$1,234.50", "1234.5"):
+        assert str(one(spark, N.to_currency("a"), a=(text, "string"))) == "1234.5000"
     assert one(spark, N.to_currency("a"), a=("none", "string")) is None
 
 

@@ -144,6 +144,21 @@ def test_only_touched_buckets_are_rewritten(spark):
     assert t.row_count() == t.read().count() == 51
 
 
+@pytest.mark.parametrize("layout", [None, range_layout(10)])
+def test_removing_old_data_keeps_the_live_folders(spark, layout):
+    t = table(spark, "k", layout=layout)
+    t.create(spark.range(30).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v")))
+    upsert(t, frame(spark, [(5, "b"), (31, "c")]))
+    upsert(t, frame(spark, [(5, "d")]))
+    with pytest.raises(ValueError):
+        t.remove_old(0)
+    # Unbucketed: the first version. In buckets: bucket 0 of the first version.
+    assert t.remove_old(2) == 1
+    assert t.remove_old(1) == 1
+    assert t.remove_old(1) == 0
+    assert t.read().count() == 31 and rows(t.read().filter("k in (5, 31)")) == [(31, "c"), (5, "d")]
+
+
 pairs = st.dictionaries(st.integers(0, 12), st.sampled_from("abc"), max_size=10)
 
 
