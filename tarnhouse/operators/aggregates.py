@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnhouse.operators.joins import Keys, key_pair, join_on
+from tarnhouse.operators.joins import Keys, is_small, join_on, key_pair
 
 
 def count_all(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -51,14 +51,15 @@ def summarize_columns(
     """Sums of fact columns by dimension columns, and by the fact columns in ``keep``.
 
     Fact rows without a dimension row form a blank group, and groups whose sums are all
-    null are left out. The fact is summed per key first: that runs on the map side,
-    shrinks hot keys before the shuffle and leaves little for the join.
+    null are left out. A small dimension is joined where the fact lies, and only the
+    group sums of each task are shuffled. For a large one the fact is summed per key
+    first, on the map side, which shrinks hot keys before the shuffle of the join.
     """
-    fact_key, _ = key_pair(key)
-    per_key = sum_by(fact, [fact_key, *keep], sums)
-    grouped = sum_by(
-        join_on(per_key, dim, [key], "left"), [*by, *keep], {n: n for n in sums}
-    )
+    if not is_small(dim):
+        fact_key, _ = key_pair(key)
+        fact = sum_by(fact, [fact_key, *keep], sums)
+        sums = {n: n for n in sums}
+    grouped = sum_by(join_on(fact, dim, [key], "left"), [*by, *keep], sums)
     some = None
     for n in sums:
         filled = F.col(n).isNotNull()
@@ -71,11 +72,13 @@ def distinct_count(
 ) -> DataFrame:
     """Distinct values of a fact column by dimension columns; a blank counts as a value.
 
-    Duplicates go before and after the join, both times with a map-side pass, so no task
-    holds the values of a whole group.
+    Duplicates go before the values are counted, with a map-side pass, so no task holds
+    the values of a whole group. With a large dimension they also go before its join.
     """
     fact_key, _ = key_pair(key)
-    pairs = fact.select(fact_key, column).distinct()
+    pairs = fact.select(fact_key, column)
+    if not is_small(dim):
+        pairs = pairs.distinct()
     values = join_on(pairs, dim, [key], "left").select(*by, column).distinct()
     return values.groupBy(*by).agg(F.count("*").alias(name))
 

@@ -19,6 +19,16 @@ def key_pair(key: Keys) -> tuple[str, str]:
     return (key, key) if isinstance(key, str) else key
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark expects the rows to be small enough to broadcast.
+
+    This is the planner's own estimate and limit; nothing is computed.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[Keys], how: str = "inner") -> DataFrame:
     """Join on pairs of column names; each pair leaves only the left side's column."""
     condition = None

@@ -120,7 +120,22 @@ def test_headers_without_lines_keep_blanks(spark):
 # -- aggregates ----------------------------------------------------------------
 
 
-def test_summarize_has_a_blank_group_and_no_empty_one(spark):
+@pytest.fixture(params=["10MB", "-1"])
+def broadcast_limit(spark, request):
+    """Both ways through the aggregates: with a small dimension and with a large one."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def test_size_check_follows_the_limit(spark, broadcast_limit):
+    assert jn.is_small(spark.range(10)) == (broadcast_limit != "-1")
+    assert not jn.is_small(spark.range(1 << 40))
+
+
+def test_summarize_has_a_blank_group_and_no_empty_one(spark, broadcast_limit):
     fact = spark.createDataFrame([(1, 2), (1, 3), (9, 4), (None, 5), (2, None)], "k int, q int")
     dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, name string")
     got = ag.summarize_columns(fact, dim, "k", ["name"], {"qty": "q"})
@@ -128,7 +143,7 @@ def test_summarize_has_a_blank_group_and_no_empty_one(spark):
     assert rows(got) == [("a", 5), (None, 9)]
 
 
-def test_distinct_count_counts_the_blank(spark):
+def test_distinct_count_counts_the_blank(spark, broadcast_limit):
     fact = spark.createDataFrame(
         [(1, 10), (1, 10), (1, None), (1, None), (2, 11), (7, 12)], "k int, c int"
     )
