@@ -468,7 +468,11 @@ def reload_partition(spark: SparkSession, sf: str) -> DataFrame:
     return stored.groupBy("Year").agg(F.count("*").alias("sales"), F.sum("Quantity").alias("Quantity"))
 
 
-@query("drop_tables", "SELECT n_name AS name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+@query(
+    "drop_tables",
+    """SELECT n_name AS name, count(*) AS customers
+    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
+)
 def drop_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Two tables are saved and dropped, a third keeps its rows; unknown names are no error."""
     customer, nation = m.table(spark, sf, "customer"), m.table(spark, sf, "nation")

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from tarnhouse.operators.filters import filter_enabled, window_predicate
 from tarnhouse.operators.upsert import create_or_upsert, update_then_insert
@@ -207,17 +206,3 @@ def control_lake_table(spark: SparkSession, path: str, rows: DataFrame) -> LakeT
     table = LakeTable(spark, path, CONTROL_KEYS)
     table.create(rows.coalesce(1))
     return table
-
-
-def summary(results: dict[str, LoadResult], spark: SparkSession) -> DataFrame:
-    """Load results as rows, one per table."""
-    rows = [
-        (name, r.status, r.rows_read, r.inserted, r.updated, r.max_mark)
-        for name, r in sorted(results.items())
-    ]
-    return local_rows(
-        spark,
-        rows,
-        "sinktable string, loadstatus string, rowsread long, rowsinserted long, "
-        "rowsupdated long, maxdatetime timestamp_ntz",
-    ).orderBy(F.col("sinktable"))

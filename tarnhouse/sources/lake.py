@@ -1,9 +1,10 @@
 """Lake tables: Parquet folders plus a small manifest of the folders that are current.
 
 ``<path>/data/<folder>/`` holds Parquet files and is never changed once written.
-``<path>/manifest/<n>/`` holds one small JSON file; each row of the newest
-version names one live folder. A load writes its data first and the manifest last, so a load that fails part-way leaves the previous version in place, and a
-plan may read the table it replaces.
+``<path>/manifest/<n>/`` holds one small JSON file; each row of the newest version names
+one live folder. A load writes its data first and the manifest last, so a load that
+fails part-way leaves the previous version in place, and a plan may read the table it
+replaces.
 
 A table can be split into buckets by its keys. An upsert then reads and rewrites only
 the buckets its source touches and carries the other folders over.
