@@ -33,6 +33,16 @@ def sf():
     return DATA
 
 
+@pytest.fixture(params=["10MB", "-1"])
+def broadcast_limit(spark, request):
+    """Both ways through joins and aggregates: with a small side and with a large one."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
 def rows(df, *order):
     """Collected rows as tuples, sorted by text so that blanks sort too."""
     got = [tuple(r) for r in df.collect()]

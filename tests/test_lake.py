@@ -95,7 +95,7 @@ def test_marks_keep_microseconds(spark):
 
 
 @pytest.mark.parametrize("layout", [None, hash_layout(3), range_layout(2)])
-def test_upsert_new_changed_unchanged_and_blank_keys(spark, layout):
+def test_upsert_new_changed_unchanged_and_blank_keys(spark, layout, broadcast_limit):
     t = table(spark, "k", layout=layout)
     t.create(frame(spark, [(1, "a"), (2, "b"), (None, "n"), (9, "z")]))
     source = frame(spark, [(2, "B"), (9, "z"), (5, "e"), (None, "m")])

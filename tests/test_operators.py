@@ -120,16 +120,6 @@ def test_headers_without_lines_keep_blanks(spark):
 # -- aggregates ----------------------------------------------------------------
 
 
-@pytest.fixture(params=["10MB", "-1"])
-def broadcast_limit(spark, request):
-    """Both ways through the aggregates: with a small dimension and with a large one."""
-    name = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(name)
-    spark.conf.set(name, request.param)
-    yield request.param
-    spark.conf.set(name, before)
-
-
 def test_size_check_follows_the_limit(spark, broadcast_limit):
     assert jn.is_small(spark.range(10)) == (broadcast_limit != "-1")
     assert not jn.is_small(spark.range(1 << 40))
