@@ -13,10 +13,12 @@ from tarnhouse.llm.line_dedup import LINE_SQL, line_report
 from tarnhouse.llm.near_dedup import near_report
 from tarnhouse.llm.packing import packing_report
 from tarnhouse.llm.secrets import secret_report
+from tarnhouse.llm.suffix_dedup import repeat_report
 from tarnhouse.llm.token_counts import token_report
 from tarnhouse.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": lambda spark, sf: repeat_report(table(spark, sf, "documents")),
     "op2_decontamination": lambda spark, sf: contamination_report(
         table(spark, sf, "documents"), table(spark, sf, "benchmark")
     ),
