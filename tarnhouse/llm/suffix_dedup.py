@@ -168,10 +168,12 @@ def opened(data: bytes) -> Bytes:
 
 def bucket_slices(keys: np.ndarray, n_buckets: int) -> Iterator[tuple[int, slice, np.ndarray]]:
     """Sorted keys by bucket: bucket, and the places of its keys."""
+    if not len(keys):
+        return
     buckets = (mixed_bits(keys) % np.uint64(n_buckets)).astype(np.int64)
     order = np.argsort(buckets, kind="stable")
     own = buckets[order]
-    firsts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else []
+    firsts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
     for a, b in zip(firsts, [*firsts[1:], len(own)], strict=True):
         yield int(own[a]), order[a:b]
 
