@@ -12,6 +12,7 @@ from tarnhouse.llm.decontamination import CONTAMINATION_SQL, contamination_repor
 from tarnhouse.llm.line_dedup import LINE_SQL, line_report
 from tarnhouse.llm.near_dedup import near_report
 from tarnhouse.llm.packing import packing_report
+from tarnhouse.llm.quality import quality_report
 from tarnhouse.llm.secrets import secret_report
 from tarnhouse.llm.suffix_dedup import repeat_report
 from tarnhouse.llm.token_counts import token_report
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op3_line_dedup": lambda spark, sf: line_report(table(spark, sf, "documents")),
     "op4_token_counts": lambda spark, sf: token_report(table(spark, sf, "documents")),
+    "op5_quality": lambda spark, sf: quality_report(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op6_bpe_chunks": lambda spark, sf: encoding_report(table(spark, sf, "documents")),
     "op7_token_packing": lambda spark, sf: packing_report(table(spark, sf, "documents")),
     "op8_minhash_near_dedup": lambda spark, sf: near_report(table(spark, sf, "documents")),
