@@ -39,6 +39,19 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the documents do not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with the number of their row, which is the same whenever they are scanned."""
+    return docs.withColumn(name, F.monotonically_increasing_id())
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnhouse.llm.common import Stored, ascii_lower
+from tarnhouse.llm.common import Stored, ascii_lower, free_name, numbered
 
 # What separates words, once A-Z are lower-case. Fixed value.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -126,15 +126,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove documents or spans, not {remove}")
+    row, words = free_name(docs, "row"), free_name(docs, "hit_words")
     hits = benchmark_hits(docs, benchmark, **parameters).where(F.size("hits") > 0)
-    hits = Stored(hits.select(F.col("rid").alias("hit_rid"), F.col("hits").alias("hit_words")), "benchmark-hits").df
-    columns = docs.columns
-    keyed = docs.withColumn("hit_rid", F.monotonically_increasing_id())
+    hits = Stored(hits.select(F.col("rid").alias(row), F.col("hits").alias(words)), "benchmark-hits").df
     if remove == "documents":
-        return keyed.join(hits, "hit_rid", "left_anti").select(*columns)
-    joined = keyed.join(hits, "hit_rid", "left")
-    text = F.when(F.col("hit_words").isNull(), F.col("text")).otherwise(without_words(F.col("text"), F.col("hit_words")))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in columns])
+        return numbered(docs, row).join(hits, row, "left_anti").select(*docs.columns)
+    joined = numbered(docs, row).join(hits, row, "left")
+    text = F.when(F.col(words).isNull(), F.col("text")).otherwise(without_words(F.col("text"), F.col(words)))
+    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
 
 
 def without_words(text: Column, hits: Column) -> Column:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnhouse.llm.common import Stored
+from tarnhouse.llm.common import Stored, free_name, numbered
 
 # Estimates this far from the threshold, as a share of it, are decided without an exact count:
 # over ten standard errors of the sketch.
@@ -34,7 +34,7 @@ def lines_of(docs: DataFrame, site: str) -> DataFrame:
     line = F.btrim("raw", F.lit(" \t\r"))
     return lines.select("rid", "doc_id", "site", "at", line.alias("line")).where("line <> ''").select(
         "rid", "doc_id", "at",
-        F.coalesce(F.concat(F.lit("s"), F.col("site").cast("string")), F.lit("")).alias("site"),
+        F.coalesce(F.concat(F.lit("s"), F.col("site").cast("string")), F.lit("none")).alias("site"),
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"),
     )
 
@@ -80,32 +80,32 @@ def dedup_lines(docs: DataFrame, min_sites: int = 8, site: str = "source", drop_
 
     ``drop_empty`` drops documents that lost lines and have nothing but blanks left.
     """
-    columns = docs.columns
-    joined = with_removals(docs, min_sites, site)
-    out = joined.select(
-        *[kept_text(F.col("text"), F.col("removed_at")).alias(c) if c == "text" else F.col(c) for c in columns],
-        F.col("removed_at").isNotNull().alias("line_rid"),
-    )
+    joined, removed = with_removals(docs, min_sites, site)
     if drop_empty:
-        out = out.where(~F.col("line_rid") | (F.btrim("text", F.lit(" \t\r\n")) != ""))
-    return out.select(*columns)
+        left = F.btrim(kept_text(F.col("text"), removed), F.lit(" \t\r\n"))
+        joined = joined.where(removed.isNull() | (left != ""))
+    text = kept_text(F.col("text"), removed)
+    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
 
 
-def with_removals(docs: DataFrame, min_sites: int, site: str) -> DataFrame:
-    removed = Stored(removed_lines(docs, min_sites, site), "removed-lines").df
-    return docs.withColumn("line_rid", F.monotonically_increasing_id()).join(removed, "line_rid", "left")
+def with_removals(docs: DataFrame, min_sites: int, site: str) -> tuple[DataFrame, Column]:
+    """The documents with the column of their removed lines."""
+    row, places = free_name(docs, "row"), free_name(docs, "removed_at")
+    removed = removed_lines(docs, min_sites, site).select(
+        F.col("line_rid").alias(row), F.col("removed_at").alias(places)
+    )
+    return numbered(docs, row).join(Stored(removed, "removed-lines").df, row, "left"), F.col(places)
 
 
 def line_report(docs: DataFrame, min_sites: int = 8, site: str = "source") -> DataFrame:
     """Per document the numbers of lines and of removed ones, and a digest of the rest."""
-    joined = with_removals(docs, min_sites, site)
+    joined, removed = with_removals(docs, min_sites, site)
     text = F.coalesce("text", F.lit(""))
-    removed = F.coalesce(F.size("removed_at"), F.lit(0))
     return joined.select(
         "doc_id",
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
-        F.greatest(removed, F.lit(0)).cast("long").alias("n_removed"),
-        F.sha2(kept_text(text, F.col("removed_at")), 256).alias("kept_sha256"),
+        F.coalesce(F.size(removed), F.lit(0)).cast("long").alias("n_removed"),
+        F.sha2(kept_text(text, removed), 256).alias("kept_sha256"),
     )
 
 

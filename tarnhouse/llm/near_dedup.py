@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnhouse.llm.common import Stored, release
+from tarnhouse.llm.common import Stored, free_name, numbered, release
 from tarnhouse.llm.components import components
 
 COORDINATES = 128
@@ -297,6 +297,6 @@ def near_report(docs: DataFrame, **parameters) -> DataFrame:
 
 def keep_first(docs: DataFrame, **parameters) -> DataFrame:
     """The documents without all but one of each group of near duplicates."""
-    first = near_duplicates(docs, **parameters).where("is_first").select(F.col("rid").alias("first_rid"))
-    keyed = docs.withColumn("first_rid", F.monotonically_increasing_id())
-    return keyed.join(Stored(first, "first-rows").df, "first_rid", "left_semi").select(*docs.columns)
+    row = free_name(docs, "row")
+    first = near_duplicates(docs, **parameters).where("is_first").select(F.col("rid").alias(row))
+    return numbered(docs, row).join(Stored(first, "first-rows").df, row, "left_semi").select(*docs.columns)

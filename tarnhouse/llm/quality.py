@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnhouse.llm.blocks import BLOCK_DOCS, by_bucket, pack, unpack
-from tarnhouse.llm.common import Stored, release
+from tarnhouse.llm.common import Stored, free_name, numbered, release
 
 ORDER = 4
 BITS = 16  # of a character in an n-gram's code
@@ -368,6 +368,6 @@ def quality_report(docs: DataFrame, labels: DataFrame, **parameters) -> DataFram
 
 def keep_good(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
     """The documents that are not rejected."""
-    rejected = quality(docs, labels, **parameters).where("rejected").select(F.col("rid").alias("bad_rid"))
-    rows = docs.withColumn("bad_rid", F.monotonically_increasing_id())
-    return rows.join(Stored(rejected, "rejected").df, "bad_rid", "left_anti").select(*docs.columns)
+    row = free_name(docs, "row")
+    rejected = quality(docs, labels, **parameters).where("rejected").select(F.col("rid").alias(row))
+    return numbered(docs, row).join(Stored(rejected, "rejected").df, row, "left_anti").select(*docs.columns)
