@@ -53,8 +53,10 @@ def summarize_columns(
     Fact rows without a dimension row form a blank group, and groups whose sums are all
     null are left out. A small dimension is joined where the fact lies, and only the
     group sums of each task are shuffled. For a large one the fact is summed per key
-    first, on the map side, which shrinks hot keys before the shuffle of the join.
+    first, on the map side, which shrinks hot keys before the shuffle of the join. Either
+    way a sum has the type that Spark gives to the sum of the fact column.
     """
+    types = {f.name: f.dataType for f in sum_by(fact, [], sums).schema}
     if not is_small(dim):
         fact_key, _ = key_pair(key)
         fact = sum_by(fact, [fact_key, *keep], sums)
@@ -64,7 +66,7 @@ def summarize_columns(
     for n in sums:
         filled = F.col(n).isNotNull()
         some = filled if some is None else some | filled
-    return grouped.filter(some)
+    return grouped.filter(some).select(*by, *keep, *[F.col(n).cast(types[n]).alias(n) for n in sums])
 
 
 def distinct_count(

@@ -23,11 +23,16 @@ def mark_literal(df: DataFrame, column: str, value: Mark) -> Column:
     return F.lit(str(value)).cast(dtype)
 
 
-def window_predicate(df: DataFrame, column: str, start: Mark, end: Mark | None = None) -> Column:
-    """``column >= start [and column < end]``; without an end the window stays open."""
-    predicate = F.col(column) >= mark_literal(df, column, start)
+def window_predicate(
+    df: DataFrame, column: str, start: Mark | None = None, end: Mark | None = None
+) -> Column:
+    """``column >= start and column < end``; a window without start or end is open there."""
+    predicate = F.lit(True)
+    if start is not None:
+        predicate = F.col(column) >= mark_literal(df, column, start)
     if end is not None:
-        predicate &= F.col(column) < mark_literal(df, column, end)
+        before = F.col(column) < mark_literal(df, column, end)
+        predicate = before if start is None else predicate & before
     return predicate
 
 

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from tarnhouse.session import local_rows, scratch_path
 
 _PARTITION_BITS = 33
+_KEYS = {"int": 2**31 - 1, "long": 2**63 - 1}
 
 
 def surrogate_key(
-    df: DataFrame, order_by: Sequence[str], name: str, staging: str | None = None
+    df: DataFrame, order_by: Sequence[str], name: str, staging: str | None = None, key_type: str = "int"
 ) -> DataFrame:
     """Number the rows 1, 2, 3 … in the order of ``order_by``, put first as ``name``.
 
@@ -23,7 +24,8 @@ def surrogate_key(
     number of rows in the tasks before is added. That offset table has one row per task
     of the sort, whatever the size of the data. Rows that tie on ``order_by`` may be
     numbered either way round; a hash of the whole row orders them, so that many ties
-    still spread over many tasks.
+    still spread over many tasks. Keys have ``key_type``, whatever their number; more rows
+    than it can count are an error.
     """
     spark = df.sparkSession
     path = staging or scratch_path(spark, name)
@@ -39,10 +41,12 @@ def surrogate_key(
         before += row["rows"]
     starts = local_rows(spark, list(offsets.items()), "_task long, _before long")
     row = F.col("_at").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
-    key = (F.col("_before") + row + 1).cast("int" if before < 2**31 else "long")
+    if before > _KEYS[key_type]:
+        raise OverflowError(f"{before} rows are too many for keys of type {key_type}")
+    key = (F.col("_before") + row + 1).cast(key_type)
     return (
         stored.withColumn("_task", task)
-        .join(F.broadcast(starts), "_task")
+        .join(starts, "_task")
         .select(key.alias(name), *df.columns)
     )
 

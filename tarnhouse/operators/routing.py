@@ -14,13 +14,15 @@ class Aggregate:
     """A stored aggregate: its grouping columns and its sums.
 
     ``sums`` maps a measure to the column that holds its sum. ``read`` is called only
-    when the aggregate is chosen.
+    when the aggregate is chosen. ``all_groups`` says that groups whose sums are all null are
+    stored too; only then can values of the grain be counted from it.
     """
 
     name: str
     read: Callable[[], DataFrame]
     grain: frozenset[str]
     sums: dict[str, str]
+    all_groups: bool = False
 
 
 @dataclass(frozen=True)
@@ -34,8 +36,9 @@ class Measure:
 
 def _covers(aggregate: Aggregate, by: Sequence[str], measures: Sequence[Measure]) -> bool:
     """Sums re-aggregate from sums; distinct counts only from a grain that has the column."""
+    counted = aggregate.grain if aggregate.all_groups else frozenset()
     return set(by) <= aggregate.grain and all(
-        m.column in (aggregate.sums if m.kind == "sum" else aggregate.grain) for m in measures
+        m.column in (aggregate.sums if m.kind == "sum" else counted) for m in measures
     )
 
 
@@ -58,14 +61,13 @@ def aggregate_routing(
         for m in measures
         if m.kind == "sum"
     ]
-    counts = [m for m in measures if m.kind == "distinct_count"]
-    if not counts:
-        return rows.groupBy(*by).agg(*sums)
-    # A blank counts as one value.
-    return rows.groupBy(*by).agg(
-        *sums,
-        *[
-            (F.count_distinct(m.column) + F.max(F.col(m.column).isNull().cast("int"))).alias(m.name)
-            for m in counts
-        ],
-    )
+    found = rows.groupBy(*by).agg(*sums) if sums else rows.select(*by).distinct()
+    for m in (m for m in measures if m.kind == "distinct_count"):
+        # A blank counts as one value. Duplicates go first, so no task holds a group's values.
+        values = rows.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col(m.column).alias("_value")).distinct()
+        counted = values.groupBy(*[f"_by_{c}" for c in by]).agg(F.count("*").alias(m.name))
+        same = F.lit(True)
+        for c in by:
+            same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+        found = found.join(counted, same).drop(*[f"_by_{c}" for c in by])
+    return found

@@ -30,14 +30,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
     """One row per key, the greatest by ``order`` and then by the remaining columns.
 
     The maximum of a struct combines on the map side, so a key that holds a large
-    share of the rows shrinks to one row per task before anything is shuffled.
+    share of the rows shrinks to one row per task before anything is shuffled. Rows with
+    a null key belong to no other row, so all of them stay.
     """
+    whole = None
+    for k in keys:
+        present = F.col(f"`{k}`").isNotNull()
+        whole = present if whole is None else whole & present
     rest = [c for c in df.columns if c not in keys and c not in order]
     newest = F.max(F.struct(*order, *rest)).alias("_newest")
-    picked = df.groupBy(*keys).agg(newest)
+    picked = df.filter(whole).groupBy(*keys).agg(newest)
     return picked.select(
         *[F.col(c) if c in keys else F.col(f"_newest.`{c}`").alias(c) for c in df.columns]
-    )
+    ).unionByName(df.filter(~whole))
 
 
 def _same_keys(left: str, right: str, keys: Sequence[str]):
@@ -116,7 +121,11 @@ def upsert(table: LakeTable, source: DataFrame) -> UpsertResult:
 
 
 def create_or_upsert(table: LakeTable, source: DataFrame) -> UpsertResult:
-    """Create the table on its first load, upsert into it afterwards."""
+    """Create the table on its first load, upsert into it afterwards.
+
+    The first load stores the rows as they are, also several for one key, as no target row
+    is there to match; run ``latest_per_key`` before where a source may hold them.
+    """
     if table.exists():
         return upsert(table, source)
     rows = table.create(source)

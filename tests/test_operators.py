@@ -18,7 +18,7 @@ from tarnhouse.operators import shaping as sh
 from tarnhouse.operators.routing import Aggregate, Measure, aggregate_routing, choose_aggregate
 from tarnhouse.operators.upsert import latest_per_key
 
-from .conftest import rows
+from .conftest import plan, rows
 
 QUICK = settings(
     max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -129,6 +129,10 @@ def test_summarize_has_a_blank_group_and_no_empty_one(spark, broadcast_limit):
     fact = spark.createDataFrame([(1, 2), (1, 3), (9, 4), (None, 5), (2, None)], "k int, q int")
     dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, name string")
     got = ag.summarize_columns(fact, dim, "k", ["name"], {"qty": "q"})
+    money = fact.withColumn("q", F.col("q").cast("decimal(18,2)"))
+    typed = ag.summarize_columns(money, dim, "k", ["name"], {"qty": "q"})
+    # The type of a sum depends on its column alone, not on the size of the dimension.
+    assert typed.schema["qty"].dataType.simpleString() == "decimal(28,2)"
     # b has only a blank measure and c has no fact, so both are left out.
     assert rows(got) == [("a", 5), (None, 9)]
 
@@ -225,12 +229,13 @@ def test_discounts_agree_and_divide_safely(spark):
 
 def test_routing_gives_the_same_from_everywhere(spark):
     base = spark.createDataFrame(
-        [(2000, 1, 5), (2000, 1, 6), (2000, 2, 7), (2001, None, 8), (None, 3, 9)], "year int, customer int, q int"
+        [(2000, 1, 5), (2000, 1, 6), (2000, 2, 7), (2000, 4, None), (2001, None, 8), (2002, 5, None), (None, 3, 9)],
+        "year int, customer int, q int"
     )
     fine = ag.sum_by(base, ["year", "customer"], {"sq": "q"})
     coarse = ag.sum_by(base, ["year"], {"sq": "q"})
     tables = [
-        Aggregate("fine", lambda: fine, frozenset({"year", "customer"}), {"q": "sq"}),
+        Aggregate("fine", lambda: fine, frozenset({"year", "customer"}), {"q": "sq"}, True),
         Aggregate("coarse", lambda: coarse, frozenset({"year"}), {"q": "sq"}),
     ]
     total, count = Measure("s", "sum", "q"), Measure("n", "distinct_count", "customer")
@@ -242,7 +247,14 @@ def test_routing_gives_the_same_from_everywhere(spark):
         assert rows(aggregate_routing(base, tables, by, measures)) == rows(
             aggregate_routing(base, [], by, measures)
         )
-    assert rows(aggregate_routing(base, [], ["year"], [count])) == [(2000, 2), (2001, 1), (None, 1)]
+    assert rows(aggregate_routing(base, [], ["year"], [count])) == [(2000, 3), (2001, 1), (2002, 1), (None, 1)]
+    # An aggregate that lacks groups without a sum cannot count their values.
+    partial = [Aggregate("fine", lambda: fine.filter("sq is not null"), tables[0].grain, {"q": "sq"})]
+    assert choose_aggregate(partial, ["year"], [count]) is None
+    two = [total, count, Measure("y", "distinct_count", "year")]
+    got = aggregate_routing(base, tables, ["year"], two)
+    assert rows(got) == [(2000, 18, 3, 1), (2001, 8, 1, 1), (2002, None, 1, 1), (None, 9, 1, 1)]
+    assert "Expand" not in plan(got)
 
 
 def test_latest_per_key(spark):
@@ -253,3 +265,14 @@ def test_latest_per_key(spark):
     got = latest_per_key(df, ["k1", "k2"], "at")
     assert got.columns == df.columns
     assert rows(got) == [(1, 1, 7, "c"), (1, 2, None, "d"), (2, 1, 1, "e")]
+    blank = spark.createDataFrame([(None, 1, 5, "x"), (None, 1, 7, "y"), (1, 1, 1, "z")], df.schema)
+    assert rows(latest_per_key(blank, ["k1", "k2"], "at")) == rows(blank)
+
+
+def test_surrogate_keys_have_one_type(spark, monkeypatch):
+    df = spark.range(5)
+    assert rk.surrogate_key(df, ["id"], "k").schema["k"].dataType.simpleString() == "int"
+    assert rk.surrogate_key(df, ["id"], "k", key_type="long").schema["k"].dataType.simpleString() == "bigint"
+    monkeypatch.setitem(rk._KEYS, "int", 4)
+    with pytest.raises(OverflowError, match="5 rows"):
+        rk.surrogate_key(df, ["id"], "k")
