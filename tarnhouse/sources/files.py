@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+# Quotes inside a quoted value are doubled.
+QUOTES = {"quote": '"', "escape": '"'}
+
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
+# The columns of the trip files.
 TRIP_SCHEMA = (
     "VendorID int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
     "passenger_count int, trip_distance decimal(10,2), RateCodeID int, store_and_fwd_flag string, "
@@ -20,21 +24,32 @@ TRIP_SCHEMA = (
 
 
 def scan_csv_typed(
-    spark: SparkSession, path: str | Sequence[str], schema: str | StructType, sep: str = ","
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: str | StructType,
+    sep: str = ",",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Header CSV read with a declared schema, so no inference pass over the files."""
+    """Header CSV read with a declared schema, so no inference pass over the files.
+
+    The header must name the declared columns in their order. A value that does not fit
+    its type is an error; with ``mode`` PERMISSIVE it is null.
+    """
     return (
         spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
+        .options(header=True, sep=sep, mode=mode, enforceSchema=False, **QUOTES)
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .csv(path)
     )
 
 
 def scan_csv_text(spark: SparkSession, path: str | Sequence[str], sep: str = "|") -> DataFrame:
-    """Header CSV with every column a string; ``path`` may be a glob such as ``dir/*/*.csv``."""
-    return spark.read.option("header", True).option("sep", sep).csv(path)
+    """Header CSV with every column a string; ``path`` may be a glob such as ``dir/*/*.csv``.
+
+    The first file's header names the columns, and a file with another header is an error.
+    """
+    names = spark.read.options(header=True, sep=sep, **QUOTES).csv(path).schema
+    return spark.read.schema(names).options(header=True, sep=sep, enforceSchema=False, **QUOTES).csv(path)
 
 
 def scan_csv_entity(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
@@ -44,6 +59,7 @@ def scan_csv_entity(spark: SparkSession, path: str | Sequence[str], sep: str = "
         .option("sep", sep)
         .option("encoding", "UTF-8")
         .option("multiLine", False)
+        .options(**QUOTES)
         .csv(path)
     )
 
@@ -65,6 +81,7 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexi
         .option("header", True)
         .option("sep", sep)
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        .options(**QUOTES)
         .csv(path)
     )
 
@@ -74,9 +91,14 @@ def export_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
-def write_staging(df: DataFrame, root: str, table: str) -> str:
-    """Land an increment below ``root`` and return its path."""
-    path = f"{root}/incremental/{table}/{table}.parquet"
+def write_staging(df: DataFrame, root: str, table: str, run: str | None = None) -> str:
+    """Land an increment below ``root`` and return its path.
+
+    ``table`` may have folders for its schema; ``run`` keeps loads apart that land the same
+    table at the same time.
+    """
+    name = table.rsplit("/", 1)[-1]
+    path = f"{root}/incremental/{table}/{f'{run}/' if run else ''}{name}.parquet"
     df.write.mode("overwrite").parquet(path)
     return path
 

@@ -217,3 +217,37 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
     assert session.scratch_root(shared) == "hdfs://shared/x"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_root(Session(spark_master="yarn"))
+
+
+def written(tmp_path, name, text):
+    path = tmp_path / name
+    path.write_bytes(text.encode())
+    return str(path)
+
+
+def test_doubled_quotes_in_csv(spark, tmp_path):
+    path = written(tmp_path, "q.csv", 'id,title,code\n1,"Say ""hi"", ok",X\n2,"a\\",Y\n')
+    want = [(1, 'Say "hi", ok', "X"), (2, "a\\", "Y")]
+    assert rows(fs.scan_csv_typed(spark, path, "id int, title string, code string")) == want
+    as_text = [(str(i), t, c) for i, t, c in want]
+    assert rows(fs.scan_csv_text(spark, path, ",")) == rows(fs.scan_csv_entity(spark, path)) == as_text
+    out = str(tmp_path / "out")
+    fs.export_csv(spark.createDataFrame(want[:1], "id int, title string, code string").coalesce(1), out)
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    assert part.read_text() == 'id,title,code\n1,"Say ""hi"", ok",X\n'
+
+
+def test_csv_headers_and_values_are_checked(spark, tmp_path):
+    swapped = written(tmp_path, "s.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        fs.scan_csv_typed(spark, swapped, "a int, b int").collect()
+    bad = written(tmp_path, "b.csv", "a,b\n1,nope\n")
+    with pytest.raises(Exception, match="nope|MALFORMED|malformed"):
+        fs.scan_csv_typed(spark, bad, "a int, b int").collect()
+    assert rows(fs.scan_csv_typed(spark, bad, "a int, b int", mode="PERMISSIVE")) == [(1, None)]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    written(folder, "1.csv", "a|b\nx|y\n")
+    written(folder, "2.csv", "b|a\nx|y\n")
+    with pytest.raises(Exception, match="header"):
+        fs.scan_csv_text(spark, str(folder / "*.csv")).collect()
