@@ -22,7 +22,7 @@ CONTROL = (
 )
 
 # The columns that identify a control row.
-CONTROL_KEYS = ("sourceschema", "sourcetable")
+CONTROL_KEYS = ("sourceschema", "sourcetable", "sinkschema", "sinktable")
 
 FULL, INCREMENTAL = "full", "incremental"
 START = "2013-01-01 00:00:00"

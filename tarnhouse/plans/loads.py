@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
+from functools import partial
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tarnhouse.operators.filters import filter_enabled, window_predicate
 from tarnhouse.operators.upsert import create_or_upsert, update_then_insert
@@ -53,7 +56,7 @@ def load_full(
     table's own bookkeeping, so the table is not scanned again.
     """
     begun = _now()
-    if table.mark and start is not None:
+    if table.mark and (start is not None or end is not None):
         source = source.filter(window_predicate(source, table.mark, start, end))
     rows = table.overwrite(source)
     return LoadResult(rows, rows, rows, 0, table.max_mark(), SUCCEEDED, begun, _now())
@@ -69,16 +72,19 @@ def load_incremental(
     """Land the source rows in the window and upsert them into ``table``.
 
     Rows at the start mark are read again; the upsert makes that harmless. The landed
-    increment is what the upsert reads, so the source is queried once.
+    increment is what the upsert reads, so the source is queried once. It lands in a folder
+    of its own for each run, under the last two parts of the table's path: schema and table.
     """
     begun = _now()
     window = source
-    if start is not None:
+    if start is not None or end is not None:
         window = source.filter(window_predicate(source, table.mark, start, end))
-    name = table.path.rstrip("/").rsplit("/", 1)[-1]
-    staged = table.spark.read.parquet(write_staging(window, staging_root, name))
-    landed = staged.count()
-    done = create_or_upsert(table, staged)
+    name = "/".join(table.path.rstrip("/").rsplit("/", 2)[-2:])
+    seen = Observation()
+    observed = window.observe(seen, F.count(F.lit(1)).alias("rows"))
+    path = write_staging(observed, staging_root, name, uuid.uuid4().hex)
+    landed = seen.get["rows"]
+    done = create_or_upsert(table, table.spark.read.schema(window.schema).parquet(path))
     return LoadResult(
         landed, landed, done.inserted, done.updated, done.max_mark, SUCCEEDED, begun, _now()
     )
@@ -122,10 +128,12 @@ def run_log(control: LakeTable, batch: datetime, results: Sequence[tuple[Row, Lo
     """Write status, counts, times and marks back to the control rows.
 
     An incremental load that succeeded moves its row's start to the newest mark. A load
-    that failed keeps its marks, so the next run repeats it. One call writes the rows of
-    a whole stage, since a table has one writer at a time.
+    that failed keeps its marks, so the next run repeats it. The control table is small and
+    has one writer at a time, so it is written anew from its rows.
     """
-    updated = []
+    if not results:
+        return
+    updated = {}
     for row, r in results:
         new = row.asDict() | {
             "batchloaddatetime": batch,
@@ -144,13 +152,20 @@ def run_log(control: LakeTable, batch: datetime, results: Sequence[tuple[Row, Lo
                 new["maxdatetime"] = r.max_mark
                 if row["loadtype"] != FULL:
                     new["startdate"] = r.max_mark
-        updated.append(new)
-    if updated:
-        schema = control.read().schema
-        frame = local_rows(
-            control.spark, [tuple(u[c] for c in schema.names) for u in updated], schema
-        )
-        create_or_upsert(control, frame)
+        updated[control_key(row)] = new
+    stored = control.read()
+    merged = [updated.get(control_key(row), row.asDict()) for row in stored.collect()]
+    names = stored.schema.names
+    control.overwrite(local_rows(control.spark, [tuple(r[c] for c in names) for r in merged], stored.schema))
+
+
+def control_key(row: Row) -> tuple:
+    return tuple(row[c] for c in CONTROL_KEYS)
+
+
+def sink_name(row: Row) -> str:
+    """The target as schema and table, or the table alone where it has no schema."""
+    return ".".join(part for part in (row["sinkschema"], row["sinktable"]) if part)
 
 
 def _attempt(load: Callable[[], LoadResult]) -> LoadResult:
@@ -177,12 +192,17 @@ def run_loads(
     increments to ``<root>/Files``. ``layouts`` gives the bucket layout of target tables,
     so that an increment rewrites only the buckets it touches. Up to four loads run at
     once, each in its own scheduler pool, so under the fair scheduler they share the
-    cluster.
+    cluster. Each outcome is logged as soon as its load is done, so a run that stops midway
+    keeps the marks of the finished tables. Results are named by ``sink_name``; two rows
+    with the same target are an error.
     """
     rows = filter_enabled(control.read(), stage).collect()
+    names = [sink_name(row) for row in rows]
+    if twice := {n for n in names if names.count(n) > 1}:
+        raise ValueError(f"several control rows load {', '.join(sorted(twice))}")
 
     def load(row: Row) -> LoadResult:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", row["sinktable"])
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", sink_name(row))
         keys = tuple(k for k in (row["tablekey"], row["tablekey2"]) if k)
         parts = [root, "Tables", row["sinkschema"], row["sinktable"]]
         layout = (layouts or {}).get(row["sinktable"])
@@ -195,14 +215,19 @@ def run_loads(
             return load_full(rows_in, table, *window)
         return load_incremental(rows_in, table, f"{root}/Files", *window)
 
+    batch = batch or _now()
+    done = {}
     with ThreadPoolExecutor(PARALLEL_LOADS) as pool:
-        done = list(pool.map(lambda row: (row, _attempt(lambda: load(row))), rows))
-    run_log(control, batch or _now(), done)
-    return {row["sinktable"]: result for row, result in done}
+        running = {pool.submit(_attempt, partial(load, row)): row for row in rows}
+        for finished in as_completed(running):
+            row, result = running[finished], finished.result()
+            run_log(control, batch, [(row, result)])
+            done[sink_name(row)] = result
+    return done
 
 
 def control_lake_table(spark: SparkSession, path: str, rows: DataFrame) -> LakeTable:
-    """Store control rows as a table keyed by source schema and table."""
+    """Store control rows as a table keyed by source and target."""
     table = LakeTable(spark, path, CONTROL_KEYS)
     table.create(rows.coalesce(1))
     return table

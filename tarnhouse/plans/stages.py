@@ -120,5 +120,6 @@ def run_stages(
             load_warehouse,
             warehouse=True,
             batch=batch,
+            layouts=layouts,
         )
     return done

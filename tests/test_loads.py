@@ -167,11 +167,71 @@ def test_warehouse_loads(spark, lake):
         return loads.run_loads(spark, control, lambda schema, name: views[name], lake, warehouse=True)
 
     first = run()
-    assert (first["SalesOrders"].inserted, first["SalesOrders"].updated) == (2, 0)
-    assert (first["Salesperson"].inserted, first["Salesperson"].updated) == (1, 0)
+    assert (first["Gold.SalesOrders"].inserted, first["Gold.SalesOrders"].updated) == (2, 0)
+    assert (first["Gold.Salesperson"].inserted, first["Gold.Salesperson"].updated) == (1, 0)
     # The mark moves on, and the closed window reads the row on it again.
     assert log(control)["SalesOrders"]["startdate"] == day(4)
-    assert (run()["SalesOrders"].inserted, run()["SalesOrders"].updated) == (0, 1)
+    assert (run()["Gold.SalesOrders"].inserted, run()["Gold.SalesOrders"].updated) == (0, 1)
     sold = warehouse_table(spark, f"{lake}/Tables/Gold", "SalesOrders").read()
     assert sold.schema["ExtendedPrice"].dataType.simpleString() == "decimal(18,2)"
     assert sold.count() == 2
+
+
+@pytest.mark.parametrize(
+    ("start_day", "end_day", "want"), [(None, None, [1, 2, 3]), (2, None, [2, 3]), (None, 3, [1, 2]), (2, 3, [2])]
+)
+def test_windows_may_be_open_at_either_end(spark, lake, start_day, end_day, want):
+    source = events(spark, (1, "a", day(1)), (2, "b", day(2)), (3, "c", day(3)))
+    window = [d and day(d) for d in (start_day, end_day)]
+    whole = LakeTable(spark, f"{lake}/whole", ("id",), "at")
+    loads.load_full(source, whole, *window)
+    part = LakeTable(spark, f"{lake}/part", ("id",), "at")
+    assert loads.load_incremental(source, part, lake, *window).rows_read == len(want)
+    for table in (whole, part):
+        assert sorted(r["id"] for r in table.read().collect()) == want
+
+
+TWINS = [
+    ("s", "one", "at", None, "Orders", ct.INCREMENTAL, "id", None),
+    ("s", "two", "at", None, "Orders", ct.INCREMENTAL, "id", None),
+    ("s", "one", "at", None, "Copy", ct.INCREMENTAL, "id", None),
+]
+
+
+def twins(spark, lake):
+    plan = ct.control_rows(spark, "p", TWINS[:1], "sa").unionByName(ct.control_rows(spark, "p", TWINS[1:], "sb"))
+    return loads.control_lake_table(spark, f"{lake}/control", plan)
+
+
+def test_equal_sink_names_and_shared_sources_stay_apart(spark, lake):
+    data = {"one": events(spark, *[(k, "a", day(1)) for k in range(5)]), "two": events(spark, (7, "b", day(2)))}
+    control = twins(spark, lake)
+    done = loads.run_loads(spark, control, lambda schema, name: data[name], lake)
+    assert {k: (r.status, r.rows_read) for k, r in done.items()} == {
+        "sa.Orders": ("Succeeded", 5), "sb.Orders": ("Succeeded", 1), "sb.Copy": ("Succeeded", 5),
+    }
+    assert rows(LakeTable(spark, f"{lake}/Tables/sb/Orders").read()) == [(7, "b", day(2))]
+    logged = {(r["sinkschema"], r["sinktable"]): r for r in control.read().collect()}
+    assert len(logged) == 3 and all(r["loadstatus"] == "Succeeded" for r in logged.values())
+    assert logged["sb", "Copy"]["startdate"] == day(1) and logged["sb", "Orders"]["startdate"] == day(2)
+
+
+def test_a_stopped_run_keeps_the_marks_of_finished_tables(spark, lake, monkeypatch):
+    control = twins(spark, lake)
+    logged = loads.run_log
+
+    def stop_at_second(control, batch, results):
+        if any(r["loadstatus"] for r in control.read().collect()):
+            raise KeyboardInterrupt
+        logged(control, batch, results)
+
+    monkeypatch.setattr(loads, "run_log", stop_at_second)
+    with pytest.raises(KeyboardInterrupt):
+        loads.run_loads(spark, control, lambda schema, name: events(spark, (1, "a", day(5))), lake)
+    assert sum(r["startdate"] == day(5) for r in control.read().collect()) == 1
+
+
+def test_two_rows_for_one_target_are_refused(spark, lake):
+    control = loads.control_lake_table(spark, f"{lake}/control", ct.control_rows(spark, "p", TWINS[:2], "s"))
+    with pytest.raises(ValueError, match="s.Orders"):
+        loads.run_loads(spark, control, lambda schema, name: None, lake)
