@@ -16,7 +16,6 @@ from tarnhouse.catalogue.registry import query
 from tarnhouse.functions.dates import load_time
 from tarnhouse.operators.aggregates import summarize_columns
 from tarnhouse.plans import trips as tr
-from tarnhouse.plans.calendars import build_calendar
 from tarnhouse.plans.gold import dim_supplier
 from tarnhouse.session import local_rows, scratch_path
 from tarnhouse.sources import files as fs
@@ -354,23 +353,21 @@ def export_parquet(spark: SparkSession, sf: str) -> DataFrame:
     "ctas_aggregate",
     m.sql(
         """SELECT c.year AS CalendarYear, CAST(sum(s.Quantity) AS BIGINT) AS SumOfQuantity
-        FROM m_sales s LEFT JOIN m_calendar c ON s.DateKey = c.date GROUP BY c.year"""
+        FROM m_sales s LEFT JOIN m_report_days c ON s.DateKey = c.date GROUP BY c.year"""
     ),
 )
 def ctas_aggregate(spark: SparkSession, sf: str) -> DataFrame:
-    calendar = build_calendar(spark, m.FIRST_YEAR, m.LAST_YEAR).select(
-        "date", F.col("year").alias("CalendarYear")
-    )
+    calendar = m.report_calendar(spark, sf).select("date", F.col("year").alias("CalendarYear"))
     yearly = summarize_columns(
         m.sales_by_order(spark, sf), calendar, ("DateKey", "date"), ["CalendarYear"], {"SumOfQuantity": "Quantity"}
     )
     return fs.ctas(yearly, "sales_by_year", scratch_path(spark, "sales-by-year"))
 
 
-DIM_SUPPLIER_SQL = """SELECT CAST(rank() OVER (ORDER BY k.id) AS INTEGER) AS SupplierKey,
-    CAST(k.id AS INTEGER) AS SupplierID, SupplierName, SupplierCategoryName,
-    DATE '2013-01-01' AS ValidFromDate
-    FROM (SELECT *, SupplierID AS id FROM m_suppliers) k LEFT JOIN m_supcats USING (SupplierCategoryID)"""
+DIM_SUPPLIER_SQL = """SELECT CAST(row_number() OVER (ORDER BY s_suppkey) AS INTEGER) AS SupplierKey,
+    CAST(s_suppkey AS INTEGER) AS SupplierID, s_name AS SupplierName,
+    'Category ' || n_name AS SupplierCategoryName, DATE '2013-01-01' AS ValidFromDate
+    FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey"""
 
 
 @query("create_or_replace_as", m.sql(DIM_SUPPLIER_SQL))

@@ -352,8 +352,7 @@ def run_stages_query(spark: SparkSession, sf: str) -> DataFrame:
             Controls(tables["bronze"], tables["gold"]),
             staged_source(spark, sf),
             root,
-            m.FIRST_YEAR,
-            m.LAST_YEAR,
+            *m.year_range(spark, sf),
             batch=BATCH,
             as_of=date(2024, 3, 1),
         )

@@ -13,17 +13,14 @@ from tarnhouse.operators import discounts as dc
 from tarnhouse.operators import ranking as rk
 from tarnhouse.operators.routing import Aggregate, Measure, aggregate_routing
 from tarnhouse.operators.sets import union_distinct as union_distinct_rows
-from tarnhouse.plans.calendars import build_calendar
 from tarnhouse.plans.trips import daily_amount as daily_amount_of
 from tarnhouse.session import scratch_path
 from tarnhouse.sources.lake import LakeTable
 
 
-def years(spark: SparkSession) -> DataFrame:
-    """The calendar as a year dimension."""
-    return build_calendar(spark, m.FIRST_YEAR, m.LAST_YEAR).select(
-        "date", F.col("year").alias("CalendarYear")
-    )
+def years(spark: SparkSession, sf: str) -> DataFrame:
+    """The report calendar as a year dimension."""
+    return m.report_calendar(spark, sf).select("date", F.col("year").alias("CalendarYear"))
 
 
 YEAR_KEY = ("DateKey", "date")
@@ -36,14 +33,14 @@ def count_all(spark: SparkSession, sf: str) -> DataFrame:
 
 SALES_BY_YEAR_SQL = m.sql(
     """SELECT c.year AS CalendarYear, CAST(sum(s.Quantity) AS BIGINT) AS SumOfQuantity
-    FROM m_sales s LEFT JOIN m_calendar c ON s.DateKey = c.date GROUP BY c.year"""
+    FROM m_sales s LEFT JOIN m_report_days c ON s.DateKey = c.date GROUP BY c.year"""
 )
 
 
 @query("sales_by_year", SALES_BY_YEAR_SQL)
 def sales_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return ag.summarize_columns(
-        m.sales_by_order(spark, sf), years(spark), YEAR_KEY, ["CalendarYear"], {"SumOfQuantity": "Quantity"}
+        m.sales_by_order(spark, sf), years(spark, sf), YEAR_KEY, ["CalendarYear"], {"SumOfQuantity": "Quantity"}
     )
 
 
@@ -51,13 +48,13 @@ def sales_by_year(spark: SparkSession, sf: str) -> DataFrame:
     "sales_by_customer_year",
     m.sql(
         """SELECT c.year AS CalendarYear, s.CustomerKey, CAST(sum(s.Quantity) AS BIGINT) AS SumOfQuantity
-        FROM m_sales s LEFT JOIN m_calendar c ON s.DateKey = c.date GROUP BY 1, 2"""
+        FROM m_sales s LEFT JOIN m_report_days c ON s.DateKey = c.date GROUP BY 1, 2"""
     ),
 )
 def sales_by_customer_year(spark: SparkSession, sf: str) -> DataFrame:
     return ag.summarize_columns(
         m.sales_by_order(spark, sf),
-        years(spark),
+        years(spark, sf),
         YEAR_KEY,
         ["CalendarYear"],
         {"SumOfQuantity": "Quantity"},
@@ -125,23 +122,23 @@ def summarize_columns(spark: SparkSession, sf: str) -> DataFrame:
         """SELECT c.year AS CalendarYear,
         count(DISTINCT s.CustomerKey) + CAST(max(CASE WHEN s.CustomerKey IS NULL THEN 1 ELSE 0 END) AS BIGINT)
         AS qty FROM (SELECT DateKey, CASE WHEN CustomerKey > 10 THEN CustomerKey END AS CustomerKey
-        FROM m_sales) s LEFT JOIN m_calendar c ON s.DateKey = c.date GROUP BY 1"""
+        FROM m_sales) s LEFT JOIN m_report_days c ON s.DateKey = c.date GROUP BY 1"""
     ),
 )
 def distinct_count(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct customers by year, where the first customers count as unknown."""
     fact = m.sales_by_order(spark, sf).withColumn("CustomerKey", F.expr("CASE WHEN CustomerKey > 10 THEN CustomerKey END"))
-    return ag.distinct_count(fact, years(spark), YEAR_KEY, ["CalendarYear"], "CustomerKey", "qty")
+    return ag.distinct_count(fact, years(spark, sf), YEAR_KEY, ["CalendarYear"], "CustomerKey", "qty")
 
 
 ROLLUP_SQL = """SELECT c.year AS CalendarYear, grouping(c.year) = 1 AS IsGrandTotalRowTotal,
     CAST(sum(s.Quantity) AS BIGINT) AS SumQuantity
-    FROM m_sales s LEFT JOIN m_calendar c ON s.DateKey = c.date GROUP BY ROLLUP (c.year)"""
+    FROM m_sales s LEFT JOIN m_report_days c ON s.DateKey = c.date GROUP BY ROLLUP (c.year)"""
 
 
 def yearly_rollup(spark: SparkSession, sf: str) -> DataFrame:
     yearly = ag.summarize_columns(
-        m.sales_by_order(spark, sf), years(spark), YEAR_KEY, ["CalendarYear"], {"Quantity": "Quantity"}
+        m.sales_by_order(spark, sf), years(spark, sf), YEAR_KEY, ["CalendarYear"], {"Quantity": "Quantity"}
     )
     return ag.rollup_subtotal(yearly, "CalendarYear", "Quantity", "SumQuantity")
 
@@ -333,7 +330,7 @@ def discount_value(spark: SparkSession, sf: str) -> DataFrame:
     m.sql(
         """SELECT c.year AS CalendarYear, CAST(sum(s.Quantity) AS BIGINT) AS qty,
         count(DISTINCT s.CustomerKey) AS customers
-        FROM m_sales s LEFT JOIN m_calendar c ON s.DateKey = c.date GROUP BY 1"""
+        FROM m_sales s LEFT JOIN m_report_days c ON s.DateKey = c.date GROUP BY 1"""
     ),
 )
 def aggregate_routing_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,18 +339,19 @@ def aggregate_routing_query(spark: SparkSession, sf: str) -> DataFrame:
     The fact is read once, for the finer aggregate; the coarser one is summed from it.
     """
     fact = m.sales_by_order(spark, sf)
+    base = fact.join(years(spark, sf), F.col("DateKey") == F.col("date"), "left")
     finer = LakeTable(spark, scratch_path(spark, "by-customer-year"))
     sums = {"SumOfQuantity": "Quantity"}
     finer.create(
-        ag.summarize_columns(fact, years(spark), YEAR_KEY, ["CalendarYear"], sums, ["CustomerKey"])
+        # All groups are stored, also those without a quantity, so customers can be counted.
+        ag.sum_by(base, ["CalendarYear", "CustomerKey"], sums)
     )
     coarser = LakeTable(spark, scratch_path(spark, "by-year"))
     coarser.create(ag.sum_by(finer.read(), ["CalendarYear"], {"SumOfQuantity": "SumOfQuantity"}))
     held = {"Quantity": "SumOfQuantity"}
     aggregates = [
         Aggregate("by_year", coarser.read, frozenset({"CalendarYear"}), held),
-        Aggregate("by_customer_year", finer.read, frozenset({"CalendarYear", "CustomerKey"}), held),
+        Aggregate("by_customer_year", finer.read, frozenset({"CalendarYear", "CustomerKey"}), held, True),
     ]
-    base = fact.join(years(spark), F.col("DateKey") == F.col("date"), "left")
     measures = [Measure("qty", "sum", "Quantity"), Measure("customers", "distinct_count", "CustomerKey")]
     return aggregate_routing(base, aggregates, ["CalendarYear"], measures)

@@ -11,12 +11,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-
-# The generated calendar ends before the newest orders do, so that reports have a
-# blank group for the days it lacks.
-FIRST_YEAR, LAST_YEAR = 1995, 2000
+from tarnhouse.plans.calendars import build_calendar
 
+MONEY = "decimal(18,2)"
 
 # Declared columns of the given tables, which spare Spark a look into the files.
 SCHEMAS = {
@@ -40,6 +37,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
+def year_range(spark: SparkSession, sf: str) -> tuple[int, int]:
+    """The first and the last year with orders, for the calendars."""
+    days = table(spark, sf, "orders").agg(F.min("o_orderdate").alias("low"), F.max("o_orderdate").alias("high"))
+    low, high = days.first()
+    return (low.year, high.year) if low else (1995, 1995)
+
+
+def calendar(spark: SparkSession, sf: str) -> DataFrame:
+    return build_calendar(spark, *year_range(spark, sf))
+
+
+def report_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar without the first day of each month: reports meet a blank group."""
+    return calendar(spark, sf).filter("daynum > 1")
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Every column as text, the way silver tables loaded from CSV hold them."""
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
@@ -324,14 +337,16 @@ CTE = {
     "m_sales": """SELECT o.OrderDate AS DateKey, l.StockItemID AS ProductKey,
         o.CustomerID AS CustomerKey, l.Quantity, l.UnitPrice AS Amount
         FROM m_lines l JOIN m_orders o ON o.OrderID = l.OrderID""",
-    "m_days": f"""SELECT CAST(d AS DATE) AS date FROM generate_series(
-        TIMESTAMP '{FIRST_YEAR}-01-01', TIMESTAMP '{LAST_YEAR}-12-31', INTERVAL 1 DAY) AS s(d)""",
+    "m_days": """SELECT CAST(d AS DATE) AS date FROM (SELECT unnest(generate_series(
+        date_trunc('year', min(o_orderdate)), date_trunc('year', max(o_orderdate))
+        + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM orders)""",
     "m_calendar": """SELECT date, CAST(day(date) AS INTEGER) AS daynum,
         CAST(dayofweek(date) + 1 AS INTEGER) AS dayofweeknum, dayname(date) AS dayofweekname,
         CAST(month(date) AS INTEGER) AS monthnum, monthname(date) AS monthname,
         CAST(quarter(date) AS INTEGER) AS quarternum,
         'Q' || CAST(quarter(date) AS VARCHAR) AS quartername,
         CAST(year(date) AS INTEGER) AS year FROM m_days""",
+    "m_report_days": "SELECT * FROM m_calendar WHERE daynum > 1",
     "m_trips": """SELECT CAST(user_id AS INTEGER) AS VendorID,
         CAST(ts AS DATE) AS tpep_pickup_datetime,
         CAST(ts + INTERVAL 15 MINUTE AS DATE) AS tpep_dropoff_datetime,

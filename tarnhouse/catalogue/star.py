@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnhouse.catalogue import model as m
-from tarnhouse.catalogue.files import DIM_SUPPLIER_SQL
 from tarnhouse.catalogue.functions import ITALIAN_DAYS
 from tarnhouse.catalogue.registry import query
 from tarnhouse.plans import calendars as cal
@@ -44,7 +43,7 @@ def calendar_sql(columns: str, source: str = "m_calendar", **extra: str) -> str:
 
 @query("build_calendar", calendar_sql("c.*"))
 def build_calendar(spark: SparkSession, sf: str) -> DataFrame:
-    return with_orders(cal.build_calendar(spark, m.FIRST_YEAR, m.LAST_YEAR), "date", spark, sf)
+    return with_orders(m.calendar(spark, sf), "date", spark, sf)
 
 
 @query(
@@ -61,7 +60,8 @@ def build_calendar(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def dim_date_m(spark: SparkSession, sf: str) -> DataFrame:
-    days = cal.dim_date(spark, date(m.FIRST_YEAR, 1, 1), date(m.LAST_YEAR, 12, 31))
+    first, last = m.year_range(spark, sf)
+    days = cal.dim_date(spark, date(first, 1, 1), date(last, 12, 31))
     return with_orders(days, "FullDateAlternateKey", spark, sf)
 
 
@@ -86,12 +86,12 @@ def _names(value: str, names: list[str]) -> str:
         CAST(isodow(date) - 1 AS INTEGER) AS DayInWeek,
         {_names("isodow(date)", ITALIAN_DAYS)} AS DayOfWeekName,
         CAST(date + CAST(7 - isodow(date) AS INTEGER) AS DATE) AS WeekEnding""",
-        "(SELECT * FROM m_calendar WHERE date < DATE '2000-12-31')",
     ),
 )
 def calendar_culture(spark: SparkSession, sf: str) -> DataFrame:
-    """Italian names; the end date itself is not part of the calendar."""
-    days = cal.calendar_culture(spark, date(m.FIRST_YEAR, 1, 1), date(m.LAST_YEAR, 12, 31), "it-IT")
+    """Italian names; the end date, the next 1 January, is not part of the calendar."""
+    first, last = m.year_range(spark, sf)
+    days = cal.calendar_culture(spark, date(first, 1, 1), date(last + 1, 1, 1), "it-IT")
     return with_orders(days, "Date", spark, sf)
 
 
@@ -107,7 +107,7 @@ def calendar_culture(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def calendar_entity(spark: SparkSession, sf: str) -> DataFrame:
-    days = cal.calendar_entity(cal.build_calendar(spark, m.FIRST_YEAR, m.LAST_YEAR))
+    days = cal.calendar_entity(m.calendar(spark, sf))
     return with_orders(days, "Date", spark, sf)
 
 
@@ -120,7 +120,7 @@ def calendar_entity(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def v_calendar(spark: SparkSession, sf: str) -> DataFrame:
-    days = cal.v_calendar(cal.build_calendar(spark, m.FIRST_YEAR, m.LAST_YEAR))
+    days = cal.v_calendar(m.calendar(spark, sf))
     return with_orders(days, "Date", spark, sf)
 
 
@@ -199,27 +199,31 @@ def v_sales_orders(spark: SparkSession, sf: str) -> DataFrame:
 # -- gold star: silver columns are text, as loaded from CSV ---------------------
 
 
-DIM_CUSTOMER = """SELECT CAST(rank() OVER (ORDER BY CAST(k.id AS VARCHAR)) AS INTEGER) AS CustomerKey,
-    CAST(k.id AS INTEGER) AS CustomerID, CustomerName, CustomerCategoryName, BuyingGroupName,
-    DeliveryMethodName, CityName AS DeliveryCityName, StateProvinceName AS DeliveryStateProvinceName,
-    SalesTerritory AS DeliverySalesTerritory, CountryName AS DeliveryCountry,
-    Continent AS DeliveryContinent, Region AS DeliveryRegion, Subregion AS DeliverySubregion,
-    DATE '2013-01-01' AS ValidFromDate
-    FROM (SELECT *, CustomerID AS id FROM m_customers) k
-    LEFT JOIN m_categories USING (CustomerCategoryID)
-    LEFT JOIN m_groups USING (BuyingGroupID) LEFT JOIN m_methods USING (DeliveryMethodID)
-    LEFT JOIN (m_cities JOIN m_states USING (StateProvinceID) JOIN m_countries USING (CountryID))
-    ON CityID = DeliveryCityID"""
-
-DIM_STOCK_ITEM = """SELECT CAST(rank() OVER (ORDER BY CAST(k.id AS VARCHAR)) AS INTEGER) AS StockItemKey,
-    CAST(k.id AS INTEGER) AS StockItemID, StockItemName,
-    CAST(k.LeadTimeDays AS VARCHAR) AS LeadTimeDays, ColorName,
-    PackageTypeName AS OuterPackageTypeName, DATE '2013-01-01' AS ValidFromDate,
-    CAST(k.supplier AS INTEGER) AS SupplierID
-    FROM (SELECT *, StockItemID AS id, SupplierID AS supplier FROM m_items) k
-    LEFT JOIN m_colors USING (ColorID) LEFT JOIN m_packages ON PackageTypeID = OuterPackageID"""
-
-DIM_SUPPLIER_TEXT = DIM_SUPPLIER_SQL.replace("ORDER BY k.id", "ORDER BY CAST(k.id AS VARCHAR)")
+DIM_CUSTOMER = """SELECT CAST(row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS INTEGER) AS CustomerKey,
+    CAST(c_custkey AS INTEGER) AS CustomerID, c_name AS CustomerName,
+    upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS CustomerCategoryName,
+    CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'Group ' || c_mktsegment END AS BuyingGroupName,
+    CASE WHEN n_regionkey <> 0 THEN 'Via ' || n_name END AS DeliveryMethodName,
+    n_name AS DeliveryCityName, r_name AS DeliveryStateProvinceName,
+    'Territory ' || r_name AS DeliverySalesTerritory, 'Country ' || r_name AS DeliveryCountry,
+    r_name AS DeliveryContinent, lower(r_name) AS DeliveryRegion,
+    substring(r_name, 1, 2) AS DeliverySubregion, DATE '2013-01-01' AS ValidFromDate
+    FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+    LEFT JOIN region ON r_regionkey = n_regionkey"""
+
+DIM_STOCK_ITEM = """SELECT CAST(row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) AS INTEGER) AS StockItemKey,
+    CAST(p_partkey AS INTEGER) AS StockItemID, p_name AS StockItemName,
+    CAST(p_size AS VARCHAR) AS LeadTimeDays,
+    nullif(upper(split_part(p_name, ' ', 1)), 'RED') AS ColorName,
+    CASE WHEN p_type <> 'SMALL' THEN lower(p_type) END AS OuterPackageTypeName,
+    DATE '2013-01-01' AS ValidFromDate,
+    CAST((SELECT min(l_suppkey) FROM lineitem WHERE l_partkey = p_partkey) AS INTEGER) AS SupplierID
+    FROM part"""
+
+DIM_SUPPLIER_TEXT = """SELECT CAST(row_number() OVER (ORDER BY CAST(s_suppkey AS VARCHAR)) AS INTEGER) AS SupplierKey,
+    CAST(s_suppkey AS INTEGER) AS SupplierID, s_name AS SupplierName,
+    'Category ' || n_name AS SupplierCategoryName, DATE '2013-01-01' AS ValidFromDate
+    FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey"""
 
 STAR = {"g_customer": DIM_CUSTOMER, "g_item": DIM_STOCK_ITEM, "g_supplier": DIM_SUPPLIER_TEXT}
 
@@ -266,7 +270,7 @@ def dim_supplier(spark: SparkSession, sf: str) -> DataFrame:
 )
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
     """The days that have orders, as a pipe-delimited date file and back with types."""
-    days = cal.build_calendar(spark, m.FIRST_YEAR, m.LAST_YEAR)
+    days = m.calendar(spark, sf)
     ordered = m.orders(spark, sf).select("OrderDate").distinct()
     path = scratch_path(spark, "dates")
     fs.export_csv(
@@ -290,12 +294,15 @@ def dim_date(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "fact_sales",
     m.sql(
-        """SELECT CustomerKey, CAST(strftime(OrderDate, '%Y%m%d') AS INTEGER) AS OrderDateKey,
-        StockItemKey, SupplierKey, CAST(OrderID AS INTEGER) AS OrderID,
-        CAST(OrderLineID AS INTEGER) AS OrderLineID, Quantity AS SalesOrderQuantity,
-        UnitPrice AS SalesOrderUnitPrice
-        FROM m_lines JOIN m_orders USING (OrderID) JOIN g_customer USING (CustomerID)
-        JOIN (g_item JOIN g_supplier USING (SupplierID)) USING (StockItemID)""",
+        """SELECT CustomerKey, CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100
+            + day(o_orderdate) AS INTEGER) AS OrderDateKey,
+        StockItemKey, SupplierKey, CAST(l_orderkey AS INTEGER) AS OrderID,
+        CAST(l_linenumber AS INTEGER) AS OrderLineID, CAST(l_quantity AS INTEGER) AS SalesOrderQuantity,
+        CAST(l_extendedprice AS DECIMAL(18,2)) AS SalesOrderUnitPrice
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+        JOIN g_customer ON g_customer.CustomerID = o_custkey
+        JOIN g_item ON g_item.StockItemID = l_partkey
+        JOIN g_supplier ON g_supplier.SupplierID = g_item.SupplierID""",
         **STAR,
     ),
 )
