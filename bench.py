@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from tarnhouse.catalogue.all_queries import QUERIES
@@ -40,6 +41,7 @@ HEADLINE = [
     "load_incremental",
     "update_then_insert",
     "run_loads",
+    "run_stages",
 ]
 
 
@@ -51,6 +53,7 @@ def main() -> None:
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="16g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),  # one process, one disk
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

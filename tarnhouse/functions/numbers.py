@@ -15,8 +15,12 @@ def _col(column: str | Column) -> Column:
 
 
 def to_currency(column: str | Column) -> Column:
-    """Text in en-US form, such as ``$1,234.50``, with four decimals; unreadable text is null."""
-    return F.translate(_col(column), "$,", "").try_cast(CURRENCY)
+    """Text in en-US form, such as ``$1,234.50``, with four decimals; unreadable text is null.
+
+    An amount in parentheses is negative.
+    """
+    plain = F.translate(_col(column), "$,", "")
+    return F.regexp_replace(plain, r"^\s*\((.*)\)\s*$", "-$1").try_cast(CURRENCY)
 
 
 def currency_to_int(column: str | Column) -> Column:
@@ -24,6 +28,11 @@ def currency_to_int(column: str | Column) -> Column:
     return F.bround(_col(column), 0).cast("long")
 
 
+def text_to_int(column: str | Column) -> Column:
+    """A number in text as a whole number; halves go to the even neighbour."""
+    return F.bround(_col(column).cast("decimal(38,10)"), 0).cast("long")
+
+
 def safe_divide(numerator: str | Column, denominator: str | Column) -> Column:
     """The quotient, or null when the denominator is zero or null."""
     return F.try_divide(_col(numerator), _col(denominator))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnhouse.functions.dates import date_from_us_text
-from tarnhouse.functions.numbers import currency_to_int, to_currency
+from tarnhouse.functions.numbers import currency_to_int, text_to_int, to_currency
 from tarnhouse.operators.shaping import (
     cast_columns,
     combine_columns,
@@ -60,15 +60,7 @@ def entity_product(raw: DataFrame) -> DataFrame:
 def entity_sales(raw: DataFrame, date_pattern: str = "dd/MM/yyyy") -> DataFrame:
     """Invoice lines; the date is read in en-US form and kept as text in the model's form."""
     df = raw.withColumn("InvoiceDate", date_from_us_text("InvoiceDate"))
-    df = cast_columns(
-        df,
-        {
-            "Id": "long",
-            "Quantity": "long",
-            "SalesAmount": "long",
-            "InvoiceId": "long",
-            "ProductId": "long",
-        },
-    )
+    whole = ("Id", "Quantity", "SalesAmount", "InvoiceId", "ProductId")
+    df = df.withColumns({c: text_to_int(c) for c in whole})
     df = df.withColumn("InvoiceDate", F.date_format("InvoiceDate", date_pattern))
     return rename_columns(df, {"Id": "CustomerId"})

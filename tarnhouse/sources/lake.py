@@ -21,7 +21,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from tarnhouse.session import child_names, local_rows, remove_folder
 
@@ -164,6 +164,8 @@ class LakeTable:
         folder = uuid.uuid4().hex
         target = f"{self.path}/data/{folder}"
         if layout:
+            if layout.startswith("range") and not isinstance(df.schema[self.keys[0]].dataType, IntegralType):
+                raise ValueError(f"a range layout needs a whole-number key, and {self.keys[0]} is none")
             df = df.withColumn(BUCKET, bucket_of(layout, list(self.keys))).hint("rebalance", BUCKET)
         rows = F.count(F.lit(1)).alias("rows")
         mark = F.max(F.col(self.mark).cast("timestamp_ntz")) if self.mark else F.max(F.lit(None))
