@@ -14,9 +14,9 @@ from tarnhouse.operators.filters import filter_date_range
 from tarnhouse.operators.upsert import create_or_upsert, latest_per_key, update_then_insert
 from tarnhouse.operators.upsert import upsert as upsert_rows
 from tarnhouse.plans import loads
-from tarnhouse.plans.control import GOLD, control_rows, control_table
+from tarnhouse.plans.control import GOLD, WAREHOUSE, control_rows, control_table
 from tarnhouse.plans.stages import Controls, Source, run_stages
-from tarnhouse.plans.warehouse import warehouse_table
+from tarnhouse.plans.warehouse import create_tables, warehouse_table
 from tarnhouse.session import scratch_path
 from tarnhouse.sources.database import ParquetSource
 from tarnhouse.sources.lake import LakeTable, hash_layout, range_layout
@@ -322,41 +322,71 @@ UNIQUE_LINES = """SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTIT
     TaxAmount DESC) AS r FROM m_lines) WHERE r = 1"""
 
 
-@query(
-    "run_stages",
-    m.sql(
-        SALES_ORDERS_SQL.replace("m_lines", "u_lines"),
-        u_lines=UNIQUE_LINES,
-    ),
-)
-def run_stages_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze, calendar and gold, run twice; the second run changes nothing more.
-
-    The result is the sales-order fact of the gold stage.
-    """
+def staged(spark: SparkSession, sf: str, times: int = 1, warehouse: bool = False) -> str:
+    """Runs the stages and returns their root; the warehouse tables exist empty before."""
     root = scratch_path(spark, "stages")
     early = F.lit("1995-01-01").cast("timestamp_ntz")
+    lists = {"bronze": (STAGED, None), "gold": (GOLD, None)}
+    if warehouse:
+        # Here the ids of buying groups are text, which the warehouse's customers cannot hold.
+        lists["warehouse"] = ([row for row in WAREHOUSE if row[4] != "Customer"], "Gold")
+        create_tables(spark, f"{root}/warehouse/Tables/Gold")
     tables = {
         name: loads.control_lake_table(
             spark,
             f"{root}/control/{name}",
-            control_rows(spark, "stages", rows).withColumn(
+            control_rows(spark, "stages", rows, schema).withColumn(
                 "startdate", F.when(F.col("datecolumn").isNotNull(), early)
             ),
         )
-        for name, rows in (("bronze", STAGED), ("gold", GOLD))
+        for name, (rows, schema) in lists.items()
     }
-    for _ in range(2):
+    for _ in range(times):
         done = run_stages(
             spark,
-            Controls(tables["bronze"], tables["gold"]),
+            Controls(**tables),
             staged_source(spark, sf),
             root,
             *m.year_range(spark, sf),
+            load_warehouse=int(warehouse),
             batch=BATCH,
             as_of=date(2024, 3, 1),
         )
         failed = [r.error for stage in done.values() for r in stage.values() if r.error]
         if failed:
             raise RuntimeError(failed[0])
+    return root
+
+
+@query(
+    "run_stages",
+    m.sql(
+        SALES_ORDERS_SQL.replace("m_lines", "u_lines"),
+        u_lines=UNIQUE_LINES,
+    ),
+)
+def run_stages_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze, calendar and gold, run twice; the second run changes nothing more.
+
+    The result is the sales-order fact of the gold stage.
+    """
+    root = staged(spark, sf, times=2)
     return LakeTable(spark, f"{root}/gold/Tables/SalesOrders").read()
+
+
+@query(
+    "run_stages_warehouse",
+    m.sql(
+        """SELECT CAST(OrderID AS INTEGER) AS OrderID, CAST(OrderLineID AS INTEGER) AS OrderLineID,
+        CAST(CustomerID AS INTEGER) AS CustomerID, CAST(StockItemID AS INTEGER) AS StockItemID,
+        CAST(SalespersonPersonID AS INTEGER) AS SalespersonPersonID, OrderDate,
+        CAST(Quantity AS INTEGER) AS Quantity, CAST(ExtendedPrice AS DECIMAL(18,2)) AS ExtendedPrice,
+        LastUpdated FROM u_sales""",
+        u_sales=SALES_ORDERS_SQL.replace("m_lines", "u_lines"),
+        u_lines=UNIQUE_LINES,
+    ),
+)
+def run_stages_warehouse(spark: SparkSession, sf: str) -> DataFrame:
+    """All three stages once; the result is the sales-order fact of the warehouse."""
+    root = staged(spark, sf, warehouse=True)
+    return warehouse_table(spark, f"{root}/warehouse/Tables/Gold", "SalesOrders").read()
