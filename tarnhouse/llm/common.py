@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tarnhouse.session import remove_folder, scratch_path
 
+# A join's smaller side is sent to all executors up to this size, and shuffled beyond.
+BROADCAST_BYTES = 64 << 20
+
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -52,6 +55,15 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def measured(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows, to be broadcast if their measured size allows it; else Spark picks the join.
+
+    ``df`` is measured by a job of its own, so pass stored rows.
+    """
+    size = df.agg(F.sum(F.lit(0).cast("long") + row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnhouse.llm.common import Stored, free_name, numbered
+from tarnhouse.llm.common import Stored, free_name, measured, numbered
 
 # Estimates this far from the threshold, as a share of it, are decided without an exact count:
 # over ten standard errors of the sketch.
@@ -94,7 +94,8 @@ def with_removals(docs: DataFrame, min_sites: int, site: str) -> tuple[DataFrame
     removed = removed_lines(docs, min_sites, site).select(
         F.col("line_rid").alias(row), F.col("removed_at").alias(places)
     )
-    return numbered(docs, row).join(Stored(removed, "removed-lines").df, row, "left"), F.col(places)
+    removed = measured(Stored(removed, "removed-lines").df, 40 + 4 * F.size(places))
+    return numbered(docs, row).join(removed, row, "left"), F.col(places)
 
 
 def line_report(docs: DataFrame, min_sites: int = 8, site: str = "source") -> DataFrame:
