@@ -27,10 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnhouse.llm.common import Stored, free_name, numbered, release
+from tarnhouse.llm.common import Stored, free_name, measured, numbered, release
 from tarnhouse.llm.components import components
 
 COORDINATES = 128
@@ -169,30 +169,59 @@ class Forest:
         pairs = self.all_levels().where("node <> leader")
         return pairs.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
 
-    def blocks(self) -> DataFrame:
-        """Members by block of at most about 2 * small: small groups, and pairs of parts of the rest."""
-        whole = self.all_levels().where(F.col("n") <= self.small).select("path", F.lit(0).alias("p"), F.lit(0).alias("q"), "node")
+    def blocks(self, labels: DataFrame) -> DataFrame:
+        """Members with their components, by block of at most about 2 * small.
+
+        Small groups are one block. Large groups of the last level that hold several components
+        are dealt so that all pairs between components meet, but not those within the largest:
+        the rows grow with the number of nodes outside it.
+        """
+        known = labels.withColumnRenamed("node", "labelled")
+
+        def labelled(rows: DataFrame) -> DataFrame:
+            rows = rows.join(known, rows["node"] == known["labelled"], "left")
+            return rows.select("path", "node", F.coalesce("component", "node").alias("component"))
+
+        small = labelled(self.all_levels().where(F.col("n") <= self.small))
+        blocks = small.select("path", F.lit(0).alias("p"), F.lit(0).alias("q"), "node", "component")
         if self.rest is None:
-            return whole
-        parts = F.ceil(F.col("n") / self.small).cast("int")
-        own = F.pmod(F.xxhash64("node"), parts).cast("int")
-        other = F.explode(F.sequence(F.lit(0), parts - 1))
-        dealt = self.rest.select("path", "node", own.alias("own"), other.alias("other"))
-        return whole.unionByName(
-            dealt.select("path", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node")
+            return blocks
+        rest = Stored(labelled(self.rest), "forest-rest").df
+        sizes = rest.groupBy("path", "component").agg(F.count("*").alias("n"))
+        shape = sizes.groupBy("path").agg(
+            F.max(F.struct("n", "component")).alias("largest"), F.sum("n").alias("total"), F.count("*").alias("kinds")
+        )
+        shape = shape.where("kinds > 1").select(
+            "path",
+            F.col("largest.component").alias("main"),
+            F.ceil(F.col("largest.n") / self.small).cast("int").alias("main_parts"),
+            F.ceil((F.col("total") - F.col("largest.n")) / self.small).cast("int").alias("other_parts"),
+        )
+        rows = rest.join(shape, "path")
+        upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+        main = rows.where("component = main").select(
+            "path", F.explode(upto("other_parts")).alias("p"), (-1 - part("main_parts")).alias("q"), "node", "component"
+        )
+        others = rows.where("component <> main").withColumn("own", part("other_parts"))
+        to_main = others.select("path", F.col("own").alias("p"), F.explode(upto("main_parts")).alias("q"), "node", "component")
+        to_others = others.select("path", "own", F.explode(upto("other_parts")).alias("other"), "node", "component")
+        return (
+            blocks.unionByName(main)
+            .unionByName(to_main.withColumn("q", -1 - F.col("q")))
+            .unionByName(
+                to_others.select(
+                    "path", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "component"
+                )
+            )
         )
 
     def pairs_between(self, labels: DataFrame) -> DataFrame:
         """Pairs in a block that are not in one component; blocks within a component vanish."""
-        known = labels.withColumnRenamed("node", "labelled")
-        rows = self.blocks()
-        rows = rows.join(known, rows["node"] == known["labelled"], "left").select(
-            "path", "p", "q", F.struct("node", F.coalesce("component", "node").alias("component")).alias("member")
-        )
-        mixed_blocks = rows.groupBy("path", "p", "q").agg(
-            F.collect_list("member").alias("members"),
-            F.min("member.component").alias("low"),
-            F.max("member.component").alias("high"),
+        mixed_blocks = self.blocks(labels).groupBy("path", "p", "q").agg(
+            F.collect_list(F.struct("node", "component")).alias("members"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
         ).where("low <> high")
         one = mixed_blocks.select(F.explode("members").alias("x"), "members")
         others = F.filter(
@@ -216,20 +245,39 @@ def alike_by_signature(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFr
     return pairs.join(left, "a").join(right, "b").where(equal >= least).select("a", "b")
 
 
-def verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    candidates = Stored(pairs, "candidates")
-    nodes = candidates.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = Stored(shingle_sets(docs, nodes, size), "shingle-sets")
-    left = sets.df.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.df.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    both = candidates.df.join(left, "a").join(right, "b").select("a", "b", common.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
-    links = Stored(both.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).select("a", "b"), "links").df
-    sets.remove()
-    candidates.remove()
-    release(spark)
-    return links
+class Verifier:
+    """Compares full sets; those that were fetched once are kept for later pairs."""
+
+    def __init__(self, docs: DataFrame, size: int, percent: int):
+        self.docs, self.size, self.percent = docs, size, percent
+        self.sets: list[Stored] = []
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose full sets reach the threshold."""
+        candidates = Stored(pairs, "candidates")
+        nodes = candidates.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        for known in self.sets:
+            nodes = nodes.join(known.df.select("node"), "node", "left_anti")
+        wanted = Stored(nodes, "candidate-nodes")
+        self.sets.append(Stored(shingle_sets(self.docs, measured(wanted.df, 24), self.size), "shingle-sets"))
+        wanted.remove()
+        sets = self.sets[0].df
+        for more in self.sets[1:]:
+            sets = sets.unionByName(more.df)
+        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+        common = F.size(F.array_intersect("sa", "sb")).alias("i")
+        both = candidates.df.join(left, "a").join(right, "b")
+        both = both.select("a", "b", common, (F.size("sa") + F.size("sb")).alias("n"))
+        links = both.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * self.percent).select("a", "b")
+        links = Stored(links, "links").df
+        candidates.remove()
+        release(self.docs.sparkSession)
+        return links
+
+    def remove(self) -> None:
+        for stored in self.sets:
+            stored.remove()
 
 
 def near_duplicates(
@@ -260,11 +308,12 @@ def near_duplicates(
     release(spark)
     forest = Forest(nodes.df, trees, threshold, small, depth)
     least = int((threshold - margin) * COORDINATES)
-    first = verified(spark, docs, alike_by_signature(forest.leader_pairs(), nodes.df, least), shingle_words, percent)
+    verifier = Verifier(docs, shingle_words, percent)
+    first = verifier.links(alike_by_signature(forest.leader_pairs(), nodes.df, least))
     labels = components(first)
-    pairs = alike_by_signature(forest.pairs_between(labels.df), nodes.df, least)
-    second = verified(spark, docs, pairs, shingle_words, percent)
+    second = verifier.links(alike_by_signature(forest.pairs_between(labels.df), nodes.df, least))
     labels = components(first.unionByName(second))
+    verifier.remove()
     forest.remove()
     release(spark)
 
@@ -298,5 +347,6 @@ def near_report(docs: DataFrame, **parameters) -> DataFrame:
 def keep_first(docs: DataFrame, **parameters) -> DataFrame:
     """The documents without all but one of each group of near duplicates."""
     row = free_name(docs, "row")
-    first = near_duplicates(docs, **parameters).where("is_first").select(F.col("rid").alias(row))
-    return numbered(docs, row).join(Stored(first, "first-rows").df, row, "left_semi").select(*docs.columns)
+    others = near_duplicates(docs, **parameters).where("NOT is_first").select(F.col("rid").alias(row))
+    others = measured(Stored(others, "other-rows").df, 24)
+    return numbered(docs, row).join(others, row, "left_anti").select(*docs.columns)
