@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnhouse.llm.common import Stored, ascii_lower, free_name, numbered
+from tarnhouse.llm.common import BROADCAST_BYTES, Stored, ascii_lower, free_name, measured, numbered
 
 # What separates words, once A-Z are lower-case. Fixed value.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -56,15 +56,11 @@ def benchmark_windows(benchmark: DataFrame, size: int) -> DataFrame:
 
 
 def benchmark_hits(
-    docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_bytes: int = 64 << 20
+    docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Per row: rid, doc_id, n_words, hits (at, length) in order of words, and the items they are from."""
     known = Stored(benchmark_windows(benchmark, size), "benchmark-windows").df
-    measured = known.groupBy("length").agg(
-        F.sum(F.octet_length("gram") + 64 + 8 * F.size("items")).alias("bytes")
-    )
-    per_length = {r["length"]: r["bytes"] for r in measured.collect()}  # one row for each length up to size
-    lengths = sorted(per_length)
+    lengths = sorted(r["length"] for r in known.select("length").distinct().collect())  # at most ``size`` rows
     header = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("length"), F.lit("").alias("gram"))
     words = F.col("words")
     split = docs.select(
@@ -81,8 +77,7 @@ def benchmark_hits(
     lookup = known.select("gram", "items").unionByName(
         known.sparkSession.range(1).select(F.lit("").alias("gram"), no_items.alias("items"))
     )
-    if sum(per_length.values()) <= broadcast_bytes:
-        lookup = F.broadcast(lookup)
+    lookup = measured(lookup, F.octet_length("gram") + 64 + 8 * F.size("items"), broadcast_bytes)
     hits = rows.join(lookup, "gram")
     own = F.when(F.col("at") >= 0, F.struct((F.col("begin") + F.col("at")).alias("at"), "length"))
     return hits.groupBy("rid").agg(
@@ -129,6 +124,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     row, words = free_name(docs, "row"), free_name(docs, "hit_words")
     hits = benchmark_hits(docs, benchmark, **parameters).where(F.size("hits") > 0)
     hits = Stored(hits.select(F.col("rid").alias(row), F.col("hits").alias(words)), "benchmark-hits").df
+    hits = measured(hits, 40 + 8 * F.size(words))
     if remove == "documents":
         return numbered(docs, row).join(hits, row, "left_anti").select(*docs.columns)
     joined = numbered(docs, row).join(hits, row, "left")

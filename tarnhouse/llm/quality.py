@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnhouse.llm.blocks import BLOCK_DOCS, by_bucket, pack, unpack
-from tarnhouse.llm.common import Stored, free_name, numbered, release
+from tarnhouse.llm.common import BROADCAST_BYTES, Stored, free_name, measured, numbered, release
 
 ORDER = 4
 BITS = 16  # of a character in an n-gram's code
@@ -145,7 +145,7 @@ class KneserNey:
             self.counts[k] = self.keep(lower.agg(F.count("*").alias("n")), "counts")
         self.discounted, self.contexts = {}, {}
         for k, table in self.counts.items():
-            rows = table.join(F.broadcast(self.discounts(table)), self.key)  # one row for each kind and language
+            rows = table.join(self.discounts(table), self.key)
             less = F.get("discount", F.least("n", F.lit(3)).cast("int") - 1)
             rows = rows.select(*self.key, "code", "n", less.alias("less"))
             self.discounted[k] = rows.withColumn("rest", F.col("n") - F.col("less")).drop("n", "less")
@@ -259,12 +259,10 @@ def summed(group: pd.DataFrame) -> pd.DataFrame:
 SCORES = "rid long, doc_id string, lang string, n_grams long, known boolean, surprise long, evidence long"
 
 
-def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadcast_bytes: int = 64 << 20) -> DataFrame:
+def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """rid, doc_id, lang, n_grams, perplexity, toxicity and kind (of label) of each row; stored."""
     spark = docs.sparkSession
-    classes = Stored(label_classes(labels), "label-classes").df
-    if classes.count() * 32 <= broadcast_bytes:
-        classes = F.broadcast(classes)
+    classes = measured(Stored(label_classes(labels), "label-classes").df, 40, broadcast_bytes)
     texts = keyed(docs)
     known = texts.join(classes, texts["doc_id"] == F.col("label_id").cast("string"))
     counts = tallied(known, "kind lang").groupBy("kind", "lang", "code").agg(F.sum("n").alias("n"))
@@ -370,4 +368,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
     """The documents that are not rejected."""
     row = free_name(docs, "row")
     rejected = quality(docs, labels, **parameters).where("rejected").select(F.col("rid").alias(row))
-    return numbered(docs, row).join(Stored(rejected, "rejected").df, row, "left_anti").select(*docs.columns)
+    return numbered(docs, row).join(
+        measured(Stored(rejected, "rejected").df, 24), row, "left_anti"
+    ).select(*docs.columns)
