@@ -110,53 +110,53 @@ def induce_by_bucket(s: np.ndarray, symbols: int, smaller: np.ndarray, ranked: n
 
 
 def induce_by_symbol(s: np.ndarray, symbols: int, smaller: np.ndarray, ranked: np.ndarray) -> np.ndarray:
+    n = len(s)
     starts = np.concatenate([[0], np.cumsum(np.bincount(s, minlength=symbols))]).tolist()
-    text, small = s.tolist(), smaller.tolist()
-    out = [-1] * len(text)
-    tail = starts[1:]
-    for k in reversed(ranked.tolist()):
-        tail[text[k]] -= 1
-        out[tail[text[k]]] = k
-    head = starts[:-1]
-    for i in range(len(out)):
-        j = out[i] - 1
-        if j >= 0 and not small[j]:
-            out[head[text[j]]] = j
-            head[text[j]] += 1
-    tail = starts[1:]
-    for i in range(len(out) - 1, -1, -1):
-        j = out[i] - 1
-        if j >= 0 and small[j]:
-            tail[text[j]] -= 1
-            out[tail[text[j]]] = j
-    out[0] = len(text) - 1
+    # For each suffix, the bucket of the one before it, if that is of the wanted type; the last
+    # entry is for places that are still empty, which hold -1.
+    before_l, before_s = np.full(n + 1, -1), np.full(n + 1, -1)
+    before_l[1:n] = np.where(smaller[:-1], -1, s[:-1])
+    before_s[1:n] = np.where(smaller[:-1], s[:-1], -1)
+    out, tail = [-1] * n, starts[1:]
+    for k, c in zip(ranked[::-1].tolist(), s[ranked[::-1]].tolist(), strict=True):
+        tail[c] -= 1
+        out[tail[c]] = k
+    head, bucket = starts[:-1], before_l.tolist()
+    for k in out:  # which is filled as it is read
+        c = bucket[k]
+        if c >= 0:
+            out[head[c]] = k - 1
+            head[c] += 1
+    tail, bucket = starts[1:], before_s.tolist()
+    for k in reversed(out):
+        c = bucket[k]
+        if c >= 0:
+            tail[c] -= 1
+            out[tail[c]] = k - 1
+    out[0] = n - 1
     return np.array(out, dtype=np.int64)
 
 
 def permuted_common_prefixes(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """In text order, how far each suffix agrees with the one before it in ``order``, up to ``most``.
 
-    All suffixes are extended together, by blocks of halving size whose equality is looked up in
-    ranks of substrings, so the work is linear for a fixed ``most``.
+    All suffixes are compared together, several symbols packed in a number at a time, so the work
+    is linear for a fixed ``most``. The last symbol is unique, so suffixes differ before they end.
     """
     n = len(s)
-    previous = np.full(n, -1, dtype=np.int64)
-    previous[order[1:]] = order[:-1]
-    levels = [s.astype(np.int64)]
-    size = 1
-    while 2 * size <= most:
-        ranks = levels[-1]
-        second = np.full(n, -1, dtype=np.int64)
-        second[: max(n - size, 0)] = ranks[size:]
-        pairs = ranks * (int(ranks.max()) + 2) + second + 1
-        levels.append(np.unique(pairs, return_inverse=True)[1].astype(np.int64))
-        size *= 2
+    bits = max(int(s.max()).bit_length(), 1)
+    per = max(62 // bits, 1)
+    packed = np.zeros(n + most + per, dtype=np.int64)
+    for k in range(per):
+        packed[: max(n - k, 0)] |= s[k:].astype(np.int64) << (bits * k)
     common = np.zeros(n, dtype=np.int64)
-    here = np.flatnonzero(previous >= 0)
-    for ranks in reversed(levels):
-        x, y = here + common[here], previous[here] + common[here]
-        fits = (x + size <= n) & (y + size <= n) & (common[here] + size <= most)
-        fits[fits] = ranks[x[fits]] == ranks[y[fits]]
-        common[here[fits]] += size
-        size //= 2
-    return common
+    here, before = order[1:], order[:-1]
+    for at in range(0, most, per):
+        differs = packed[here + at] ^ packed[before + at]
+        same = differs == 0
+        ends, differs = here[~same], differs[~same]
+        lowest = np.log2((differs & -differs).astype(np.float64)).astype(np.int64)
+        common[ends] = at + lowest // bits
+        here, before = here[same], before[same]
+    common[here] = most
+    return np.minimum(common, most)

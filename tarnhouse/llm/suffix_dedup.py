@@ -83,22 +83,15 @@ class Bytes:
 
     def anchors(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of anchors, and the first and last start of the windows that chose each."""
-        places, firsts, lasts = [], [], []
-        starts = self.ends - self.starts >= length
-        for start, end in zip(self.starts[starts].tolist(), self.ends[starts].tolist(), strict=True):
-            for a in range(start, end - length + 1, PIECE):
-                b = min(a + PIECE, end - length + 1)
-                own, first, last = self.piece_anchors(a, b, length)
-                places.append(own)
-                firsts.append(first)
-                lasts.append(last)
-        if not places:
+        found = [self.piece_anchors(a, length) for a in range(0, len(self.data) - length + 1, PIECE)]
+        if not found:
             return (np.empty(0, dtype=np.int64),) * 3
-        return np.concatenate(places), np.concatenate(firsts), np.concatenate(lasts)
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
-    def piece_anchors(self, a: int, b: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def piece_anchors(self, start: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         width = length - ANCHOR + 1
-        at = np.arange(a, b + width - 1)
+        stop = min(start + PIECE, len(self.data) - length + 1)
+        at = np.arange(start, stop + width - 1)
         # The hash with the place in its low bits: of equal hashes the leftmost wins.
         low = np.uint64((1 << 24) - 1)
         keys = (self.hash(at, at + ANCHOR) & ~low) | np.arange(len(at), dtype=np.uint64)
@@ -108,9 +101,13 @@ class Bytes:
             size *= 2
         if size < width:
             keys = np.minimum(keys[: size - width], keys[width - size :])
-        chosen = (keys & low).astype(np.int64) + a
-        change = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
-        return chosen[change], change + a, np.append(change[1:], len(chosen)) - 1 + a
+        chosen = (keys & low).astype(np.int64) + start
+        # Windows that reach into the next document are none.
+        windows = np.arange(start, stop)
+        windows = windows[windows + length <= self.ends[self.doc_of(windows)]]
+        chosen = chosen[windows - start]
+        change = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]])) if len(chosen) else windows[:0]
+        return chosen[change], windows[change], windows[np.append(change[1:], len(chosen)) - 1] if len(chosen) else change
 
     def cells(self, anchors, firsts, lasts, length: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each cell: its key, and the first and last window start inside the document."""
