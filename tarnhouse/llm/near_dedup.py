@@ -8,9 +8,10 @@ recall: a pair at the threshold survives a branching with probability 0.87, so t
 with probability 1e-9 after one branching and 1e-3 after five.
 
 Dense groups of near copies never fall apart by branching. So every group is first compared with
-its leader, which is linear, the verified links are joined to components, and the exhaustive
-comparison then skips pairs that are in one component already: such a link could change nothing.
-Large groups of the last level that still hold several components are compared in blocks.
+its leader, which is linear, and the verified links are joined to components. A large group within
+one component is settled, as no link in it could change anything. One with few nodes outside its
+largest component is compared in blocks, as are all that are left at the last level; the others
+branch again. The exhaustive comparisons skip pairs that are in one component already.
 
 A pair is a candidate if its signatures agree in enough places, and a link if the full shingle
 sets do. Nothing is capped, and no group is gathered in one task.
@@ -138,83 +139,82 @@ class Forest:
     """The groups of all trees, level by level, as stored tables of (path, node, n, leader)."""
 
     def __init__(self, nodes: DataFrame, trees: int, threshold: float, small: int, depth: int):
+        self.nodes, self.threshold, self.small, self.depth = nodes, threshold, small, depth
         roots = F.explode(F.sequence(F.lit(1), F.lit(trees)).cast("array<bigint>"))
         members = nodes.select("node", "signature", roots.alias("root"))
-        members = members.select("node", F.explode(children(F.col("root"), threshold)).alias("path"))
+        self.members = members.select("node", F.explode(children(F.col("root"), threshold)).alias("path"))
         self.levels: list[Stored] = []
-        self.small, self.rest = small, None
-        while True:
-            groups = members.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
-            level = Stored(members.join(groups.where("n > 1"), "path"), "forest")
-            self.levels.append(level)
-            large = level.df.where(F.col("n") > small)
-            if large.isEmpty():
-                return
-            if len(self.levels) == depth:
-                self.rest = large
-                return
-            members = (
-                large.select("path", "node")
-                .join(nodes.select("node", "signature"), "node")
-                .select("node", F.explode(children(F.col("path"), threshold)).alias("path"))
-            )
-
-    def all_levels(self) -> DataFrame:
-        out = self.levels[0].df
-        for level in self.levels[1:]:
-            out = out.unionByName(level.df)
-        return out
-
-    def leader_pairs(self) -> DataFrame:
-        pairs = self.all_levels().where("node <> leader")
+        self.rest: list[Stored] = []
+
+    def grow(self) -> DataFrame:
+        """The next level's groups; returns each leader's pairs with its group."""
+        groups = self.members.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
+        level = Stored(self.members.join(groups.where("n > 1"), "path"), "forest")
+        self.levels.append(level)
+        pairs = level.df.where("node <> leader")
         return pairs.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
 
-    def blocks(self, labels: DataFrame) -> DataFrame:
-        """Members with their components, by block of at most about 2 * small.
+    def branch(self, labels: DataFrame) -> bool:
+        """Branches the large groups that are not settled; whether there are any.
 
-        Small groups are one block. Large groups of the last level that hold several components
-        are dealt so that all pairs between components meet, but not those within the largest:
-        the rows grow with the number of nodes outside it.
+        A group within one component is settled. One that has few nodes outside its largest
+        component is compared in blocks later, which costs less than more levels; so are all
+        that are left at the last level.
         """
-        known = labels.withColumnRenamed("node", "labelled")
-
-        def labelled(rows: DataFrame) -> DataFrame:
-            rows = rows.join(known, rows["node"] == known["labelled"], "left")
-            return rows.select("path", "node", F.coalesce("component", "node").alias("component"))
-
-        small = labelled(self.all_levels().where(F.col("n") <= self.small))
-        blocks = small.select("path", F.lit(0).alias("p"), F.lit(0).alias("q"), "node", "component")
-        if self.rest is None:
-            return blocks
-        rest = Stored(labelled(self.rest), "forest-rest").df
-        sizes = rest.groupBy("path", "component").agg(F.count("*").alias("n"))
+        large = self.levels[-1].df.where(F.col("n") > self.small)
+        if large.isEmpty():
+            return False
+        rows = Stored(with_components(large, labels), "forest-large")
+        sizes = rows.df.groupBy("path", "component").agg(F.count("*").alias("n"))
         shape = sizes.groupBy("path").agg(
             F.max(F.struct("n", "component")).alias("largest"), F.sum("n").alias("total"), F.count("*").alias("kinds")
         )
         shape = shape.where("kinds > 1").select(
             "path",
             F.col("largest.component").alias("main"),
-            F.ceil(F.col("largest.n") / self.small).cast("int").alias("main_parts"),
-            F.ceil((F.col("total") - F.col("largest.n")) / self.small).cast("int").alias("other_parts"),
-        )
-        rows = rest.join(shape, "path")
-        upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-        part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-        main = rows.where("component = main").select(
-            "path", F.explode(upto("other_parts")).alias("p"), (-1 - part("main_parts")).alias("q"), "node", "component"
+            F.col("largest.n").alias("main_n"),
+            (F.col("total") - F.col("largest.n")).alias("other_n"),
         )
-        others = rows.where("component <> main").withColumn("own", part("other_parts"))
-        to_main = others.select("path", F.col("own").alias("p"), F.explode(upto("main_parts")).alias("q"), "node", "component")
-        to_others = others.select("path", "own", F.explode(upto("other_parts")).alias("other"), "node", "component")
-        return (
-            blocks.unionByName(main)
-            .unionByName(to_main.withColumn("q", -1 - F.col("q")))
-            .unionByName(
-                to_others.select(
-                    "path", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "component"
-                )
-            )
+        shape = Stored(shape, "forest-shape").df
+        last = F.lit(len(self.levels) >= self.depth)
+        in_blocks = last | (F.col("other_n") <= self.small)
+        self.rest.append(Stored(rows.df.join(shape.where(in_blocks), "path"), "forest-rest"))
+        open_groups = shape.where(~in_blocks).select("path")
+        if open_groups.isEmpty():
+            return False
+        members = rows.df.select("path", "node").join(open_groups, "path", "left_semi")
+        self.members = members.join(self.nodes.select("node", "signature"), "node").select(
+            "node", F.explode(children(F.col("path"), self.threshold)).alias("path")
         )
+        return True
+
+    def blocks(self, labels: DataFrame) -> DataFrame:
+        """Members with their components, by block of at most about 2 * small.
+
+        Small groups are one block. Others are dealt so that all pairs between components meet,
+        but not those within the largest: the rows grow with the number of nodes outside it.
+        """
+        out = None
+        for level in self.levels:
+            small = with_components(level.df.where(F.col("n") <= self.small), labels)
+            small = small.select("path", F.lit(0).alias("p"), F.lit(0).alias("q"), "node", "component")
+            out = small if out is None else out.unionByName(small)
+        parts = lambda n: F.ceil(F.col(n) / self.small).cast("int")
+        upto = lambda n: F.sequence(F.lit(0), parts(n) - 1)
+        part = lambda n: F.pmod(F.xxhash64("node"), parts(n)).cast("int")
+        for rest in self.rest:
+            main, others = rest.df.where("component = main"), rest.df.where("component <> main")
+            others = others.withColumn("own", part("other_n"))
+            both = [
+                main.withColumn("p", F.explode(upto("other_n"))).withColumn("q", -1 - part("main_n")),
+                others.withColumn("p", F.col("own")).withColumn("q", F.explode(upto("main_n"))).withColumn("q", -1 - F.col("q")),
+                others.withColumn("other", F.explode(upto("other_n")))
+                .withColumn("p", F.least("own", "other"))
+                .withColumn("q", F.greatest("own", "other")),
+            ]
+            for dealt in both:
+                out = out.unionByName(dealt.select("path", "p", "q", "node", "component"))
+        return out
 
     def pairs_between(self, labels: DataFrame) -> DataFrame:
         """Pairs in a block that are not in one component; blocks within a component vanish."""
@@ -232,8 +232,23 @@ class Forest:
         ).distinct()
 
     def remove(self) -> None:
-        for level in self.levels:
-            level.remove()
+        for stored in [*self.levels, *self.rest]:
+            stored.remove()
+
+
+def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """path, node and component of the rows; a node without a label is its own component."""
+    known = labels.withColumnRenamed("node", "labelled")
+    rows = rows.join(known, rows["node"] == known["labelled"], "left")
+    return rows.select("path", "node", F.coalesce("component", "node").alias("component"))
+
+
+def between_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs that are not in one component already."""
+    a = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    b = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    joined = pairs.join(a, "a", "left").join(b, "b", "left")
+    return joined.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
 def alike_by_signature(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
@@ -255,6 +270,8 @@ class Verifier:
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets reach the threshold."""
         candidates = Stored(pairs, "candidates")
+        if candidates.df.isEmpty():
+            return candidates.df
         nodes = candidates.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         for known in self.sets:
             nodes = nodes.join(known.df.select("node"), "node", "left_anti")
@@ -280,6 +297,16 @@ class Verifier:
             stored.remove()
 
 
+def merged(labels: Stored | None, links: DataFrame) -> Stored:
+    """The components after more links: each component goes on as a star of its nodes."""
+    if labels is None:
+        return components(links)
+    if links.isEmpty():
+        return labels
+    stars = labels.df.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return components(stars.unionByName(links))
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = 85,
@@ -309,10 +336,17 @@ def near_duplicates(
     forest = Forest(nodes.df, trees, threshold, small, depth)
     least = int((threshold - margin) * COORDINATES)
     verifier = Verifier(docs, shingle_words, percent)
-    first = verifier.links(alike_by_signature(forest.leader_pairs(), nodes.df, least))
-    labels = components(first)
-    second = verifier.links(alike_by_signature(forest.pairs_between(labels.df), nodes.df, least))
-    labels = components(first.unionByName(second))
+    labels = None
+    growing = True
+    while growing:
+        pairs = forest.grow()
+        if labels:
+            pairs = between_components(pairs, labels.df)
+        found = verifier.links(alike_by_signature(pairs, nodes.df, least))
+        labels = merged(labels, found)
+        growing = forest.branch(labels.df)
+    found = verifier.links(alike_by_signature(forest.pairs_between(labels.df), nodes.df, least))
+    labels = merged(labels, found)
     verifier.remove()
     forest.remove()
     release(spark)
