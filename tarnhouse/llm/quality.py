@@ -7,8 +7,16 @@ frequencies, packed by blocks of documents and shards of n-grams, join the shard
 and the products are summed to each document's perplexity and toxic evidence: how far n-grams are
 likelier under the toxic model, per thousand.
 
+Words are a second order beside the characters, as toxic words made of common syllables leave
+little trace in those. A word's share of toxic documents, among the labelled ones that hold it,
+is interpolated by language with all languages and these with the share of all words; a word
+speaks against a document if most documents that hold it are toxic, by the logarithm of the odds.
+The words of the worst stretch of a text count, each once, so that a long text hides nothing. A
+labelled document is left out of the counts that judge it.
+
 A document is rejected if its perplexity is far above what nearly all trusted documents of its
-language reach, or its evidence is, and also reaches half of what nearly all toxic ones have.
+language reach, or its evidence is, and also reaches half of what nearly all toxic ones have, or
+if its worst stretch is above that of nearly all trusted ones.
 Quantiles are taken from histograms, so they cover all labelled documents and do not depend on
 task order.
 
@@ -21,6 +29,7 @@ one, also repeated ones and those with a null id; an empty table gives an empty
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +47,11 @@ BLOCK_CHARS = 8 << 20
 GROUP_TASKS = 16  # scan tasks whose blocks meet one copy of a model shard
 EVIDENCE = 2.0  # nats by which an n-gram must be likelier under the toxic model to count
 BINS = 100  # histogram bins for each factor of e
+STRETCH = 200  # words; stretches overlap by half
+PRIOR = 4.0  # documents that a wider count weighs in a word's share of toxic ones
+OVER = 2.0  # nats by which a word's odds must at least exceed those of all labelled documents
+LEAST_WORST = 0.5  # evidence that a worst stretch must at least have
+WORDS = r"[^\p{L}\p{M}\p{N}]+"
 
 KEYED = "rid long, doc_id string, lang string, text string"
 PACKED = "lang string, shard int, block long, kind int, data binary"
@@ -191,6 +205,58 @@ class KneserNey:
             stored.remove()
 
 
+def hashed_words(text: Column) -> Column:
+    return F.transform(F.filter(F.split(F.lower(text), WORDS), lambda w: w != ""), lambda w: F.xxhash64(w))
+
+
+def share(toxic: Column, trusted: Column, wider: Column) -> Column:
+    return (toxic + PRIOR * wider) / (toxic + trusted + PRIOR)
+
+
+def word_counts(known: DataFrame) -> DataFrame:
+    """word, toxic and trusted (documents that hold it) and the same by language, as own; of words in toxic documents."""
+    rows = known.select("kind", "lang", F.explode(F.array_distinct(hashed_words(F.col("text")))).alias("word"))
+    counts = [F.count(F.when(F.col("kind") == kind, 1)).alias(kind) for kind in ("toxic", "trusted")]
+    own = rows.groupBy("word", "lang").agg(*counts)
+    return own.groupBy("word").agg(
+        F.sum("toxic").alias("toxic"), F.sum("trusted").alias("trusted"), F.collect_list(F.struct("lang", "toxic", "trusted")).alias("own")
+    ).where("toxic > 0")
+
+
+def odds(lang: Column, toxic_less: Column, trusted_less: Column, prior: float) -> Column:
+    """Log odds of a word in a language, less the bar, without so many labelled documents."""
+    bar = max(0.0, math.log(prior / (1 - prior)) + OVER)
+    every = share(F.col("toxic") - toxic_less, F.col("trusted") - trusted_less, F.lit(prior))
+    own = F.get(F.filter("own", lambda x: x["lang"] == lang), F.lit(0))
+    mixed = F.when(own.isNull(), every).otherwise(share(own["toxic"] - toxic_less, own["trusted"] - trusted_less, every))
+    return F.log(mixed / (1 - mixed)) - bar
+
+
+def worst_stretches(texts: DataFrame, known: DataFrame, classes: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """rid and worst, the evidence of the words of the worst stretch, of rows that have any; stored."""
+    n = known.groupBy().agg(F.count("*").alias("n"), F.count(F.when(F.col("kind") == "toxic", 1)).alias("toxic")).first()
+    prior = (n["toxic"] + 0.5) / (n["n"] + 1)
+    none, one = F.lit(0), F.lit(1)
+    counts = word_counts(known)
+    # Without one trusted document, whichever language it is in, a word has its highest odds.
+    less = F.least(F.col("trusted"), one)
+    highest = F.array_max(F.transform("own", lambda x: odds(x["lang"], none, F.least(x["trusted"], one), prior)))
+    telling = Stored(counts.where(F.greatest(highest, odds(F.lit(None).cast("string"), none, less, prior)) > 0), "words")
+    words = measured(telling.df, 60 + 40 * F.size("own"), broadcast_bytes)
+    found = texts.select("rid", "doc_id", "lang", F.posexplode(hashed_words(F.col("text"))).alias("at", "word")).join(words, "word")
+    found = found.join(classes, found["doc_id"] == F.col("label_id").cast("string"), "left")
+    held = [F.coalesce((F.col("kind") == kind).cast("int"), none) for kind in ("toxic", "trusted")]
+    halves = F.floor(F.col("at") / (STRETCH // 2))
+    rows = found.select("rid", F.explode(F.array(halves, halves + 1)).alias("stretch"), "word", odds(F.col("lang"), *held, prior).alias("odds"))
+    each = rows.where("odds > 0").groupBy("rid", "stretch", "word").agg(F.max("odds").alias("odds"))
+    # Whole numbers of 1 / UNIT, so that sums are exact.
+    sums = each.groupBy("rid", "stretch").agg(F.sum(F.round(F.col("odds") * UNIT).cast("long")).alias("sum"))
+    out = Stored(sums.groupBy("rid").agg((F.max("sum") / UNIT).alias("worst")), "worst-stretches").df
+    telling.remove()
+    release(texts.sparkSession)
+    return out
+
+
 def postings(docs: DataFrame, shards: int) -> DataFrame:
     """N-gram frequencies of blocks of documents of one language, by shard."""
 
@@ -260,11 +326,12 @@ SCORES = "rid long, doc_id string, lang string, n_grams long, known boolean, sur
 
 
 def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """rid, doc_id, lang, n_grams, perplexity, toxicity and kind (of label) of each row; stored."""
+    """rid, doc_id, lang, n_grams, perplexity, toxicity, worst and kind (of label) of each row; stored."""
     spark = docs.sparkSession
     classes = measured(Stored(label_classes(labels), "label-classes").df, 40, broadcast_bytes)
     texts = keyed(docs)
     known = texts.join(classes, texts["doc_id"] == F.col("label_id").cast("string"))
+    worst = worst_stretches(texts, known, classes, broadcast_bytes)
     counts = tallied(known, "kind lang").groupBy("kind", "lang", "code").agg(F.sum("n").alias("n"))
     model = KneserNey(counts)
     release(spark)
@@ -312,6 +379,7 @@ def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadc
         F.when(usable, F.col("evidence") * 1000 / (per * UNIT)).alias("toxicity"),
     )
     labelled = scores.join(classes, scores["doc_id"] == F.col("label_id"), "left").drop("label_id")
+    labelled = labelled.join(measured(worst, 16, broadcast_bytes), "rid", "left").withColumn("worst", F.coalesce("worst", F.lit(0.0)))
     out = Stored(labelled, "quality-scores").df
     values.remove()
     release(spark)
@@ -343,16 +411,19 @@ def quality(
 
     The limits of a language are ``margin`` times the ``trusted_share`` quantiles of its trusted
     documents. The toxicity limit is at least ``toxic_part`` of the ``toxic_share`` quantile of
-    its toxic documents; without any of these, none is rejected as toxic.
+    its toxic documents; without any of these, none is rejected by its n-grams as toxic. The
+    limit of the worst stretch is the ``trusted_share`` quantile itself.
     """
     scores = document_scores(docs, labels, **parameters)
     trusted = scores.where("kind = 'trusted'")
     high = quantile(trusted, "perplexity", trusted_share, "high")
     usual = quantile(trusted, "toxicity", trusted_share, "usual")
     toxic = quantile(scores.where("kind = 'toxic'"), "toxicity", toxic_share, "toxic_from")
-    limits = scores.join(high, "lang", "left").join(usual, "lang", "left").join(toxic, "lang", "left")
+    stretch = quantile(trusted, "worst", trusted_share, "stretch")
+    limits = scores.join(high, "lang", "left").join(usual, "lang", "left").join(toxic, "lang", "left").join(stretch, "lang", "left")
     is_toxic = F.col("toxicity") >= F.greatest(F.col("usual") * margin, F.col("toxic_from") * toxic_part)
     bad = (F.col("perplexity") > F.col("high") * margin) | (F.col("toxic_from").isNotNull() & is_toxic)
+    bad = F.coalesce(bad, F.lit(False)) | (F.col("worst") > F.greatest("stretch", F.lit(LEAST_WORST)))
     return limits.select(
         "rid", "doc_id", "lang", "n_grams", "perplexity", "toxicity", F.coalesce(bad, F.lit(False)).alias("rejected")
     )

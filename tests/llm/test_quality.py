@@ -191,3 +191,41 @@ def test_pipeline_stages(spark, tmp_path):
     assert [d for d, _ in encoded] == [d for d, _ in clean]
     assert contamination_report(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")).where("contaminated").count() == 1
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, sf).collect()) == [d for d, _ in encoded]
+
+
+SYLLABLES = ["ach", "lich", "keit", "ver", "ung", "sch", "ein", "te", "ge", "zu"]
+
+
+def syllable_words(rng, n):
+    return ["".join(rng.choices(SYLLABLES, k=rng.randint(1, 4))) for _ in range(n)]
+
+
+def hidden(lang="de", start=0, seed=3, n=240):
+    """Every fourth document holds three words of the same syllables as all others; the first half is labelled."""
+    rng = random.Random(seed)
+    bad = ["achlichver", "keitachlich", "achkeitsch", "verachlich"]
+    rows, labels = [], []
+    for k in range(start, start + n):
+        w = [x for x in syllable_words(rng, rng.randint(300, 600)) if x not in bad]
+        if k % 4 == 0:
+            at = rng.randrange(100)
+            w[at:at] = rng.sample(bad, 3)
+        rows.append((k, " ".join(w), lang, "s", 0))
+        if k < start + n // 2:
+            labels.append((k, 1, int(k % 4 == 0)))
+    return rows, labels
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_toxic_words_of_common_syllables(spark):
+    """On documents without a label; the mean over characters alone misses them."""
+    rows, labels = hidden()
+    for limit in (64 << 20, 0):
+        got = {r["doc_id"]: r["rejected"] for r in quality(
+            spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS), shards=3, broadcast_bytes=limit
+        ).collect()}
+        assert len(got) == len(rows)
+        assert sum(got[k] for k in range(120, 240) if k % 4 == 0) >= 28
+        assert sum(got[k] for k in range(120, 240) if k % 4) <= 3
