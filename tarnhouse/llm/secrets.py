@@ -2,7 +2,9 @@
 
 Natural text needs few tokens: a BPE vocabulary covers it with long pieces. A random key falls
 apart into pieces of one or two characters. Runs of key characters with a low number of
-characters per token are therefore reported, except known digests and identifiers.
+characters per token are therefore reported, except known digests and identifiers. Fixed patterns
+are cut out of a run. If what is left is not random as a whole, its parts between / _ - = are
+weighed, so that a key behind a path or a name is found.
 
 A null text is empty and has no spans. Repeated rows give repeated results, other columns are
 not read, and an empty table gives an empty result.
@@ -33,6 +35,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 # Lengths of common digests in hexadecimal digits: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+PART = re.compile(r"[A-Za-z0-9+]+")  # between / _ - =
+SHORT = 3
+LETTER = re.compile(r"[A-Za-z]")
 HEXADECIMAL = re.compile(r"[0-9a-fA-F]+")
 # Words joined by marks or capitals, with short numbers: some_name_2, someLongName, path/to/name.
 IDENTIFIER = re.compile(r"[_\-/+=]*(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[a-zA-Z]|[0-9]{1,4})[_\-/+=]+)*(?:[A-Z]?[a-z]{3,}|[A-Z]{3,})+[0-9]{0,4}[_\-/+=]*")
@@ -54,24 +59,63 @@ def is_known(run: str) -> bool:
     return bool(UUID.fullmatch(run) or IDENTIFIER.fullmatch(run))
 
 
-def random_spans(text: str, runs: re.Pattern, count, max_ratio: float, taken: list[tuple[str, int, int]]):
+def without(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of a range without the taken ones, which are sorted by start."""
+    for s, e in taken:
+        if e <= start or s >= end:
+            continue
+        if s > start:
+            yield start, s
+        start = max(start, e)
+    if start < end:
+        yield start, end
+
+
+def random_parts(piece: str, is_random, min_length: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring random parts between marks, as one; parts of up to three characters join others only."""
+    group: list[tuple[int, int]] = []
+    for m in [*PART.finditer(piece), None]:
+        if m and (len(m[0]) <= SHORT or is_random(m[0])):
+            group.append(m.span())
+            continue
+        long = [span for span in group if span[1] - span[0] > SHORT]
+        group = []
+        if long and long[-1][1] - long[0][0] >= min_length:
+            start, end = long[0][0], long[-1][1]
+            # Numbers joined by marks are dates, phone or account numbers.
+            if LETTER.search(piece, start, end) and not is_known(piece[start:end]):
+                yield start, end
+
+
+def random_spans(
+    text: str, runs: re.Pattern, count, max_ratio: float, taken: list[tuple[str, int, int]], min_length: int = 16, long: int = 20
+):
+    def is_random(run: str) -> bool:
+        return len(run) < max_ratio * count(run)
+
     found = []
+    cuts = sorted((s, e) for _, s, e in taken)
     for m in runs.finditer(text):
-        run, start, end = m[0], m.start(), m.end()
-        if any(start < e and s < end for _, s, e in taken) or is_known(run):
+        if is_known(m[0]):
             continue
-        if len(run) < max_ratio * count(run):
-            found.append(("random", start, end))
+        for start, end in without(m.start(), m.end(), cuts):
+            piece = text[start:end]
+            if len(piece) < min_length or is_known(piece):
+                continue
+            if is_random(piece) and (len(piece) >= long or LETTER.search(piece)):
+                found.append(("random", start, end))
+            else:
+                found += [("random", start + a, start + b) for a, b in random_parts(piece, is_random, min_length)]
     return found
 
 
 def secret_spans(
-    text: Column, vocabulary: str | None = None, min_length: int = 20, max_ratio: float = 1.9
+    text: Column, vocabulary: str | None = None, min_length: int = 16, max_ratio: float = 1.9
 ) -> Column:
     """Spans of secrets in a text column, in code points, by start and then kind.
 
-    ``vocabulary`` is a byte-level vocabulary file, ``min_length`` the shortest run weighed,
-    and runs with fewer than ``max_ratio`` characters per token are random.
+    ``vocabulary`` is a byte-level vocabulary file, ``min_length`` the shortest run or part weighed
+    (below 20 characters only with a letter), and runs with fewer than ``max_ratio`` characters per token are random.
     """
     path = vocabulary or tokenizer_path("byte_bpe_50k.json")
 
@@ -83,7 +127,7 @@ def secret_spans(
             rows = []
             for t in texts:
                 base = base_spans(t)
-                spans = base + random_spans(t, runs, lambda r: len(core.encode_ordinary(r)), max_ratio, base)
+                spans = base + random_spans(t, runs, lambda r: len(core.encode_ordinary(r)), max_ratio, base, min_length)
                 spans.sort(key=lambda s: (s[1], KINDS.index(s[0])))
                 rows.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
             yield pd.Series(rows, dtype=object)

@@ -94,5 +94,25 @@ def test_known_runs():
     assert not is_known("Zq8vX2mP7tRk9LwB4nYc6HsD1fGj3K")
 
 
+def test_keys_joined_to_readable_text(spark):
+    key = "Zq8vX2mP7tRk9LwB4nYc"
+    texts = {
+        1: f"/home/user/projects/settings/production/{key}",
+        2: f"access_key_production_{key}",
+        3: f"{key}_token=abcdefgh1234",  # the pattern is cut out, not the run dropped
+        4: key[:16],
+        5: f"/home/user/{key}/settings/{key[::-1]}",
+        6: "/orders/2024-01-05-12-30-45/4111-1111-1111-1111 call 0049-171-1234567-89",
+        7: "/objects/123e4567-e89b-12d3-a456-426614174000 /some/long/path/to_some_name-2/readme",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: [texts[r["doc_id"]][x["start"] : x["end"]] for x in r["found"] if x["kind"] == "random"] for r in find_secrets(df).collect()}
+    assert all(any(key in x for x in got[k]) for k in (1, 2, 3))
+    assert got[4] == [key[:16]]
+    assert all(any(k in x for x in got[5]) for k in (key, key[::-1]))
+    assert got[7] == []
+    assert not any(len(x) < 20 for x in got[6])  # short numbers
+
+
 def test_no_documents(no_docs):
     assert secret_report(no_docs).collect() == []
