@@ -21,8 +21,10 @@ Quantiles are taken from histograms, so they cover all labelled documents and do
 task order.
 
 Texts are read with white space folded to single blanks; characters outside the basic plane
-count as one symbol. A null or empty text, or one in a language without trusted documents, has no
-perplexity and is kept; a null language is a language of its own. Labels that repeat are
+count as one symbol. A language that lacks trusted or toxic documents is
+judged by the models of all languages together, and each language's limits are interpolated with
+those of all, by its number of labelled documents. A null or empty text has no perplexity and is
+kept; a null language is a language of its own. Labels that repeat are
 combined: trusted if all are good and none is toxic, toxic if one is. Rows are documents one by
 one, also repeated ones and those with a null id; an empty table gives an empty result.
 """
@@ -50,6 +52,8 @@ BINS = 100  # histogram bins for each factor of e
 STRETCH = 200  # words; stretches overlap by half
 PRIOR = 4.0  # documents that a wider count weighs in a word's share of toxic ones
 OVER = 2.0  # nats by which a word's odds must at least exceed those of all labelled documents
+THIN = 20  # labelled documents of a language that weigh as much as all languages' limit
+EVERY = "\x01every"  # stands for all languages together
 LEAST_WORST = 0.5  # evidence that a worst stretch must at least have
 WORDS = r"[^\p{L}\p{M}\p{N}]+"
 
@@ -333,15 +337,33 @@ def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadc
     known = texts.join(classes, texts["doc_id"] == F.col("label_id").cast("string"))
     worst = worst_stretches(texts, known, classes, broadcast_bytes)
     counts = tallied(known, "kind lang").groupBy("kind", "lang", "code").agg(F.sum("n").alias("n"))
+    both = known.where(F.col("text").rlike(r"\S")).groupBy("lang").agg(F.count_distinct("kind").alias("kinds")).where("kinds = 2")
+    thin = Stored(texts.select("lang").distinct().join(both, "lang", "left_anti"), "thin-languages")
+    borrows = not thin.df.isEmpty()
+    if borrows:
+        stored = Stored(counts, "counts")
+        every = stored.df.groupBy("kind", F.lit(EVERY).alias("lang"), "code").agg(F.sum("n").alias("n"))
+        counts = stored.df.unionByName(every)
     model = KneserNey(counts)
     release(spark)
     codes = Stored(tallied(texts, "lang").select("lang", "code").distinct(), "codes")
-    p = model.probabilities(codes.df).withColumn("log", F.log("p"))
+    lent = codes.df.join(thin.df, "lang")
+    asked = codes.df.unionByName(lent.select(F.lit(EVERY).alias("lang"), "code").distinct()) if borrows else codes.df
+    p = model.probabilities(asked).select("kind", "lang", "code", F.log("p").alias("log"), F.lit(False).alias("wide"))
+    if borrows:
+        logs = Stored(p, "logs")
+        wide = logs.df.where(F.col("lang") == EVERY).select("kind", "code", "log").join(lent, "code")
+        p = logs.df.where(F.col("lang") != EVERY).unionByName(wide.withColumn("wide", F.lit(True)))
+    of = lambda kind, wide: F.max(F.when((F.col("kind") == kind) & (F.col("wide") == wide), F.col("log")))
     by_kind = p.groupBy("lang", "code").agg(
-        F.max(F.when(F.col("kind") == "trusted", F.col("log"))).alias("trusted"),
-        F.max(F.when(F.col("kind") == "toxic", F.col("log"))).alias("toxic"),
+        of("trusted", False).alias("own"), of("toxic", False).alias("own_toxic"), of("trusted", True).alias("wide"), of("toxic", True).alias("wide_toxic")
+    )
+    # Both sides of the evidence come from the same languages.
+    by_kind = by_kind.select(
+        "lang", "code", F.coalesce("own", "wide").alias("trusted"),
+        F.coalesce(F.col("own_toxic") - F.col("own"), F.col("wide_toxic") - F.col("wide")).alias("apart"),
     ).where("trusted IS NOT NULL")
-    more = F.greatest(F.coalesce("toxic", F.lit(-1e9)) - F.col("trusted") - EVIDENCE, F.lit(0.0))
+    more = F.greatest(F.coalesce("apart", F.lit(-1e9)) - EVIDENCE, F.lit(0.0))
     values = Stored(
         by_kind.select(
             "lang",
@@ -354,6 +376,10 @@ def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadc
     )
     model.remove()
     codes.remove()
+    thin.remove()
+    if borrows:
+        stored.remove()
+        logs.remove()
     release(spark)
 
     tasks = GROUP_TASKS << 33
@@ -398,6 +424,12 @@ def quantile(scores: DataFrame, value: str, share: float, name: str) -> DataFram
     return least.select("lang", F.exp(F.col("bin") / BINS).alias(name))
 
 
+def everywhere(scores: DataFrame, value: str, share: float) -> Column:
+    """The quantile over all languages; null if there are no rows."""
+    row = quantile(scores.withColumn("lang", F.lit(EVERY)), value, share, "limit").first()
+    return F.lit(row["limit"] if row else None).cast("double")
+
+
 def quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -411,19 +443,30 @@ def quality(
 
     The limits of a language are ``margin`` times the ``trusted_share`` quantiles of its trusted
     documents. The toxicity limit is at least ``toxic_part`` of the ``toxic_share`` quantile of
-    its toxic documents; without any of these, none is rejected by its n-grams as toxic. The
+    its toxic documents; without any in all languages, none is rejected by its n-grams as toxic. The
     limit of the worst stretch is the ``trusted_share`` quantile itself.
     """
     scores = document_scores(docs, labels, **parameters)
     trusted = scores.where("kind = 'trusted'")
-    high = quantile(trusted, "perplexity", trusted_share, "high")
-    usual = quantile(trusted, "toxicity", trusted_share, "usual")
-    toxic = quantile(scores.where("kind = 'toxic'"), "toxicity", toxic_share, "toxic_from")
-    stretch = quantile(trusted, "worst", trusted_share, "stretch")
-    limits = scores.join(high, "lang", "left").join(usual, "lang", "left").join(toxic, "lang", "left").join(stretch, "lang", "left")
+    usable = scores.where("perplexity IS NOT NULL")
+    limits = scores.join(quantile(scores, "perplexity", 0.5, "middle"), "lang", "left")
+    # A language's level shows in all its documents; how far trusted ones exceed it, in all languages.
+    far = trusted.join(quantile(usable, "perplexity", 0.5, "middle"), "lang").withColumn("far", F.col("perplexity") / F.col("middle"))
+    toxic = scores.where("kind = 'toxic'")
+    for rows, value, share_of, name, wide in (
+        (trusted, "perplexity", trusted_share, "high", F.col("middle") * everywhere(far, "far", trusted_share)),
+        (trusted, "toxicity", trusted_share, "usual", everywhere(trusted, "toxicity", trusted_share)),
+        (toxic, "toxicity", toxic_share, "toxic_from", everywhere(toxic, "toxicity", toxic_share)),
+        (trusted, "worst", trusted_share, "stretch", everywhere(trusted, "worst", trusted_share)),
+    ):
+        own = quantile(rows, value, share_of, "own").join(rows.groupBy("lang").agg(F.count(value).alias("n")), "lang")
+        mixed = (F.col("n") * F.log("own") + THIN * F.log(wide)) / (F.col("n") + THIN)
+        limits = limits.join(own, "lang", "left").withColumn(name, F.coalesce(F.exp(mixed), wide)).drop("own", "n")
     is_toxic = F.col("toxicity") >= F.greatest(F.col("usual") * margin, F.col("toxic_from") * toxic_part)
     bad = (F.col("perplexity") > F.col("high") * margin) | (F.col("toxic_from").isNotNull() & is_toxic)
-    bad = F.coalesce(bad, F.lit(False)) | (F.col("worst") > F.greatest("stretch", F.lit(LEAST_WORST)))
+    # Without trusted documents anywhere there is no limit.
+    above = F.col("stretch").isNotNull() & (F.col("worst") > F.greatest("stretch", F.lit(LEAST_WORST)))
+    bad = F.coalesce(bad, F.lit(False)) | above
     return limits.select(
         "rid", "doc_id", "lang", "n_grams", "perplexity", "toxicity", F.coalesce(bad, F.lit(False)).alias("rejected")
     )

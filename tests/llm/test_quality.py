@@ -229,3 +229,18 @@ def test_toxic_words_of_common_syllables(spark):
         assert len(got) == len(rows)
         assert sum(got[k] for k in range(120, 240) if k % 4 == 0) >= 28
         assert sum(got[k] for k in range(120, 240) if k % 4) <= 3
+
+
+def test_languages_without_labels_are_judged(spark):
+    """A null language without labels, one with trusted documents only; good ones stay."""
+    rows, labels = corpus()
+    for k, (doc, text, *_) in enumerate(corpus(22)[0]):
+        rows.append((1000 + doc, text, None if k % 2 else "xx", "s", 0))
+    for doc, text, *_ in corpus(23)[0]:
+        rows.append((2000 + doc, text, None, "s", 0))
+    labels += [(1000 + k, 1, 0) for k in (2, 6, 10)]  # of xx
+    report = quality(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS), shards=3)
+    got = {r["doc_id"]: r["rejected"] for r in report.collect()}
+    assert sum(got[k] for k in got if k % 4) <= 10
+    assert all(got[k] for k in got if k % 8 == 0), "toxic"
+    assert all(got[k] for k in got if k % 8 == 4), "loud"
