@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarnhouse.llm.alignment import alignment_report
 from tarnhouse.llm.centroids import CLUSTER_SQL, cluster_report
 from tarnhouse.llm.chunks import encoding_report
 from tarnhouse.llm.common import table
@@ -32,11 +33,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": lambda spark, sf: near_report(table(spark, sf, "documents")),
     "op9_exact_top_k": lambda spark, sf: top_k(table(spark, sf, "embeddings")),
     "op10_secret_scan": lambda spark, sf: secret_report(table(spark, sf, "documents")),
+    "op11_tokenizer_alignment": lambda spark, sf: alignment_report(table(spark, sf, "documents")),
     "op13_centroid_clustering": lambda spark, sf: cluster_report(table(spark, sf, "embeddings")),
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": CONTAMINATION_SQL,
     "op3_line_dedup": LINE_SQL,
+    "op11_tokenizer_alignment": lambda spark, sf: alignment_report(table(spark, sf, "documents")),
     "op13_centroid_clustering": CLUSTER_SQL,
 }
