@@ -19,6 +19,7 @@ from tarnhouse.llm.secrets import secret_report
 from tarnhouse.llm.suffix_dedup import repeat_report
 from tarnhouse.llm.token_counts import token_report
 from tarnhouse.llm.topk import top_k
+from tarnhouse.llm.toxicity import toxicity_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": lambda spark, sf: repeat_report(table(spark, sf, "documents")),
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_top_k": lambda spark, sf: top_k(table(spark, sf, "embeddings")),
     "op10_secret_scan": lambda spark, sf: secret_report(table(spark, sf, "documents")),
     "op11_tokenizer_alignment": lambda spark, sf: alignment_report(table(spark, sf, "documents")),
+    "op12_toxicity": lambda spark, sf: toxicity_report(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op13_centroid_clustering": lambda spark, sf: cluster_report(table(spark, sf, "embeddings")),
 }
 
