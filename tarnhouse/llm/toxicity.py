@@ -16,8 +16,8 @@ are learnt, documents are scored by counts of the other folds alone.
 Words are runs of letters and digits in lower case. A null or empty text has no words. Rows whose
 label is null teach nothing; a document with several labels is toxic if any says so. Rows are
 documents one by one, also repeated ones; a null id has no label and is not held out. Other columns
-are not read. Without labelled documents of both kinds the score is the share of toxic ones, 0
-without any; an empty table gives an empty result.
+are not read. Without words in labelled documents of both kinds the score is 1 or 0, as the one kind
+is, and 0 without any; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -77,13 +77,15 @@ def word_counts(known: DataFrame) -> DataFrame:
     """word, and its numbers of different words before it: toxic and clean, of all folds and without each."""
     words = known.select("toxic", "fold", words_of(F.col("text")).alias("word"))
     both = words.select("toxic", "fold", F.concat(F.array(F.lit("")), "word").alias("prev"), "word")
-    pairs = both.select("toxic", "fold", F.explode(F.arrays_zip("prev", "word")).alias("p"))
-    pairs = pairs.select("toxic", "fold", "p.prev", "p.word").where("word IS NOT NULL")
-    folds = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("fold"))).alias("folds")
-    seen = pairs.groupBy("word", "prev", "toxic").agg(folds)
+    pairs = both.select("toxic", "fold", F.explode(F.arrays_zip("prev", "word")).alias("p")).where("p.word IS NOT NULL")
+    # The word before, as 31 bits of a hash, with the kind of document: these rows are many.
+    before = F.hash("p.prev").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("toxic")).alias("before")
+    fold = F.call_function("shiftleft", F.lit(1), F.col("fold")).cast("byte")
+    pairs = pairs.select("p.word", before, fold.alias("fold"))
+    seen = pairs.groupBy("word", "before").agg(F.bit_or("fold").alias("folds"))
 
     def number(toxic: int) -> Column:
-        own = F.col("toxic") == toxic
+        own = F.col("before").bitwiseAND(F.lit(1)) == toxic
         without = [F.count_if(own & (F.col("folds") != 1 << f)) for f in range(FOLDS)]
         return F.array(F.count_if(own), *without)
 
@@ -202,18 +204,18 @@ def logistic(x: np.ndarray, yes: np.ndarray, no: np.ndarray, ridge: float = 1.0)
 
 @dataclass(frozen=True)
 class ToxicModel:
-    """Telling words with their scores, and the calibration; without words, the share of toxic documents."""
+    """Telling words with their scores, and the calibration; without it, the score of all documents."""
 
     words: DataFrame
     calibration: Calibration | None
-    share: float
+    constant: float
     gap: float
 
     def passages(self, docs: DataFrame, *keep: str) -> DataFrame:
         """``keep``, n_words, score and passages: word numbers, score and extreme value of each."""
         if self.calibration is None:
             none = F.array().cast("array<struct<start:int,end:int,score:double,chance:double>>")
-            return docs.select(*keep, F.size(words_of(F.col("text"))).alias("n_words"), F.lit(self.share).alias("score"), none.alias("passages"))
+            return docs.select(*keep, F.size(words_of(F.col("text"))).alias("n_words"), F.lit(self.constant).alias("score"), none.alias("passages"))
         c = self.calibration
         found = document_segments(docs, measured(self.words, F.length("word") + 24), F.col("s_word"), self.gap, *keep)
         chance = lambda s: F.exp(-c.excess(s["score"], F.col("n_words")))
@@ -223,12 +225,11 @@ class ToxicModel:
 
 def train(docs: DataFrame, labels: DataFrame, prior: float = PRIOR, gap: float = GAP) -> ToxicModel:
     """A model of all labelled documents outside the held-out fold."""
-    known = Stored(labelled(docs, labels), "toxic-training").df
-    classes = {r["toxic"] for r in known.select("toxic").distinct().collect()}
-    if classes != {0, 1}:
-        return ToxicModel(known, None, float(1 in classes), gap)
+    known = labelled(docs, labels)
     counts = Stored(word_counts(known), "word-counts").df
     sums = counts.agg(*[F.sum(F.col(k)[f]) for k in "tc" for f in range(FOLDS + 1)]).first()
+    if not (sums[0] and sums[FOLDS + 1]):
+        return ToxicModel(counts, None, float(bool(sums[0])), gap)
     totals = [F.array(*map(F.lit, sums[k : k + FOLDS + 1])) for k in (0, FOLDS + 1)]
 
     def score(of: Column) -> Column:
