@@ -36,7 +36,7 @@ from tarnhouse.llm.common import Stored, measured
 PRIOR = 0.025  # weight of the prior, as a share of what is counted
 MARGIN = 1.0  # log-odds that a word must have beyond its standard error
 GAP = 0.1
-FOLDS = 5
+FOLDS = 5  # the first is held out
 SEGMENTS = "array<struct<start:int,end:int,score:double>>"
 BIN = 0.25  # width of the bins that the logistic curve is fitted on
 STEEPEST = 2.0  # log-odds in nats fall off at a rate of about 1; a few small ones can look steeper
@@ -74,20 +74,19 @@ def word_score(toxic: Column, clean: Column, n_toxic: Column, n_clean: Column, p
 
 
 def word_counts(known: DataFrame) -> DataFrame:
-    """word, and its numbers of different words before it: toxic and clean, of all folds and without each."""
+    """word, and its numbers of different words before it: toxic (t) and clean (c), of all folds and without each."""
     words = known.select("toxic", "fold", words_of(F.col("text")).alias("word"))
     both = words.select("toxic", "fold", F.concat(F.array(F.lit("")), "word").alias("prev"), "word")
     pairs = both.select("toxic", "fold", F.explode(F.arrays_zip("prev", "word")).alias("p")).where("p.word IS NOT NULL")
-    # The word before, as 31 bits of a hash, with the kind of document: these rows are many.
-    before = F.hash("p.prev").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("toxic")).alias("before")
-    fold = F.call_function("shiftleft", F.lit(1), F.col("fold")).cast("byte")
-    pairs = pairs.select("p.word", before, fold.alias("fold"))
-    seen = pairs.groupBy("word", "before").agg(F.bit_or("fold").alias("folds"))
+    # These rows are many: the word before goes as a hash, and one byte has a bit for each kind and fold.
+    bit = F.call_function("shiftleft", F.lit(1), F.col("fold") - 1 + F.col("toxic") * (FOLDS - 1)).cast("byte")
+    pairs = pairs.select("p.word", F.hash("p.prev").alias("before"), bit.alias("bit"))
+    seen = pairs.groupBy("word", "before").agg(F.bit_or("bit").cast("int").alias("folds"))
 
     def number(toxic: int) -> Column:
-        own = F.col("before").bitwiseAND(F.lit(1)) == toxic
-        without = [F.count_if(own & (F.col("folds") != 1 << f)) for f in range(FOLDS)]
-        return F.array(F.count_if(own), *without)
+        bits = [1 << (f + toxic * (FOLDS - 1)) for f in range(FOLDS - 1)]
+        left_out = [0, *bits]
+        return F.array(*[F.count_if(F.col("folds").bitwiseAND(F.lit(sum(bits) - out)) != 0) for out in left_out])
 
     return seen.groupBy("word").agg(number(1).alias("t"), number(0).alias("c"))
 
@@ -227,18 +226,18 @@ def train(docs: DataFrame, labels: DataFrame, prior: float = PRIOR, gap: float =
     """A model of all labelled documents outside the held-out fold."""
     known = labelled(docs, labels)
     counts = Stored(word_counts(known), "word-counts").df
-    sums = counts.agg(*[F.sum(F.col(k)[f]) for k in "tc" for f in range(FOLDS + 1)]).first()
-    if not (sums[0] and sums[FOLDS + 1]):
+    sums = counts.agg(*[F.sum(F.col(k)[f]) for k in "tc" for f in range(FOLDS)]).first()
+    if not (sums[0] and sums[FOLDS]):
         return ToxicModel(counts, None, float(bool(sums[0])), gap)
-    totals = [F.array(*map(F.lit, sums[k : k + FOLDS + 1])) for k in (0, FOLDS + 1)]
+    totals = [F.array(*map(F.lit, sums[k : k + FOLDS])) for k in (0, FOLDS)]
 
     def score(of: Column) -> Column:
-        """Of all folds (0), or without a fold (its number and 1)."""
+        """Of all folds (0), or without a fold (its number)."""
         return word_score(F.col("t")[of], F.col("c")[of], totals[0][of], totals[1][of], prior)
 
-    scores = counts.select("word", F.array(*[score(F.lit(f)) for f in range(FOLDS + 1)]).alias("s"))
+    scores = counts.select("word", F.array(*[score(F.lit(f)) for f in range(FOLDS)]).alias("s"))
     telling = Stored(scores.where(F.exists("s", lambda x: x > 0)).withColumnRenamed("s", "by_fold"), "telling-words")
-    of_fold = F.col("by_fold")[F.col("fold") + 1]
+    of_fold = F.col("by_fold")[F.col("fold")]
     found = document_segments(known, measured(telling.df, F.length("word") + 80), of_fold, gap, "toxic", "fold")
     found = Stored(found, "training-segments").df
     calibration = Calibration(*chance_segments(found), 0.0, 1.0)

@@ -99,12 +99,12 @@ def test_counts(corpus):
             for prev, word in zip(["", *w], w, strict=False):
                 seen[word, toxic[d], prev].add(fold(d))
     got = {r["word"]: (list(r["t"]), list(r["c"])) for r in word_counts(labelled(table, label_table)).collect()}
-    want = defaultdict(lambda: ([0] * 6, [0] * 6))
+    want = defaultdict(lambda: ([0] * 5, [0] * 5))
     for (word, t, _), folds in seen.items():
         own = want[word][0 if t else 1]
         own[0] += 1
-        for f in range(5):
-            own[f + 1] += folds != {f}
+        for f in range(1, 5):
+            own[f] += folds != {f}
     assert got == dict(want)
 
 
