@@ -78,8 +78,8 @@ def word_counts(known: DataFrame) -> DataFrame:
     words = known.select("toxic", "fold", words_of(F.col("text")).alias("word"))
     both = words.select("toxic", "fold", F.concat(F.array(F.lit("")), "word").alias("prev"), "word")
     pairs = both.select("toxic", "fold", F.explode(F.arrays_zip("prev", "word")).alias("p")).where("p.word IS NOT NULL")
-    # These rows are many: the word before goes as a hash, and one byte has a bit for each kind and fold.
-    bit = F.call_function("shiftleft", F.lit(1), F.col("fold") - 1 + F.col("toxic") * (FOLDS - 1)).cast("byte")
+    # These rows are many: the word before goes as a hash, and a bit stands for each kind and fold.
+    bit = F.call_function("shiftleft", F.lit(1), F.col("fold") - 1 + F.col("toxic") * (FOLDS - 1)).cast("short")
     pairs = pairs.select("p.word", F.hash("p.prev").alias("before"), bit.alias("bit"))
     seen = pairs.groupBy("word", "before").agg(F.bit_or("bit").cast("int").alias("folds"))
 
