@@ -62,7 +62,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic")
     )
     known = Stored(by_id.where(fold_of(F.col("doc_id")) != 0), "toxic-labels").df
-    return docs.select("doc_id", "text").join(measured(known, 16), "doc_id").select("text", "toxic", fold_of(F.col("doc_id")).cast("int").alias("fold"))
+    fold = fold_of(F.col("doc_id")).cast("int").alias("fold")
+    return docs.select("doc_id", "text").join(measured(known, 16), "doc_id").select("text", "toxic", fold)
 
 
 def word_score(toxic: Column, clean: Column, n_toxic: Column, n_clean: Column, prior: float) -> Column:
@@ -78,9 +79,10 @@ def word_counts(known: DataFrame) -> DataFrame:
     words = known.select("toxic", "fold", words_of(F.col("text")).alias("word"))
     both = words.select("toxic", "fold", F.concat(F.array(F.lit("")), "word").alias("prev"), "word")
     pairs = both.select("toxic", "fold", F.explode(F.arrays_zip("prev", "word")).alias("p")).where("p.word IS NOT NULL")
-    # These rows are many: the word before goes as a hash, and a bit stands for each kind and fold.
+    # These rows are many: the word before goes as 24 bits of a hash, and a bit stands for each kind and
+    # fold. Only where a word has millions of words before it, and its odds are certain, do some coincide.
     bit = F.call_function("shiftleft", F.lit(1), F.col("fold") - 1 + F.col("toxic") * (FOLDS - 1)).cast("short")
-    pairs = pairs.select("p.word", F.hash("p.prev").alias("before"), bit.alias("bit"))
+    pairs = pairs.select("p.word", F.hash("p.prev").bitwiseAND(F.lit(0xFFFFFF)).alias("before"), bit.alias("bit"))
     seen = pairs.groupBy("word", "before").agg(F.bit_or("bit").cast("int").alias("folds"))
 
     def number(toxic: int) -> Column:
@@ -214,12 +216,14 @@ class ToxicModel:
         """``keep``, n_words, score and passages: word numbers, score and extreme value of each."""
         if self.calibration is None:
             none = F.array().cast("array<struct<start:int,end:int,score:double,chance:double>>")
-            return docs.select(*keep, F.size(words_of(F.col("text"))).alias("n_words"), F.lit(self.constant).alias("score"), none.alias("passages"))
+            n_words = F.size(words_of(F.col("text"))).alias("n_words")
+            return docs.select(*keep, n_words, F.lit(self.constant).alias("score"), none.alias("passages"))
         c = self.calibration
         found = document_segments(docs, measured(self.words, F.length("word") + 24), F.col("s_word"), self.gap, *keep)
         chance = lambda s: F.exp(-c.excess(s["score"], F.col("n_words")))
         each = F.transform("segments", lambda s: s.withField("chance", chance(s)))
-        return found.select(*keep, "n_words", c.probability().alias("score"), F.filter(each, lambda s: s["chance"] < 1).alias("passages"))
+        passages = F.filter(each, lambda s: s["chance"] < 1).alias("passages")
+        return found.select(*keep, "n_words", c.probability().alias("score"), passages)
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float = PRIOR, gap: float = GAP) -> ToxicModel:
