@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from tarnhouse.plans.control import GOLD, WAREHOUSE, control_rows, control_table
 from tarnhouse.plans.stages import Controls, Source, run_stages
 from tarnhouse.plans.warehouse import create_tables, warehouse_table
 from tarnhouse.session import scratch_path
-from tarnhouse.sources.database import ParquetSource
+from tarnhouse.sources.database import JdbcSource, scan_source_query
 from tarnhouse.sources.lake import LakeTable, hash_layout, range_layout
 
 BATCH = datetime(2024, 3, 1, 6)
@@ -188,18 +190,56 @@ def control(spark: SparkSession, root: str) -> LakeTable:
     return loads.control_lake_table(spark, f"{root}/control", rows.withColumn("startdate", start))
 
 
+class GivenTables(JdbcSource):
+    """The given tables as a database: each predicate reads the files once, as a connection would."""
+
+    def __init__(self, sf: str, partitions: int = 4):
+        super().__init__(sf, partitions=partitions)
+
+    def load(self, spark: SparkSession, schema: str, table: str, predicates: Sequence[str]) -> DataFrame:
+        rows = m.table(spark, self.url, table)
+        return reduce(DataFrame.unionByName, [rows.filter(p) for p in predicates])
+
+    def bounds(self, spark: SparkSession, schema: str, table: str, column: str, where: str = "") -> tuple:
+        rows = m.table(spark, self.url, table).filter(where or "1 = 1")
+        return tuple(rows.agg(F.min(column), F.max(column)).first())
+
+
 def run(spark: SparkSession, sf: str, root: str, table: LakeTable) -> dict[str, loads.LoadResult]:
-    source = ParquetSource(lambda schema, name: f"{sf}/{name}.parquet")
     return loads.run_loads(
         spark,
         table,
-        lambda schema, name: source.read(spark, schema, name),
+        GivenTables(sf),
         root,
         batch=BATCH,
         layouts={"Orders": range_layout(KEYS_PER_BUCKET), "Events": range_layout(KEYS_PER_BUCKET)},
     )
 
 
+@query(
+    "split_source_query",
+    """SELECT 'closed' AS window, * FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+    UNION ALL SELECT 'from', * FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+    UNION ALL SELECT 'until', * FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'
+    UNION ALL SELECT 'all', * FROM orders""",
+)
+def split_source_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed, open and full windows, each read in parts by predicates that do not overlap."""
+    source = GivenTables(sf, 7)
+    windows = {
+        "closed": ("1996-01-01", "1998-01-01"), "from": ("2000-01-01", None), "until": (None, "1996-01-01"),
+        "all": (None, None),
+    }
+    parts = [
+        scan_source_query(spark, source, "Sales", "orders", "o_orderdate", *window, key="o_orderkey").select(
+            F.lit(name).alias("window"), "*"
+        )
+        for name, window in windows.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "run_log",
     """SELECT 'Orders' AS sinktable, 'Succeeded' AS loadstatus, count(*) AS rowsread,

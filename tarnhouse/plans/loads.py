@@ -16,12 +16,15 @@ from tarnhouse.operators.filters import filter_enabled, window_predicate
 from tarnhouse.operators.upsert import create_or_upsert, update_then_insert
 from tarnhouse.plans.control import CONTROL_KEYS, FULL
 from tarnhouse.session import local_rows
+from tarnhouse.sources.database import Source, scan_source_query
 from tarnhouse.sources.files import write_staging
 from tarnhouse.sources.lake import LakeTable
 
 # Tables loaded at the same time.
 PARALLEL_LOADS = 4
 
+TableFunction = Callable[[str, str], DataFrame]
+
 SUCCEEDED, FAILED = "Succeeded", "Failed"
 
 
@@ -179,7 +182,7 @@ def _attempt(load: Callable[[], LoadResult]) -> LoadResult:
 def run_loads(
     spark: SparkSession,
     control: LakeTable,
-    source: Callable[[str, str], DataFrame],
+    source: Source | TableFunction,
     root: str,
     stage: int = 1,
     warehouse: bool = False,
@@ -188,7 +191,9 @@ def run_loads(
 ) -> dict[str, LoadResult]:
     """Load every active control row and write the outcome back.
 
-    ``source(schema, table)`` gives the rows to load. Tables go to ``<root>/Tables`` and
+    ``source`` is a database or Parquet source, which is told the mark column, the window and
+    the key of each table and so reads it in parts, or a function of schema and table that gives
+    the rows to load. Tables go to ``<root>/Tables`` and
     increments to ``<root>/Files``. ``layouts`` gives the bucket layout of target tables,
     so that an increment rewrites only the buckets it touches. Up to four loads run at
     once, each in its own scheduler pool, so under the fair scheduler they share the
@@ -207,8 +212,12 @@ def run_loads(
         parts = [root, "Tables", row["sinkschema"], row["sinktable"]]
         layout = (layouts or {}).get(row["sinktable"])
         table = LakeTable(spark, "/".join(p for p in parts if p), keys, row["datecolumn"], layout)
-        rows_in = source(row["sourceschema"], row["sourcetable"])
         window = (row["startdate"], row["enddate"])
+        name = (row["sourceschema"], row["sourcetable"])
+        if hasattr(source, "read"):
+            rows_in = scan_source_query(spark, source, *name, row["datecolumn"], *window, row["tablekey"])
+        else:
+            rows_in = source(*name)
         if warehouse:
             return load_warehouse(rows_in, table, row["loadtype"], *window)
         if row["loadtype"] == FULL:

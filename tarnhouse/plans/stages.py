@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tarnhouse.operators.shaping import drop_unsupported
 from tarnhouse.plans import silver
 from tarnhouse.plans.calendars import build_calendar, v_calendar
-from tarnhouse.plans.loads import LoadResult, run_loads
+from tarnhouse.plans.loads import LoadResult, TableFunction, run_loads
+from tarnhouse.sources import database
 from tarnhouse.sources.lake import LakeTable
 
-Source = Callable[[str, str], DataFrame]
+Source = database.Source | TableFunction
 
 # Columns left out of a source table because they hold geography.
 GEOGRAPHY = {
@@ -27,15 +28,26 @@ GEOGRAPHY = {
 NO_GEOGRAPHY = "NoGeography"
 
 
-def without_geography(source: Source) -> Source:
-    """A source that also answers for its tables without their geography columns."""
+@dataclass(frozen=True)
+class WithoutGeography:
+    """A database source that also answers for its tables without their geography columns."""
+
+    source: database.Source
+
+    def read(self, spark: SparkSession, schema: str, table: str, *window) -> DataFrame:
+        return narrowed(table, lambda base: self.source.read(spark, schema, base, *window))
 
-    def read(schema: str, table: str) -> DataFrame:
-        base = table.removesuffix(NO_GEOGRAPHY)
-        rows = source(schema, base)
-        return drop_unsupported(rows, *GEOGRAPHY[base]) if base != table else rows
 
-    return read
+def narrowed(table: str, read: Callable[[str], DataFrame]) -> DataFrame:
+    base = table.removesuffix(NO_GEOGRAPHY)
+    return drop_unsupported(read(base), *GEOGRAPHY[base]) if base != table else read(table)
+
+
+def without_geography(source: Source) -> Source:
+    """The source, or function of schema and table, with its tables without geography too."""
+    if hasattr(source, "read"):
+        return WithoutGeography(source)
+    return lambda schema, table: narrowed(table, lambda base: source(schema, base))
 
 
 def silver_source(spark: SparkSession, root: str, as_of: date | None = None) -> Source:

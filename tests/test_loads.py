@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnhouse.plans import control as ct
 from tarnhouse.plans import loads
+from tarnhouse.plans.stages import without_geography
 from tarnhouse.plans.warehouse import TABLES, create_tables, warehouse_table
 from tarnhouse.session import scratch_path
 from tarnhouse.sources.lake import LakeTable, range_layout
@@ -66,6 +67,35 @@ def test_an_increment_without_rows_changes_nothing(spark, lake):
     assert t.row_count() == 1
 
 
+class Asked:
+    """A source that notes what each table is asked for."""
+
+    def __init__(self, data):
+        self.data, self.asked = data, {}
+
+    def read(self, spark, schema, table, mark, start, end, key):
+        self.asked[table] = (schema, mark, start, end, key)
+        return self.data[table]
+
+
+@pytest.mark.parametrize("geography", [False, True])
+def test_a_source_is_told_mark_window_and_key(spark, lake, geography):
+    data = {"facts": events(spark, (1, "a", day(2)), (2, "b", day(9))), "names": spark.range(3)}
+    data["broken"] = data["names"]
+    source, control = Asked(data), start(spark, lake)
+    done = loads.run_loads(spark, control, without_geography(source) if geography else source, lake)
+    assert {r.status for r in done.values()} == {"Succeeded"}
+    assert source.asked == {
+        "facts": ("s", "at", datetime(2013, 1, 1), day(8), "id"),
+        "names": ("s", None, None, None, None),
+        "broken": ("s", None, None, None, None),
+    }
+    assert done["Facts"].rows_read == 1  # the window is applied, whatever the source gives
+    control.overwrite(control.read().withColumn("enddate", F.lit(None).cast("timestamp_ntz")))
+    loads.run_loads(spark, control, source, lake)
+    assert source.asked["facts"] == ("s", "at", day(2), None, "id")  # from the newest mark, open at the end
+
+
 CONTROL = [
     ("s", "facts", "at", "2013-01-08 00:00:00", "Facts", ct.INCREMENTAL, "id", None),
     ("s", "names", None, None, "Names", ct.FULL, None, None),

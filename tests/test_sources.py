@@ -1,18 +1,21 @@
 from __future__ import annotations
 
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnhouse.operators.filters import window_predicate
 from tarnhouse.plans import entities as en
 from tarnhouse.plans.silver import load_silver
 from tarnhouse.plans.trips import trips_csv
 from tarnhouse.sources import files as fs
 from tarnhouse.sources.budget import join_path, scan_budget, unpivot_budget
-from tarnhouse.sources.database import JdbcSource, ParquetSource, scan_source_query
+from tarnhouse.sources.database import JdbcSource, ParquetSource, cut_points, scan_source_query, split_predicates
 from tarnhouse.sources.entity import scan_entity
 from tarnhouse.sources.lake import LakeTable
 
@@ -159,6 +162,95 @@ def test_jdbc_options():
     assert "partitionColumn" not in source.options("Sales", "Orders")
 
 
+class Noted(JdbcSource):
+    """A database of one table that notes what it is asked."""
+
+    def __init__(self, rows, partitions=5):
+        super().__init__("jdbc:none", partitions=partitions)
+        object.__setattr__(self, "rows", rows)
+        object.__setattr__(self, "asked", [])
+
+    def load(self, spark, schema, table, predicates):
+        self.asked.append(list(predicates))
+        parts = [self.rows.filter(p) for p in predicates]
+        return reduce(DataFrame.unionAll, parts)
+
+    def query(self, spark, sql):
+        self.asked.append(sql)
+        self.rows.createOrReplaceTempView("noted")
+        return spark.sql(sql.replace("s.t", "noted"))
+
+
+@pytest.fixture(scope="module")
+def source_rows(spark):
+    times = [None, *[datetime(2013, 1, 1) + timedelta(hours=7 * k, microseconds=k) for k in range(60)]]
+    data = [(None if k % 9 == 4 else k * k - 50, t, f"n{k}", Decimal(k) / 4) for k, t in enumerate(times * 2)]
+    return spark.createDataFrame(data, "id long, at timestamp_ntz, name string, price decimal(9,2)")
+
+
+@pytest.mark.parametrize("key", ["id", "price", "name", None])
+@pytest.mark.parametrize("mark", ["at", None])
+@pytest.mark.parametrize("window", [(date(2013, 1, 2), date(2013, 1, 8)), (date(2013, 1, 3), None), (None, date(2013, 1, 5)), (None, None)])
+def test_a_source_is_read_in_parts_that_hold_each_row_once(spark, source_rows, key, mark, window):
+    source = Noted(source_rows)
+    start, end = window if mark else (None, None)
+    df = scan_source_query(spark, source, "s", "t", mark, start, end, key)
+    want = source_rows.filter(window_predicate(source_rows, mark, start, end)) if mark else source_rows
+    assert rows(df) == rows(want)
+    predicates = source.asked[-1]
+    splits = mark or key in ("id", "price")
+    assert len(predicates) == (5 if splits else 1)
+    if not mark or not (start and end):  # what the window leaves open is looked up
+        assert len(source.asked) > 1 or not (mark or key)
+    # Whatever the window, no row of the table meets two of them.
+    assert sum(source_rows.filter(p).count() for p in predicates) == source_rows.count()
+
+
+def test_windows_bound_what_is_looked_up(spark, source_rows):
+    source = Noted(source_rows)
+    source.predicates(spark, "s", "t", "at", date(2013, 1, 3), None, "id")
+    assert source.asked == ["SELECT MIN(id) AS low, MAX(id) AS high FROM s.t WHERE at >= '2013-01-03'"]
+    source.predicates(spark, "s", "t", "at", datetime(2013, 1, 3), date(2013, 1, 9), "id")
+    assert len(source.asked) == 1  # a closed window needs no look
+
+
+def test_cut_points():
+    assert cut_points(0, 100, 4) == [25, 50, 75]
+    assert cut_points(1, 3, 10) == [2] and cut_points(1, 4, 3) == [2, 3] and cut_points(5, 5, 10) == []
+    assert cut_points(date(2024, 1, 1), date(2024, 1, 3), 4) == [date(2024, 1, 2)]
+    assert cut_points(datetime(2024, 1, 1), datetime(2024, 1, 2), 2) == [datetime(2024, 1, 1, 12)]
+    assert cut_points(Decimal("-0.5"), Decimal("1.5"), 3) == [0, 1]
+    assert split_predicates("k", []) == ["1 = 1"]
+    assert split_predicates("k", [3]) == ["k < 3 OR k IS NULL", "k >= 3"]
+    assert split_predicates("c", ["it's"])[1] == "c >= 'it''s'"
+
+
+def test_the_reader_gets_the_predicates():
+    calls = []
+
+    class Reader:
+        def jdbc(self, url, table, **rest):
+            calls.append((url, table, rest))
+
+    class Session:
+        read = Reader()
+
+    source = JdbcSource("jdbc:x:y", {"user": "reader"}, partitions=2)
+    source.read(Session(), "Sales", "Orders", "LastEditedWhen", date(2013, 1, 1), date(2013, 1, 8), "OrderID")
+    ((url, table, rest),) = calls
+    assert (url, table) == ("jdbc:x:y", "Sales.Orders")
+    assert rest["predicates"] == [
+        "LastEditedWhen < '2013-01-04 12:00:00' OR LastEditedWhen IS NULL", "LastEditedWhen >= '2013-01-04 12:00:00'"
+    ]
+    assert rest["properties"]["user"] == "reader" and rest["properties"]["pushDownPredicate"] == "true"
+
+
+def test_an_empty_source(spark, source_rows):
+    none = source_rows.filter("false")
+    for mark, key in (("at", "id"), (None, "id"), ("at", None), (None, None)):
+        assert scan_source_query(spark, Noted(none), "s", "t", mark, None, None, key).collect() == []
+
+
 def test_source_window_reaches_the_scan(spark, sf):
     source = ParquetSource(lambda schema, name: f"{sf}/{name}.parquet")
     df = scan_source_query(spark, source, "Sales", "orders", "o_orderdate", date(1996, 1, 1), datetime(1997, 1, 1, 12))
