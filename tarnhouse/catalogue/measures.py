@@ -11,6 +11,7 @@ from tarnhouse.catalogue.registry import query
 from tarnhouse.operators import aggregates as ag
 from tarnhouse.operators import discounts as dc
 from tarnhouse.operators import ranking as rk
+from tarnhouse.operators.bitmaps import distinct_bitmaps, united_bitmaps
 from tarnhouse.operators.routing import Aggregate, Measure, aggregate_routing
 from tarnhouse.operators.sets import union_distinct as union_distinct_rows
 from tarnhouse.plans.trips import daily_amount as daily_amount_of
@@ -355,3 +356,38 @@ def aggregate_routing_query(spark: SparkSession, sf: str) -> DataFrame:
     ]
     measures = [Measure("qty", "sum", "Quantity"), Measure("customers", "distinct_count", "CustomerKey")]
     return aggregate_routing(base, aggregates, ["CalendarYear"], measures)
+
+
+@query(
+    "aggregate_bitmaps",
+    m.sql(
+        """SELECT c.year AS CalendarYear, CAST(sum(s.Quantity) AS BIGINT) AS qty,
+        count(DISTINCT s.CustomerKey) + CAST(max(CASE WHEN s.CustomerKey IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+        AS customers FROM (SELECT DateKey, Quantity, CASE WHEN CustomerKey > 10 THEN CustomerKey END AS CustomerKey
+        FROM m_sales) s LEFT JOIN m_report_days c ON s.DateKey = c.date GROUP BY 1"""
+    ),
+)
+def aggregate_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct customers by year from an aggregate by day, which holds no customers but bitmaps of them.
+
+    The fact is read for the daily aggregate alone; the yearly bitmaps are united from the daily ones.
+    """
+    fact = m.sales_by_order(spark, sf).withColumn("CustomerKey", F.expr("CASE WHEN CustomerKey > 10 THEN CustomerKey END"))
+    base = fact.join(years(spark, sf), F.col("DateKey") == F.col("date"), "left")
+    path = scratch_path(spark, "fact-rows")
+    base.select("CalendarYear", "DateKey", "CustomerKey", "Quantity").write.parquet(path)
+    rows = spark.read.parquet(path)
+    grain = ["CalendarYear", "DateKey"]
+    sums, customers = (LakeTable(spark, scratch_path(spark, name)) for name in ("by-day", "customers-by-day"))
+    sums.create(ag.sum_by(rows, grain, {"SumOfQuantity": "Quantity"}))
+    customers.create(distinct_bitmaps(rows, grain, "CustomerKey"))
+    yearly, by_year = (LakeTable(spark, scratch_path(spark, name)) for name in ("by-year", "customers-by-year"))
+    yearly.create(ag.sum_by(sums.read(), ["CalendarYear"], {"SumOfQuantity": "SumOfQuantity"}))
+    by_year.create(united_bitmaps(customers.read(), ["CalendarYear"]))
+    held = {"Quantity": "SumOfQuantity"}
+    aggregates = [
+        Aggregate("by_day", sums.read, frozenset(grain), held, distinct={"CustomerKey": customers.read}),
+        Aggregate("by_year", yearly.read, frozenset({"CalendarYear"}), held, distinct={"CustomerKey": by_year.read}),
+    ]
+    measures = [Measure("qty", "sum", "Quantity"), Measure("customers", "distinct_count", "CustomerKey")]
+    return aggregate_routing(rows, aggregates, ["CalendarYear"], measures)

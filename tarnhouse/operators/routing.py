@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnhouse.operators.bitmaps import BITS, RANGE, count_bitmaps
+
 
 @dataclass(frozen=True)
 class Aggregate:
@@ -15,7 +17,8 @@ class Aggregate:
 
     ``sums`` maps a measure to the column that holds its sum. ``read`` is called only
     when the aggregate is chosen. ``all_groups`` says that groups whose sums are all null are
-    stored too; only then can values of the grain be counted from it.
+    stored too; only then can values of the grain be counted from it. ``distinct`` maps a column
+    that can be counted without being in the grain to its bitmaps by the grain.
     """
 
     name: str
@@ -23,6 +26,7 @@ class Aggregate:
     grain: frozenset[str]
     sums: dict[str, str]
     all_groups: bool = False
+    distinct: Mapping[str, Callable[[], DataFrame]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -35,8 +39,8 @@ class Measure:
 
 
 def _covers(aggregate: Aggregate, by: Sequence[str], measures: Sequence[Measure]) -> bool:
-    """Sums re-aggregate from sums; distinct counts only from a grain that has the column."""
-    counted = aggregate.grain if aggregate.all_groups else frozenset()
+    """Sums re-aggregate from sums, distinct counts from bitmaps or a grain that has the column."""
+    counted = {*(aggregate.grain if aggregate.all_groups else ()), *aggregate.distinct}
     return set(by) <= aggregate.grain and all(
         m.column in (aggregate.sums if m.kind == "sum" else counted) for m in measures
     )
@@ -63,11 +67,17 @@ def aggregate_routing(
     ]
     found = rows.groupBy(*by).agg(*sums) if sums else rows.select(*by).distinct()
     for m in (m for m in measures if m.kind == "distinct_count"):
-        # A blank counts as one value. Duplicates go first, so no task holds a group's values.
-        values = rows.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col(m.column).alias("_value")).distinct()
-        counted = values.groupBy(*[f"_by_{c}" for c in by]).agg(F.count("*").alias(m.name))
+        keys = [f"_by_{c}" for c in by]
+        renamed = [F.col(c).alias(k) for c, k in zip(by, keys, strict=True)]
+        if chosen and m.column in chosen.distinct:
+            stored = chosen.distinct[m.column]()
+            counted = count_bitmaps(stored.select(*renamed, RANGE, BITS), keys, m.name)
+        else:
+            # A blank counts as one value. Duplicates go first, so no task holds a group's values.
+            values = rows.select(*renamed, F.col(m.column).alias("_value")).distinct()
+            counted = values.groupBy(*keys).agg(F.count("*").alias(m.name))
         same = F.lit(True)
         for c in by:
             same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-        found = found.join(counted, same).drop(*[f"_by_{c}" for c in by])
+        found = found.join(counted, same).drop(*keys)
     return found

@@ -15,6 +15,7 @@ from tarnhouse.operators import joins as jn
 from tarnhouse.operators import ranking as rk
 from tarnhouse.operators import sets
 from tarnhouse.operators import shaping as sh
+from tarnhouse.operators.bitmaps import count_bitmaps, distinct_bitmaps, united_bitmaps
 from tarnhouse.operators.routing import Aggregate, Measure, aggregate_routing, choose_aggregate
 from tarnhouse.operators.upsert import latest_per_key
 
@@ -276,3 +277,43 @@ def test_surrogate_keys_have_one_type(spark, monkeypatch):
     monkeypatch.setitem(rk._KEYS, "int", 4)
     with pytest.raises(OverflowError, match="5 rows"):
         rk.surrogate_key(df, ["id"], "k")
+
+
+# -- bitmaps -----------------------------------------------------------------
+
+
+def sales_rows(spark):
+    data = [(2000 + k % 3, k % 7 or None, None if k % 11 == 0 else (k * k - 900) * (40_000 if k % 5 == 0 else 1)) for k in range(400)]
+    return spark.createDataFrame([*data, (None, 1, 5), (None, None, None)], "y int, d int, c long")
+
+
+@pytest.mark.parametrize("by", [["y", "d"], ["y"], ["d"], []])
+def test_bitmaps_count_as_the_base_does(spark, by):
+    """Negative and large values, blanks among values and groups, and counts by fewer columns."""
+    base = sales_rows(spark)
+    stored = distinct_bitmaps(base, ["y", "d"], "c")
+    assert max(len(r["_bits"]) for r in stored.collect()) == 4096
+    want = base.groupBy(*by).agg((F.countDistinct("c") + F.max(F.col("c").isNull().cast("int"))).alias("n"))
+    assert rows(count_bitmaps(stored, by, "n")) == rows(want)
+    assert rows(count_bitmaps(united_bitmaps(stored, by), by, "n")) == rows(want)
+
+
+def test_bitmaps_need_whole_numbers(spark):
+    with pytest.raises(TypeError, match="c is none"):
+        distinct_bitmaps(spark.createDataFrame([("a", 1.5)], "y string, c double"), ["y"], "c")
+    assert count_bitmaps(distinct_bitmaps(sales_rows(spark).limit(0), ["y"], "c"), ["y"], "n").collect() == []
+
+
+def test_routing_counts_from_bitmaps(spark):
+    base = sales_rows(spark).withColumn("q", F.lit(2))
+    bitmaps = distinct_bitmaps(base, ["y"], "c")
+    by_year = Aggregate(
+        "by_year", lambda: ag.sum_by(base, ["y"], {"s": "q"}), frozenset({"y"}), {"q": "s"}, distinct={"c": lambda: bitmaps}
+    )
+    measures = [Measure("n", "distinct_count", "c"), Measure("total", "sum", "q")]
+    assert choose_aggregate([by_year], ["y"], measures) is by_year
+    assert choose_aggregate([by_year], ["y", "d"], measures) is None
+    assert choose_aggregate([by_year], ["y"], [Measure("n", "distinct_count", "d")]) is None
+    for by in (["y"], []):
+        got = aggregate_routing(base, [by_year], by, measures)
+        assert rows(got.select(*by, "n", "total")) == rows(aggregate_routing(base, [], by, measures).select(*by, "n", "total"))
