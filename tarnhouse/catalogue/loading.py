@@ -22,6 +22,7 @@ from tarnhouse.plans.warehouse import create_tables, warehouse_table
 from tarnhouse.session import scratch_path
 from tarnhouse.sources.database import JdbcSource, scan_source_query
 from tarnhouse.sources.lake import LakeTable, hash_layout, range_layout
+from tarnhouse.sources.monthly import MonthlyTable
 
 BATCH = datetime(2024, 3, 1, 6)
 
@@ -103,7 +104,7 @@ def up_to_mark(view: DataFrame) -> DataFrame:
 
 @query("update_then_insert", m.sql(LOADED))
 def update_then_insert_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Without dates the closed window starts at the newest mark stored."""
+    """Without dates the closed window starts at the newest mark stored. The table lies in months."""
     view = stored_view(spark, sf)
     table = warehouse_table(spark, scratch_path(spark, "warehouse"), "SalesOrders")
     table.create(up_to_mark(view))
@@ -150,7 +151,8 @@ def load_gold_full(spark: SparkSession, sf: str) -> DataFrame:
 @query("load_gold_incremental", m.sql(LOADED))
 def load_gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
     view = stored_view(spark, sf)
-    table = LakeTable(spark, scratch_path(spark, "SalesOrders"), ("OrderID", "OrderLineID"), "LastUpdated")
+    keys = ("OrderID", "OrderLineID")
+    table = MonthlyTable(spark, scratch_path(spark, "SalesOrders"), view.schema, "OrderDate", keys, "LastUpdated")
     table.create(up_to_mark(view))
     loads.load_gold_incremental(view, table, scratch_path(spark, "files"), MARK)
     return table.read()

@@ -19,10 +19,12 @@ from tarnhouse.session import local_rows
 from tarnhouse.sources.database import Source, scan_source_query
 from tarnhouse.sources.files import write_staging
 from tarnhouse.sources.lake import LakeTable
+from tarnhouse.sources.monthly import MonthlyTable
 
 # Tables loaded at the same time.
 PARALLEL_LOADS = 4
 
+Table = LakeTable | MonthlyTable
 TableFunction = Callable[[str, str], DataFrame]
 
 SUCCEEDED, FAILED = "Succeeded", "Failed"
@@ -49,7 +51,7 @@ def _now() -> datetime:
 
 def load_full(
     source: DataFrame,
-    table: LakeTable,
+    table: Table,
     start: date | datetime | None = None,
     end: date | datetime | None = None,
 ) -> LoadResult:
@@ -67,7 +69,7 @@ def load_full(
 
 def load_incremental(
     source: DataFrame,
-    table: LakeTable,
+    table: Table,
     staging_root: str,
     start: date | datetime | None = None,
     end: date | datetime | None = None,
@@ -93,14 +95,14 @@ def load_incremental(
     )
 
 
-def load_gold_full(view: DataFrame, table: LakeTable) -> LoadResult:
+def load_gold_full(view: DataFrame, table: Table) -> LoadResult:
     """Copy a silver view whole."""
     return load_full(view, table)
 
 
 def load_gold_incremental(
     view: DataFrame,
-    table: LakeTable,
+    table: Table,
     staging_root: str,
     start: date | datetime | None = None,
     end: date | datetime | None = None,
@@ -111,7 +113,7 @@ def load_gold_incremental(
 
 def load_warehouse(
     view: DataFrame,
-    table: LakeTable,
+    table: Table,
     load_type: str,
     start: date | datetime | None = None,
     end: date | datetime | None = None,
@@ -188,6 +190,7 @@ def run_loads(
     warehouse: bool = False,
     batch: datetime | None = None,
     layouts: Mapping[str, str] | None = None,
+    table_of: Callable[[Row, str], Table | None] | None = None,
 ) -> dict[str, LoadResult]:
     """Load every active control row and write the outcome back.
 
@@ -195,7 +198,8 @@ def run_loads(
     the key of each table and so reads it in parts, or a function of schema and table that gives
     the rows to load. Tables go to ``<root>/Tables`` and
     increments to ``<root>/Files``. ``layouts`` gives the bucket layout of target tables,
-    so that an increment rewrites only the buckets it touches. Up to four loads run at
+    so that an increment rewrites only the buckets it touches; ``table_of`` may give a table of
+    another kind for a control row and its path, such as one in months, or None. Up to four loads run at
     once, each in its own scheduler pool, so under the fair scheduler they share the
     cluster. Each outcome is logged as soon as its load is done, so a run that stops midway
     keeps the marks of the finished tables. Results are named by ``sink_name``; two rows
@@ -210,8 +214,10 @@ def run_loads(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", sink_name(row))
         keys = tuple(k for k in (row["tablekey"], row["tablekey2"]) if k)
         parts = [root, "Tables", row["sinkschema"], row["sinktable"]]
+        path = "/".join(p for p in parts if p)
         layout = (layouts or {}).get(row["sinktable"])
-        table = LakeTable(spark, "/".join(p for p in parts if p), keys, row["datecolumn"], layout)
+        table = table_of(row, path) if table_of else None
+        table = table or LakeTable(spark, path, keys, row["datecolumn"], layout)
         window = (row["startdate"], row["enddate"])
         name = (row["sourceschema"], row["sourcetable"])
         if hasattr(source, "read"):

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from tarnhouse.session import local_rows
 from tarnhouse.sources.lake import LakeTable
+from tarnhouse.sources.monthly import MonthlyTable
 
 # Table and columns.
 TABLES = {
@@ -34,10 +35,22 @@ INCREMENTAL_KEYS = {
     "SalesOrders": ("OrderID", "OrderLineID"),
 }
 
+# The dates by which these facts lie in months.
+DATES = {"InvoicedSales": "InvoiceDate", "SalesOrders": "OrderDate"}
 
-def warehouse_table(spark: SparkSession, root: str, name: str) -> LakeTable:
-    keys = INCREMENTAL_KEYS.get(name, ())
-    return LakeTable(spark, f"{root}/{name}", keys, "LastUpdated" if keys else None)
+WarehouseTable = LakeTable | MonthlyTable
+
+
+def warehouse_fact(spark: SparkSession, path: str, name: str) -> MonthlyTable | None:
+    """A fact of the warehouse at its path, in months, which increments replace one by one; None for others."""
+    if name not in DATES:
+        return None
+    return MonthlyTable(spark, path, TABLES[name], DATES[name], INCREMENTAL_KEYS[name], "LastUpdated")
+
+
+def warehouse_table(spark: SparkSession, root: str, name: str) -> WarehouseTable:
+    path = f"{root}/{name}"
+    return warehouse_fact(spark, path, name) or LakeTable(spark, path)
 
 
 def create_tables(spark: SparkSession, root: str) -> None:

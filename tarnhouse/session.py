@@ -129,3 +129,8 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(folder):
         return []
     return [status.getPath().getName() for status in system.listStatus(folder)]
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
