@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, date, datetime
 from functools import partial
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tarnhouse.operators.filters import filter_enabled, window_predicate
 from tarnhouse.operators.upsert import create_or_upsert, update_then_insert
 from tarnhouse.plans.control import CONTROL_KEYS, FULL
+from tarnhouse.plans.warehouse import warehouse_fact
 from tarnhouse.session import local_rows
 from tarnhouse.sources.database import Source, scan_source_query
 from tarnhouse.sources.files import write_staging
@@ -164,6 +165,10 @@ def run_log(control: LakeTable, batch: datetime, results: Sequence[tuple[Row, Lo
     control.overwrite(local_rows(control.spark, [tuple(r[c] for c in names) for r in merged], stored.schema))
 
 
+def no_table(row: Row, path: str) -> None:
+    return None
+
+
 def control_key(row: Row) -> tuple:
     return tuple(row[c] for c in CONTROL_KEYS)
 
@@ -199,7 +204,8 @@ def run_loads(
     the rows to load. Tables go to ``<root>/Tables`` and
     increments to ``<root>/Files``. ``layouts`` gives the bucket layout of target tables,
     so that an increment rewrites only the buckets it touches; ``table_of`` may give a table of
-    another kind for a control row and its path, such as one in months, or None. Up to four loads run at
+    another kind for a control row and its path, such as one in months, or None. The facts of the
+    warehouse lie in months. Up to four loads run at
     once, each in its own scheduler pool, so under the fair scheduler they share the
     cluster. Each outcome is logged as soon as its load is done, so a run that stops midway
     keeps the marks of the finished tables. Results are named by ``sink_name``; two rows
@@ -216,8 +222,11 @@ def run_loads(
         parts = [root, "Tables", row["sinkschema"], row["sinktable"]]
         path = "/".join(p for p in parts if p)
         layout = (layouts or {}).get(row["sinktable"])
-        table = table_of(row, path) if table_of else None
-        table = table or LakeTable(spark, path, keys, row["datecolumn"], layout)
+        table = LakeTable(spark, path, keys, row["datecolumn"], layout)
+        if given := (table_of or no_table)(row, path):
+            table = given
+        elif warehouse and (fact := warehouse_fact(spark, path, row["sinktable"])):
+            table = replace(fact, keys=keys, mark=row["datecolumn"])
         window = (row["startdate"], row["enddate"])
         name = (row["sourceschema"], row["sourcetable"])
         if hasattr(source, "read"):

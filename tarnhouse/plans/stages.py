@@ -12,7 +12,6 @@ from tarnhouse.operators.shaping import drop_unsupported
 from tarnhouse.plans import silver
 from tarnhouse.plans.calendars import build_calendar, v_calendar
 from tarnhouse.plans.loads import LoadResult, TableFunction, run_loads
-from tarnhouse.plans.warehouse import warehouse_fact
 from tarnhouse.sources import database
 from tarnhouse.sources.lake import LakeTable
 
@@ -134,6 +133,5 @@ def run_stages(
             warehouse=True,
             batch=batch,
             layouts=layouts,
-            table_of=lambda row, path: warehouse_fact(spark, path, row["sinktable"]),
         )
     return done
