@@ -39,8 +39,17 @@ PART = re.compile(r"[A-Za-z0-9+]+")  # between / _ - =
 SHORT = 3
 LETTER = re.compile(r"[A-Za-z]")
 HEXADECIMAL = re.compile(r"[0-9a-fA-F]+")
-# Words joined by marks or capitals, with short numbers: some_name_2, someLongName, path/to/name.
-IDENTIFIER = re.compile(r"[_\-/+=]*(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[a-zA-Z]|[0-9]{1,4})[_\-/+=]+)*(?:[A-Z]?[a-z]{3,}|[A-Z]{3,})+[0-9]{0,4}[_\-/+=]*")
+# Words joined by marks or capitals, with short numbers: some_name2, someLongName, path/to/name.
+# Runs of letters are taken whole (possessive), so that a test takes one pass however long they are.
+MARKS = re.compile(r"[_\-/+=]+")
+WORD = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{2,}|[a-zA-Z]|[0-9]{1,4}")
+LAST_WORD = re.compile(r"(?=[A-Za-z])(?:(?:[A-Z]{3,}+|[A-Z])?[a-z]{3,}+)*+(?:[A-Z]{3,}+)?[0-9]{0,4}")
+
+
+def is_identifier(run: str) -> bool:
+    """Words between marks; the last one may be several joined by capitals, and a short number."""
+    *words, last = MARKS.split(run.strip("_-/+="))
+    return bool(LAST_WORD.fullmatch(last)) and all(map(WORD.fullmatch, words))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -56,7 +65,7 @@ def is_known(run: str) -> bool:
     """A digest, a UUID or an identifier: not reported as random."""
     if HEXADECIMAL.fullmatch(run) and len(run) in DIGEST_LENGTHS:
         return True
-    return bool(UUID.fullmatch(run) or IDENTIFIER.fullmatch(run))
+    return bool(UUID.fullmatch(run)) or is_identifier(run)
 
 
 def without(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import random
 import re
+import time
 
 import numpy as np
 import pytest
 
-from tarnhouse.llm.secrets import find_secrets, is_known, secret_report
+from tarnhouse.llm.secrets import find_secrets, is_identifier, is_known, secret_report
 from tarnhouse.llm.topk import top_k
 
 from .conftest import ROWS, stored
@@ -116,3 +118,38 @@ def test_keys_joined_to_readable_text(spark):
 
 def test_no_documents(no_docs):
     assert secret_report(no_docs).collect() == []
+
+
+# As first written, which tries every way to cut a run of letters: for short runs only.
+SLOW_IDENTIFIER = re.compile(
+    r"[_\-/+=]*(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[a-zA-Z]|[0-9]{1,4})[_\-/+=]+)*(?:[A-Z]?[a-z]{3,}|[A-Z]{3,})+[0-9]{0,4}[_\-/+=]*"
+)
+
+
+def test_identifiers_are_those_of_the_slow_pattern():
+    rng = random.Random(4)
+    seen = set()
+    for _ in range(30_000):
+        run = "".join(rng.choice(["a", "b", "C", "D", "abc", "XYZ", "Word", "7", "12345", "_", "-", "/"]) for _ in range(rng.randint(1, 7)))
+        seen.add(is_identifier(run))
+        assert is_identifier(run) == bool(SLOW_IDENTIFIER.fullmatch(run)), run
+    assert seen == {True, False}
+
+
+@pytest.mark.parametrize("n", [10, 60, 1000, 100_000])
+def test_long_runs_take_no_longer_than_their_length(n):
+    begun = time.perf_counter()
+    for letters in ("a", "A", "aB", "abC", "Abc", "ab_", "abc-", "a1", "7", "_", "+/", "abcdef0123456789"):
+        run = (letters * n)[:n]
+        for tail in ("", "12345", "_12345", "!", "A1", "____"):
+            is_known(run + tail)
+    assert time.perf_counter() - begun < 6
+
+
+@pytest.mark.parametrize("letters", ["a", "Ab", "a_", "0f", "zQ7"])
+def test_a_document_of_one_long_run(spark, letters):
+    begun = time.perf_counter()
+    text = (letters * 100_000)[:100_000] + "12345"
+    rows = spark.createDataFrame([(1, text), (2, f"x {text} y")], "doc_id long, text string")
+    assert len(find_secrets(rows).collect()) == 2
+    assert time.perf_counter() - begun < 30
