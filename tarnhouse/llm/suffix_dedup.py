@@ -3,7 +3,7 @@
 Every byte that lies in a string of ``length`` bytes which also starts earlier is removed. A suffix
 array of everything does not fit in any task, so the work is cut into shards by content:
 
-1. Blocks of documents pick anchors: in each window of ``length`` bytes, the 32 bytes with the
+1. Documents are numbered once and stored in blocks. Blocks pick anchors: in each window of ``length`` bytes, the 32 bytes with the
    smallest hash. Equal windows have equal anchors, so a window whose anchor occurs once in the
    corpus is unique. Anchors of all blocks meet by hash, and the repeated ones are told.
 2. Around repeated anchors, windows are dealt into cells of a few starts; the bytes that all
@@ -62,7 +62,9 @@ def powers(base: int, n: int) -> np.ndarray:
 class Bytes:
     """Documents of a block end to end, in order of id and row, with hashes of any stretch."""
 
-    def __init__(self, docs: np.ndarray, rows: np.ndarray, sizes: np.ndarray, data: bytes, no_id: np.ndarray):
+    def __init__(self, docs: np.ndarray, rows: np.ndarray, sizes: np.ndarray, data: bytes, no_id: np.ndarray, piece: int = PIECE):
+        self.piece = piece
+        self.found: tuple[np.ndarray, ...] = ()  # the anchors, once they are known
         self.docs, self.rows, self.no_id = docs, rows, no_id
         self.data = np.frombuffer(data, dtype=np.uint8)
         self.ends = np.cumsum(sizes)
@@ -83,14 +85,18 @@ class Bytes:
 
     def anchors(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of anchors, and the first and last start of the windows that chose each."""
-        found = [self.piece_anchors(a, length) for a in range(0, len(self.data) - length + 1, PIECE)]
+        found = [self.piece_anchors(a, length) for a in range(0, len(self.data) - length + 1, self.piece)]
         if not found:
             return (np.empty(0, dtype=np.int64),) * 3
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        places, firsts, lasts = (np.concatenate(x) for x in zip(*found, strict=True))
+        # Windows on both sides of a border between pieces can have the same anchor: it is one.
+        new = np.ones(len(places), dtype=bool)
+        new[1:] = places[1:] != places[:-1]
+        return places[new], firsts[new], lasts[np.append(new[1:], True)] if len(places) else lasts
 
     def piece_anchors(self, start: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         width = length - ANCHOR + 1
-        stop = min(start + PIECE, len(self.data) - length + 1)
+        stop = min(start + self.piece, len(self.data) - length + 1)
         at = np.arange(start, stop + width - 1)
         # The hash with the place in its low bits: of equal hashes the leftmost wins.
         low = np.uint64((1 << 24) - 1)
@@ -126,8 +132,8 @@ class Bytes:
         return np.concatenate(keys), np.concatenate(low), np.concatenate(high)
 
 
-def text_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of documents as packed rows."""
+def text_blocks(docs: DataFrame, length: int, block_bytes: int, piece: int) -> DataFrame:
+    """Blocks of documents as packed rows, with their anchors."""
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -136,7 +142,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
                 data = text.encode()
                 held.append((doc is None, NO_ID if doc is None else int(doc), int(rid), data))
                 size += len(data)
-                if size >= BLOCK_BYTES or len(held) >= 100_000:
+                if size >= block_bytes or len(held) >= 100_000:
                     yield packed(held)
                     held, size = [], 0
         if held:
@@ -147,7 +153,9 @@ def text_blocks(docs: DataFrame) -> DataFrame:
         held.sort(key=lambda d: d[:3])
         arrays = [np.array([d[k] for d in held], dtype=t) for k, t in ((1, "i8"), (2, "i8"), (0, "u1"))]
         sizes = np.array([len(d[3]) for d in held], dtype=np.int64)
-        data = pack(*arrays, sizes, b"".join(d[3] for d in held))
+        joined = b"".join(d[3] for d in held)
+        anchors = Bytes(arrays[0], arrays[1], sizes, joined, arrays[2], piece).anchors(length)
+        data = pack(*arrays, sizes, joined, *(x.astype(np.int64) for x in anchors))
         return pd.DataFrame({"block": [name], "data": [data]})
 
     keyed = docs.select(
@@ -159,8 +167,10 @@ def text_blocks(docs: DataFrame) -> DataFrame:
 
 
 def opened(data: bytes) -> Bytes:
-    docs, rows, no_id, sizes, text = unpack(data, "i8", "i8", "u1", "i8", "")
-    return Bytes(docs, rows, sizes, text, no_id)
+    docs, rows, no_id, sizes, text, *anchors = unpack(data, "i8", "i8", "u1", "i8", "", "i8", "i8", "i8")
+    out = Bytes(docs, rows, sizes, text, no_id)
+    out.found = tuple(anchors)
+    return out
 
 
 def bucket_slices(keys: np.ndarray, n_buckets: int) -> Iterator[tuple[int, slice, np.ndarray]]:
@@ -183,8 +193,8 @@ def frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["block", "bucket", "kind", "data"])
 
 
-def anchor_rows(text: Bytes, block: int, length: int, n_buckets: int) -> list[tuple]:
-    places = text.anchors(length)[0]
+def anchor_rows(text: Bytes, block: int, n_buckets: int) -> list[tuple]:
+    places = text.found[0]
     keys, counts = np.unique(text.hash(places, places + ANCHOR), return_counts=True)
     return [
         (block, bucket, CELLS, pack(keys[own], (counts[own] > 1).astype(np.uint8)))
@@ -212,7 +222,7 @@ class Cells:
     def __init__(self, text: Bytes, told: list[bytes], length: int):
         self.text, self.length = text, length
         repeated = np.sort(np.concatenate([unpack(t, "u8")[0] for t in told] or [np.empty(0, np.uint64)]))
-        self.anchors = text.anchors(length)
+        self.anchors = text.found
         hashes = text.hash(self.anchors[0], self.anchors[0] + ANCHOR)
         self.anchors = tuple(x[np.isin(hashes, repeated)] for x in self.anchors)
         self.fill(*self.anchors, CELL)
@@ -370,21 +380,25 @@ def spans_of(block: int, text: Bytes, covered: list[bytes]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["rid", "doc_id", "n_bytes", "kept", "removed"])
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, many: int = 2000) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 100, many: int = 2000, block_bytes: int = BLOCK_BYTES, piece: int = PIECE
+) -> DataFrame:
     """rid, doc_id, n_bytes, kept (the remaining bytes) and removed (byte spans) of each row.
 
     ``many`` is the number of differing surroundings from which a key is cut into single windows.
+    Rows are numbered once, in blocks of about ``block_bytes`` that are stored; ``piece`` windows
+    are handled at once. Neither changes the result.
     """
     if length < ANCHOR + CELL:
         raise ValueError(f"strings must have at least {ANCHOR + CELL} bytes")
     spark = docs.sparkSession
     n_buckets = 8 * shuffle_width(spark)
-    blocks = text_blocks(docs)
+    blocks = Stored(text_blocks(docs, length, block_bytes, piece), "text-blocks").df
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for block, data in zip(batch["block"], batch["data"], strict=True):
-                yield frame(anchor_rows(opened(data), block, length, n_buckets))
+                yield frame(anchor_rows(opened(data), block, n_buckets))
 
     def of_kind(rows: pd.DataFrame, kind: int) -> pd.DataFrame:
         return rows[rows["kind"] == kind]
@@ -445,7 +459,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, many: int = 2000) -> Data
         return rows.groupBy("bucket").applyInPandas(work, ROWS)
 
     def with_blocks(told: DataFrame, work, schema: str) -> DataFrame:
-        return text_blocks(docs).groupBy("block").cogroup(told.groupBy("block")).applyInPandas(work, schema)
+        return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(work, schema)
 
     def at_step(stored: Stored, step: int) -> DataFrame:
         return stored.df.withColumn("step", F.lit(step))

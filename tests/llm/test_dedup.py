@@ -14,7 +14,8 @@ from tarnhouse.llm.components import components
 from tarnhouse.llm.decontamination import contamination_report, decontaminate
 from tarnhouse.llm.line_dedup import dedup_lines, line_report
 from tarnhouse.llm.near_dedup import keep_first, near_duplicates, near_report
-from tarnhouse.llm.suffix_dedup import remove_repeats, repeat_report
+from tarnhouse.llm import suffix_dedup
+from tarnhouse.llm.suffix_dedup import Bytes, remove_repeats, repeat_report
 
 from .conftest import ROWS, SCHEMA, as_text, by_row, stored
 
@@ -67,6 +68,51 @@ def test_repeats(docs, many):
     assert sum(r[2] for r in want) > 2000
 
 
+@pytest.mark.parametrize("piece", [37, 500])
+def test_anchors_do_not_depend_on_pieces(piece):
+    """Each anchor is listed once, with all its windows, wherever the pieces end."""
+    rng = random.Random(5)
+    sizes = np.array([900, 0, 40, 2600, 100, 1500])
+    data = bytes(rng.randrange(97, 105) for _ in range(sizes.sum()))
+    none = np.zeros(len(sizes), dtype=np.int64)
+    whole, cut = (Bytes(none, none, sizes, data, none, p).anchors(100) for p in (1 << 20, piece))
+    assert all(np.array_equal(a, b) for a, b in zip(whole, cut, strict=True))
+    assert len(np.unique(whole[0])) == len(whole[0]) and (whole[2] >= whole[1]).all()
+
+
+@pytest.mark.parametrize("many", [2000, 0])
+def test_repeats_in_small_blocks_and_pieces(docs, many):
+    got = repeat_report(docs, many=many, block_bytes=3000, piece=211)
+    assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == as_text(repeats_by_hand([r[:2] for r in ROWS], 100))
+
+
+def test_repeats_in_the_given_documents(spark, sf):
+    """Whole texts of a given table, in several blocks and many pieces, against brute force."""
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
+    got = repeat_report(table, block_bytes=100_000, piece=4099)
+    assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == as_text(repeats_by_hand(rows, 100))
+
+
+def test_a_new_split_of_the_files_between_steps_changes_nothing(docs, spark, monkeypatch):
+    """Rows are numbered once: later steps read the stored numbers, however the files are cut by then."""
+    settings = iter(["64b", "10mb"] * 20)
+    kept = suffix_dedup.Stored
+
+    def stored_then_split(df, name):
+        out = kept(df, name)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(settings))
+        return out
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(suffix_dedup, "Stored", stored_then_split)
+    try:
+        got = by_row(repeat_report(docs, block_bytes=3000), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == as_text(repeats_by_hand([r[:2] for r in ROWS], 100))
+
+
 def test_repeats_inside_a_document(spark, tmp_path):
     rng = random.Random(2)
     text = "".join(rng.choice("abcdé ") for _ in range(300))
