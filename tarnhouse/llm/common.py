@@ -24,12 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Stored:
-    """A step written to the shared folder, so that a lost executor costs no recomputation."""
+    """A step written to the shared folder, so that a lost executor costs no recomputation.
 
-    def __init__(self, df: DataFrame, name: str):
+    Rows of packed values are not compressed again, as large values take much memory for it.
+    """
+
+    def __init__(self, df: DataFrame, name: str, packed: bool = False):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, name)
-        df.write.parquet(self.path)
+        df.write.options(**({"compression": "none"} if packed else {})).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def remove(self) -> None:

@@ -393,7 +393,7 @@ def remove_repeats(
         raise ValueError(f"strings must have at least {ANCHOR + CELL} bytes")
     spark = docs.sparkSession
     n_buckets = 8 * shuffle_width(spark)
-    blocks = Stored(text_blocks(docs, length, block_bytes, piece), "text-blocks").df
+    blocks = Stored(text_blocks(docs, length, block_bytes, piece), "text-blocks", packed=True).df
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -464,17 +464,17 @@ def remove_repeats(
     def at_step(stored: Stored, step: int) -> DataFrame:
         return stored.df.withColumn("step", F.lit(step))
 
-    repeated = Stored(shards(blocks.mapInPandas(first, ROWS), repeated_anchors), "repeated-anchors")
+    repeated = Stored(shards(blocks.mapInPandas(first, ROWS), repeated_anchors), "repeated-anchors", packed=True)
     release(spark)
     told = with_blocks(at_step(repeated, 1), second, ROWS)
-    classes = Stored(shards(told, lambda g: settle(g, many)), "cell-classes")
+    classes = Stored(shards(told, lambda g: settle(g, many)), "cell-classes", packed=True)
     release(spark)
     before = at_step(repeated, 1).unionByName(at_step(classes, 2))
-    found = Stored(with_blocks(before, third, ROWS), "covered")
+    found = Stored(with_blocks(before, third, ROWS), "covered", packed=True)
     release(spark)
     sent = found.df.where("bucket >= 0")
-    covered = Stored(shards(sent.where(F.col("kind") == CELLS), lambda g: shard_suffixes(g, length)), "shard-covered")
-    windows = Stored(shards(sent.where(F.col("kind") == WINDOWS), lambda g: settle(g, 0)), "window-classes")
+    covered = Stored(shards(sent.where(F.col("kind") == CELLS), lambda g: shard_suffixes(g, length)), "shard-covered", packed=True)
+    windows = Stored(shards(sent.where(F.col("kind") == WINDOWS), lambda g: settle(g, 0)), "window-classes", packed=True)
     release(spark)
     again = windows.df.select("block").distinct()  # only these blocks need their classes once more
     told = (

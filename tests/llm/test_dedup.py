@@ -99,8 +99,8 @@ def test_a_new_split_of_the_files_between_steps_changes_nothing(docs, spark, mon
     settings = iter(["64b", "10mb"] * 20)
     kept = suffix_dedup.Stored
 
-    def stored_then_split(df, name):
-        out = kept(df, name)
+    def stored_then_split(df, name, packed):
+        out = kept(df, name, packed)
         spark.conf.set("spark.sql.files.maxPartitionBytes", next(settings))
         return out
 
