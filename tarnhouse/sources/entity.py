@@ -7,6 +7,9 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tarnhouse.sources.checked import Checked, scan_csv_checked
+from tarnhouse.sources.files import QUOTES
+
 ATTRIBUTE_TYPES = {
     "boolean": T.BooleanType(),
     "date": T.DateType(),
@@ -30,9 +33,25 @@ def entity_schema(entity: dict) -> T.StructType:
     )
 
 
-def scan_entity(spark: SparkSession, model_path: str, name: str, header: bool = False) -> DataFrame:
-    """Read the CSV files of one entity with the schema its attributes declare."""
+def _entity(spark: SparkSession, model_path: str, name: str) -> tuple[T.StructType, list[str]]:
+    """The columns of one entity and where its files lie."""
     entities = {e["name"]: e for e in read_model(spark, model_path)["entities"]}
     entity = entities[name]
-    locations = [p["location"] for p in entity["partitions"]]
-    return spark.read.schema(entity_schema(entity)).option("header", header).csv(locations)
+    return entity_schema(entity), [p["location"] for p in entity["partitions"]]
+
+
+def scan_entity(spark: SparkSession, model_path: str, name: str, header: bool = False) -> DataFrame:
+    """Read the CSV files of one entity with the schema its attributes declare.
+
+    A value that does not fit its attribute is an error, and so is a header with other names
+    or another order.
+    """
+    schema, locations = _entity(spark, model_path, name)
+    options = {"header": header, "mode": "FAILFAST", "enforceSchema": not header, **QUOTES}
+    return spark.read.schema(schema).options(**options).csv(locations)
+
+
+def scan_entity_checked(spark: SparkSession, model_path: str, name: str, header: bool = False) -> Checked:
+    """As ``scan_entity``, with the rows that do not fit set aside."""
+    schema, locations = _entity(spark, model_path, name)
+    return scan_csv_checked(spark, locations, schema, header=header)

@@ -70,8 +70,11 @@ def scan_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def seed_dates(spark: SparkSession, path: str, column: str = "full_moon_date") -> DataFrame:
-    """One-column date seed."""
-    return spark.read.schema(f"{column} date").option("header", True).csv(path)
+    """One-column date seed. A value that is no date, and another header, are errors.
+
+    ``scan_csv_checked`` with the same column sets such rows aside instead.
+    """
+    return scan_csv_typed(spark, path, f"{column} date")
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
