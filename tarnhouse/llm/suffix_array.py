@@ -20,47 +20,54 @@ def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     differs = np.flatnonzero(s[:-1] != s[1:])
     if len(differs):
         rise = s[differs] < s[differs + 1]
-        following = np.searchsorted(differs, np.arange(n - 1))
-        inside = following < len(differs)
-        smaller[:-1][inside] = rise[following[inside]]
+        smaller[: differs[-1] + 1] = np.repeat(rise, np.diff(differs, prepend=-1))
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     induce = induce_by_bucket if symbols <= BY_BUCKET else induce_by_symbol
 
-    # Sort the leftmost-smaller substrings: induce from them in any order within a symbol.
-    order = induce(s, symbols, smaller, lms[np.argsort(s[lms], kind="stable")])
-    is_lms = np.zeros(n, dtype=bool)
-    is_lms[lms] = True
-    sorted_lms = order[is_lms[order]]
-    names = name_substrings(s, smaller, lms, sorted_lms)
+    names = name_substrings(s, smaller, lms)
     distinct = int(names.max()) + 1
+    ranked = np.empty_like(lms)
     if distinct == len(lms):
-        ranked = sorted_lms
+        ranked[names] = lms
     else:
         ranked = lms[suffix_array(names, distinct)]
     return induce(s, symbols, smaller, ranked)
 
 
-def name_substrings(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, sorted_lms: np.ndarray) -> np.ndarray:
-    """In text order, the rank of each leftmost-smaller substring; equal ones share a rank."""
-    place = np.empty(len(s), dtype=np.int64)
-    place[lms] = np.arange(len(lms))
-    lengths = np.concatenate([np.diff(lms) + 1, [1]])
-    a, b = sorted_lms[:-1], sorted_lms[1:]
-    la, lb = lengths[place[a]], lengths[place[b]]
-    equal = la == lb
+def name_substrings(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """In text order, the rank of each leftmost-smaller substring; equal ones share a rank.
+
+    Symbols with their types are compared several at a time, packed in a number; a rank is the
+    number of smaller substrings, and only those that still share theirs are looked at again.
+    """
+    ends = np.append(lms[1:] + 1, len(s))
+    bits = int(s.max()).bit_length() + 1
+    per = max(62 // bits, 1)
+    ranks = np.zeros(len(lms), dtype=np.int64)
+    shared = np.arange(len(lms))
     at = 0
-    open_pairs = np.flatnonzero(equal)
-    while len(open_pairs):
-        x, y = a[open_pairs] + at, b[open_pairs] + at
-        same = (s[x] == s[y]) & (smaller[x] == smaller[y])
-        equal[open_pairs[~same]] = False
-        at += 1
-        open_pairs = open_pairs[same]
-        open_pairs = open_pairs[la[open_pairs] > at]
-    ranks = np.concatenate([[0], np.cumsum(~equal)])
-    names = np.empty(len(lms), dtype=np.int64)
-    names[place[sorted_lms]] = ranks
-    return names
+    while len(shared):
+        start, end = lms[shared] + at, ends[shared]
+        value = np.zeros(len(shared), dtype=np.int64)
+        for k in range(per):
+            place = np.minimum(start + k, len(s) - 1)
+            symbol = s[place] * 2 + smaller[place]  # never 0, as the only 0 is S-type
+            value = value << bits | np.where(start + k < end, symbol, 0)
+        order = np.lexsort((value, ranks[shared])) if at else np.argsort(value)
+        group, value = ranks[shared][order], value[order]
+        first = np.concatenate([[True], (group[1:] != group[:-1]) | (value[1:] != value[:-1])])
+        new_group = np.concatenate([[True], group[1:] != group[:-1]])
+        place = np.arange(len(order))
+        in_group = place - np.maximum.accumulate(np.where(new_group, place, 0))
+        heads = np.flatnonzero(first)
+        sizes = np.diff(np.append(heads, len(order)))
+        shared = shared[order]
+        ranks[shared] = group + np.repeat(in_group[heads], sizes)
+        at += per
+        shared = shared[(np.repeat(sizes, sizes) > 1) & (lms[shared] + at < ends[shared])]
+    present = np.zeros(len(lms), dtype=np.int64)
+    present[ranks] = 1
+    return (np.cumsum(present) - 1)[ranks]
 
 
 def induce_by_bucket(s: np.ndarray, symbols: int, smaller: np.ndarray, ranked: np.ndarray) -> np.ndarray:
@@ -142,6 +149,7 @@ def permuted_common_prefixes(s: np.ndarray, order: np.ndarray, most: int) -> np.
 
     All suffixes are compared together, several symbols packed in a number at a time, so the work
     is linear for a fixed ``most``. The last symbol is unique, so suffixes differ before they end.
+    ``order`` may leave suffixes out; theirs, and that of the first, is 0.
     """
     n = len(s)
     bits = max(int(s.max()).bit_length(), 1)

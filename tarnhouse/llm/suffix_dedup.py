@@ -154,8 +154,10 @@ def text_blocks(docs: DataFrame, length: int, block_bytes: int, piece: int) -> D
         arrays = [np.array([d[k] for d in held], dtype=t) for k, t in ((1, "i8"), (2, "i8"), (0, "u1"))]
         sizes = np.array([len(d[3]) for d in held], dtype=np.int64)
         joined = b"".join(d[3] for d in held)
-        anchors = Bytes(arrays[0], arrays[1], sizes, joined, arrays[2], piece).anchors(length)
-        data = pack(*arrays, sizes, joined, *(x.astype(np.int64) for x in anchors))
+        places, firsts, lasts = Bytes(arrays[0], arrays[1], sizes, joined, arrays[2], piece).anchors(length)
+        steps = np.diff(places, prepend=0).astype(np.int32)
+        anchors = (steps, (places - firsts).astype(np.uint16), (places - lasts).astype(np.uint16))
+        data = pack(*arrays, sizes, joined, *anchors)
         return pd.DataFrame({"block": [name], "data": [data]})
 
     keyed = docs.select(
@@ -167,9 +169,10 @@ def text_blocks(docs: DataFrame, length: int, block_bytes: int, piece: int) -> D
 
 
 def opened(data: bytes) -> Bytes:
-    docs, rows, no_id, sizes, text, *anchors = unpack(data, "i8", "i8", "u1", "i8", "", "i8", "i8", "i8")
+    docs, rows, no_id, sizes, text, steps, firsts, lasts = unpack(data, "i8", "i8", "u1", "i8", "", "i4", "u2", "u2")
     out = Bytes(docs, rows, sizes, text, no_id)
-    out.found = tuple(anchors)
+    places = np.cumsum(steps, dtype=np.int64)
+    out.found = (places, places - firsts, places - lasts)
     return out
 
 
@@ -330,12 +333,12 @@ def shard_suffixes(group: pd.DataFrame, length: int) -> pd.DataFrame:
     s[-1] = 0
     starts = np.cumsum(sizes + 1) - (sizes + 1)
     order = suffix_array(s, 258)
-    common = permuted_common_prefixes(s, order, length)
-    number = np.cumsum(common[order] < length)
-    stretch = np.searchsorted(starts, order, side="right") - 1
+    stretch = np.append(np.repeat(np.arange(n), sizes + 1), n - 1)[order]
     inside = order - starts[stretch]
     window = inside + length <= sizes[stretch]
-    order, number, stretch, inside = order[window], number[window], stretch[window], inside[window]
+    order, stretch, inside = order[window], stretch[window], inside[window]
+    # Equal windows stand together, also with the other suffixes left out.
+    number = np.cumsum(permuted_common_prefixes(s, order, length)[order] < length)
     by_age = np.lexsort((places[stretch] + inside, lines[stretch], docs[stretch], number))
     number, stretch, inside = number[by_age], stretch[by_age], inside[by_age]
     later = np.flatnonzero(number[1:] == number[:-1]) + 1
@@ -389,8 +392,8 @@ def remove_repeats(
     Rows are numbered once, in blocks of about ``block_bytes`` that are stored; ``piece`` windows
     are handled at once. Neither changes the result.
     """
-    if length < ANCHOR + CELL:
-        raise ValueError(f"strings must have at least {ANCHOR + CELL} bytes")
+    if not ANCHOR + CELL <= length < 1 << 16:
+        raise ValueError(f"strings must have {ANCHOR + CELL} bytes at least, and less than 65,536")
     spark = docs.sparkSession
     n_buckets = 8 * shuffle_width(spark)
     blocks = Stored(text_blocks(docs, length, block_bytes, piece), "text-blocks", packed=True).df
