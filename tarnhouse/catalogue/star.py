@@ -13,6 +13,7 @@ from tarnhouse.catalogue.registry import query
 from tarnhouse.plans import calendars as cal
 from tarnhouse.plans import entities as en
 from tarnhouse.plans import gold, silver
+from tarnhouse.plans.star import CUSTOMER, DATE, FACT, ITEM, SUPPLIER, Star, sales_by
 from tarnhouse.session import scratch_path
 from tarnhouse.sources import files as fs
 
@@ -307,13 +308,59 @@ def dim_date(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def fact_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.fact_sales(
-        m.as_text(m.lines(spark, sf)),
-        m.as_text(m.orders(spark, sf)),
-        dim_customer(spark, sf),
-        dim_stock_item(spark, sf),
-        dim_supplier(spark, sf),
-    )
+    """The fact with the keys of stored dimensions, of which only key and id are read."""
+    star = stored_dimensions(spark, sf)
+    return gold.fact_sales(*silver_sales(spark, sf), *(star.read(name) for name in (CUSTOMER, ITEM, SUPPLIER)))
+
+
+def silver_sales(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Order lines and orders as the silver tables hold them, in text."""
+    return m.as_text(m.lines(spark, sf)), m.as_text(m.orders(spark, sf))
+
+
+# Where the star of some tables is stored, by application and tables: its keys are given once.
+_stars: dict[tuple[str, str], Star] = {}
+
+
+def stored_dimensions(spark: SparkSession, sf: str) -> Star:
+    """The star over the given tables, whose dimensions are stored by whoever asks first."""
+    named = (spark.sparkContext.applicationId, sf)
+    if named not in _stars:
+        _stars[named] = Star(spark, scratch_path(spark, "star"))
+    star = _stars[named]
+    makers = {CUSTOMER: dim_customer, ITEM: dim_stock_item, SUPPLIER: dim_supplier, DATE: dim_date}
+    missing = {name: make(spark, sf) for name, make in makers.items() if not star.stored(name)}
+    star.store_dimensions(missing)
+    return star
+
+
+def stored_star(spark: SparkSession, sf: str) -> Star:
+    """The star with its fact, by month."""
+    star = stored_dimensions(spark, sf)
+    if not star.stored(FACT):
+        star.store_fact(*silver_sales(spark, sf))
+    return star
+
+
+@query(
+    "star_sales",
+    m.sql(
+        """SELECT CAST(month(o_orderdate) AS TINYINT) AS Month, SupplierCategoryName,
+        CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS SalesOrderQuantity,
+        CAST(sum(CAST(l_quantity AS INTEGER) * CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS SalesValue
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+        JOIN part ON p_partkey = l_partkey
+        JOIN g_item ON g_item.StockItemID = l_partkey JOIN g_supplier ON g_supplier.SupplierID = g_item.SupplierID
+        JOIN customer ON c_custkey = o_custkey WHERE year(o_orderdate) = 1997 GROUP BY 1, 2""",
+        **STAR,
+    ),
+)
+def star_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """A year's sales by month and supplier category from the stored star, reading that year's months alone."""
+    star = stored_star(spark, sf)
+    categories = star.read(SUPPLIER).select("SupplierKey", "SupplierCategoryName")
+    sales = star.sales_on(F.col("Year") == 1997).join(categories, "SupplierKey")
+    return sales_by(sales, "Month", "SupplierCategoryName")
 
 
 # -- entities: CSV shaped from the given tables, then the whole chain of steps ----
