@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 from tarnhouse.catalogue import model as m
 from tarnhouse.catalogue.registry import query
 from tarnhouse.catalogue.star import SALES_ORDERS_SQL, v_sales_orders
+from tarnhouse.functions.dates import load_time, run_time
 from tarnhouse.operators.filters import filter_date_range
 from tarnhouse.operators.upsert import create_or_upsert, latest_per_key, update_then_insert
 from tarnhouse.operators.upsert import upsert as upsert_rows
-from tarnhouse.plans import loads
+from tarnhouse.plans import loads, silver
 from tarnhouse.plans.control import GOLD, WAREHOUSE, control_rows, control_table
+from tarnhouse.plans.silver import SILVER_FILES
 from tarnhouse.plans.stages import Controls, Source, run_stages
 from tarnhouse.plans.warehouse import create_tables, warehouse_table
 from tarnhouse.session import scratch_path
 from tarnhouse.sources.database import JdbcSource, scan_source_query
+from tarnhouse.sources.files import QUOTES, export_csv
 from tarnhouse.sources.lake import LakeTable, hash_layout, range_layout
 from tarnhouse.sources.monthly import MonthlyTable
 
@@ -332,6 +335,13 @@ STAGED = [
 ]
 
 
+def numbered_groups(rows: DataFrame) -> DataFrame:
+    """Groups and categories are segments, each with a first letter of its own; the warehouse holds numbers."""
+    for column in {"BuyingGroupID", "CustomerCategoryID"} & set(rows.columns):
+        rows = rows.withColumn(column, F.ascii(column))
+    return rows
+
+
 def staged_source(spark: SparkSession, sf: str) -> Source:
     def lines() -> DataFrame:
         return latest_per_key(m.lines(spark, sf), ["OrderID", "OrderLineID"], "LastEditedWhen")
@@ -346,8 +356,8 @@ def staged_source(spark: SparkSession, sf: str) -> Source:
         "Countries": lambda: m.countries(spark, sf).withColumn("Border", nowhere),
         "StateProvinces": lambda: m.states(spark, sf).withColumn("Border", nowhere),
         "Suppliers": lambda: m.suppliers(spark, sf).withColumn("DeliveryLocation", nowhere),
-        "Customers": lambda: m.customers(spark, sf),
-        "BuyingGroups": lambda: m.buying_groups(spark, sf),
+        "Customers": lambda: numbered_groups(m.customers(spark, sf)),
+        "BuyingGroups": lambda: numbered_groups(m.buying_groups(spark, sf)),
         "People": lambda: m.people(spark, sf),
         "Colors": lambda: m.colors(spark, sf),
         "StockItems": lambda: m.stock_items(spark, sf),
@@ -370,8 +380,7 @@ def staged(spark: SparkSession, sf: str, times: int = 1, warehouse: bool = False
     early = F.lit("1995-01-01").cast("timestamp_ntz")
     lists = {"bronze": (STAGED, None), "gold": (GOLD, None)}
     if warehouse:
-        # Here the ids of buying groups are text, which the warehouse's customers cannot hold.
-        lists["warehouse"] = ([row for row in WAREHOUSE if row[4] != "Customer"], "Gold")
+        lists["warehouse"] = (WAREHOUSE, "Gold")
         create_tables(spark, f"{root}/warehouse/Tables/Gold")
     tables = {
         name: loads.control_lake_table(
@@ -432,3 +441,117 @@ def run_stages_warehouse(spark: SparkSession, sf: str) -> DataFrame:
     """All three stages once; the result is the sales-order fact of the warehouse."""
     root = staged(spark, sf, warehouse=True)
     return warehouse_table(spark, f"{root}/warehouse/Tables/Gold", "SalesOrders").read()
+
+
+@query(
+    "warehouse_customer",
+    m.sql(
+        """SELECT CAST(2024 - year(AccountOpenedDate) AS INTEGER) AS YearsCustomer,
+        CAST(ascii(BuyingGroupID) AS INTEGER) AS BuyingGroupID, coalesce(BuyingGroupName, 'Undefined') AS BuyingGroupName,
+        CAST(CreditLimit AS DECIMAL(10,2)) AS CreditLimit, CAST(ascii(CustomerCategoryID) AS INTEGER) AS CustomerCategoryID,
+        CAST(CustomerID AS INTEGER) AS CustomerID, CustomerName, CAST(DeliveryCityID AS INTEGER) AS DeliveryCityID,
+        CityName AS DeliveryCity, StateProvinceName AS DeliveryStateProvince, CountryName AS DeliveryCountry, Region,
+        Subregion, Continent, SalesTerritory, DeliveryPostalCode, IsOnCreditHold,
+        CAST(PaymentDays AS INTEGER) AS PaymentDays, substring(PhoneNumber, 2, 3) AS AreaCode
+        FROM m_customers LEFT JOIN m_groups USING (BuyingGroupID)
+        JOIN (m_cities JOIN m_states USING (StateProvinceID) JOIN m_countries USING (CountryID))
+        ON CityID = DeliveryCityID"""
+    ),
+)
+def warehouse_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers of the warehouse after a run over all stages."""
+    root = staged(spark, sf, warehouse=True)
+    return warehouse_table(spark, f"{root}/warehouse/Tables/Gold", "Customer").read()
+
+
+# -- silver tables from bronze files ---------------------------------------------
+
+BRONZE = {
+    "silver_BuyingGroups": m.buying_groups,
+    "silver_Cities": m.cities,
+    "silver_Colors": m.colors,
+    "silver_Countries": m.countries,
+    "silver_CustomerCategories": m.customer_categories,
+    "silver_Customers": m.customers,
+    "silver_Date": m.calendar,
+    "silver_DeliveryMethods": m.delivery_methods,
+    "silver_PackageTypes": m.package_types,
+    "silver_People": m.people,
+    "silver_SalesOrder": m.orders,
+    "silver_SalesOrderLine": m.lines,
+    "silver_StateProvinces": m.states,
+    "silver_StockItems": m.stock_items,
+    "silver_SupplierCategories": m.supplier_categories,
+    "silver_Suppliers": m.suppliers,
+}
+# The same tables in SQL, and a column of each that identifies its rows.
+BRONZE_SQL = {
+    "silver_BuyingGroups": ("m_groups", "BuyingGroupID"),
+    "silver_Cities": ("m_cities", "CityID"),
+    "silver_Colors": ("m_colors", "ColorID"),
+    "silver_Countries": ("m_countries", "CountryID"),
+    "silver_CustomerCategories": ("m_categories", "CustomerCategoryID"),
+    "silver_Customers": ("m_customers", "CustomerID"),
+    "silver_Date": ("m_calendar", "date"),
+    "silver_DeliveryMethods": ("m_methods", "DeliveryMethodID"),
+    "silver_PackageTypes": ("m_packages", "PackageTypeID"),
+    "silver_People": ("m_people", "PersonID"),
+    "silver_SalesOrder": ("m_orders", "OrderID"),
+    "silver_SalesOrderLine": ("m_lines", "OrderID"),
+    "silver_StateProvinces": ("m_states", "StateProvinceID"),
+    "silver_StockItems": ("m_items", "StockItemID"),
+    "silver_SupplierCategories": ("m_supcats", "SupplierCategoryID"),
+    "silver_Suppliers": ("m_suppliers", "SupplierID"),
+}
+
+
+def bronze_files(spark: SparkSession, sf: str) -> str:
+    """The sixteen tables as pipe-delimited files; orders and their lines in one folder per year."""
+    folder = scratch_path(spark, "bronze-files")
+    for name, make in BRONZE.items():
+        rows, file = make(spark, sf), SILVER_FILES[name]
+        if "*" not in file:
+            export_csv(rows, f"{folder}/{file}", sep="|")
+            continue
+        by_year = rows.withColumn("_year", F.year("LastEditedWhen")).hint("rebalance", "_year")
+        by_year.write.partitionBy("_year").options(header=True, sep="|", **QUOTES).csv(f"{folder}/{file.split('/')[0]}")
+    return folder
+
+
+@query(
+    "load_silver",
+    m.sql(
+        "\nUNION ALL ".join(
+            f"SELECT '{name}' AS name, CAST({key} AS VARCHAR) AS id, count(*) AS n FROM {table} GROUP BY ALL"
+            for name, (table, key) in BRONZE_SQL.items()
+        )
+    ),
+)
+def load_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """All sixteen silver tables from their bronze files: every id, as the text it is stored as."""
+    root = scratch_path(spark, "silver")
+    silver.load_silver(spark, bronze_files(spark, sf), root)
+    parts = [
+        LakeTable(spark, f"{root}/{name}").read().groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n"))
+        .select(F.lit(name).alias("name"), "id", "n")
+        for name, (_, key) in BRONZE_SQL.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "load_stamps",
+    """SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS "rows", current_date AS loaded, CAST(1 AS BIGINT) AS stamps
+    FROM orders GROUP BY 1""",
+)
+def load_stamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables loaded one after the other in one run bear the one time at which it began."""
+    root, stamp = scratch_path(spark, "stamped"), load_time(run_time(spark))
+    orders = m.table(spark, sf, "orders")
+    for status in ("F", "O", "P"):
+        rows = orders.filter(F.col("o_orderstatus") == status).withColumn("loaded", stamp)
+        rows.select("o_orderstatus", "loaded").write.mode("append").parquet(root)
+    stamped = spark.read.parquet(root)
+    return stamped.groupBy("o_orderstatus", F.col("loaded").cast("date").alias("loaded")).agg(
+        F.count("*").alias("rows"), F.lit(stamped.select("loaded").distinct().count()).cast("long").alias("stamps")
+    )

@@ -74,6 +74,29 @@ def daily_amount(spark: SparkSession, sf: str) -> DataFrame:
     return daily_amount_of(trips_of_days(spark, sf, "parquet"))
 
 
+@query(
+    "daily_amount_csv",
+    m.sql(
+        f"""SELECT tpep_pickup_datetime, CAST(sum(total_amount) AS DECIMAL(20,2)) AS total_amount
+        FROM ({TRIP_DAYS_SQL}) GROUP BY 1"""
+    ),
+)
+def daily_amount_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The same aggregate over the typed CSV files of the trips."""
+    return daily_amount_of(trips_of_days(spark, sf, "csv"))
+
+
+@query(
+    "count_check",
+    m.sql(f"""SELECT 'csv' AS kind, count(*) AS "rows" FROM ({TRIP_DAYS_SQL})
+    UNION ALL SELECT 'parquet', count(*) FROM ({TRIP_DAYS_SQL})"""),
+)
+def count_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the trips by kind of file, which must agree."""
+    counts = [ag.count_all(trips_of_days(spark, sf, k)).select(F.lit(k).alias("kind"), "rows") for k in ("csv", "parquet")]
+    return counts[0].unionByName(counts[1])
+
+
 @query(
     "orders_per_year",
     m.sql(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # 0 is Monday, 6 is Sunday.
@@ -87,9 +87,14 @@ def years_customer(opened: str | Column, as_of: str | date | Column | None = Non
     return F.year(today) - F.year(_col(opened))
 
 
-def load_time(as_of: str | None = None) -> Column:
-    """The time of loading, or a fixed one for a load that is repeated."""
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
+def run_time(spark: SparkSession) -> datetime:
+    """The time now, to be given to every load of a run: each query has a current time of its own."""
+    return spark.range(1).select(F.current_timestamp().cast("timestamp_ntz")).first()[0]
+
+
+def load_time(as_of: str | datetime | None = None) -> Column:
+    """The time of loading: that of the run, a fixed one for a load that is repeated, or else of the query."""
+    now = F.current_timestamp() if as_of is None else F.lit(str(as_of))
     return now.cast("timestamp_ntz")
 
 

@@ -106,3 +106,16 @@ def test_split_is_literal(spark, parts, sep):
     for i in range(len(want) + 1):
         expected = want[i] if i < len(want) else None
         assert one(spark, T.split_part("t", sep, i), t=(text, "string")) == expected
+
+
+def test_a_run_has_one_time(spark):
+    from datetime import datetime
+
+    from tarnhouse.functions.dates import load_time, run_time
+
+    now = run_time(spark)
+    assert isinstance(now, datetime)
+    first, second = (spark.range(2).select(load_time(now).alias("t")).first()["t"] for _ in range(2))
+    assert first == second == now
+    later = spark.range(1).select(load_time().alias("t")).first()["t"]
+    assert later >= now and dict(spark.range(1).select(load_time().alias("t")).dtypes) == {"t": "timestamp_ntz"}
