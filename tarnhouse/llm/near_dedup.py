@@ -24,6 +24,7 @@ result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -135,6 +136,21 @@ def children(path: Column, threshold: float) -> Column:
     return F.when(both, F.array_distinct(F.array(child(0), child(1)))).otherwise(F.array(child(0)))
 
 
+def trees_for(threshold: float, depth: int, recall: float) -> int:
+    """How many trees find a pair at the threshold with this probability, if all of its groups stay large.
+
+    A pair goes on below a path if the tokens at one of the path's one or two coordinates agree,
+    each with the probability of the threshold; it is found in a tree if it does so at every level.
+    Groups that get small, or are settled, are compared whole, so that less is lost than this.
+    """
+    two = 1 / threshold - 1
+    stays = 1.0
+    for _ in range(depth):
+        apart = 1 - threshold * stays
+        stays = 1 - ((1 - two) * apart + two * apart * apart)
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - stays)))
+
+
 class Forest:
     """The groups of all trees, level by level, as stored tables of (path, node, n, leader)."""
 
@@ -216,20 +232,31 @@ class Forest:
                 out = out.unionByName(dealt.select("path", "p", "q", "node", "component"))
         return out
 
-    def pairs_between(self, labels: DataFrame) -> DataFrame:
-        """Pairs in a block that are not in one component; blocks within a component vanish."""
-        mixed_blocks = self.blocks(labels).groupBy("path", "p", "q").agg(
-            F.collect_list(F.struct("node", "component")).alias("members"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        ).where("low <> high")
-        one = mixed_blocks.select(F.explode("members").alias("x"), "members")
-        others = F.filter(
-            "members", lambda y: (y["node"] > F.col("x.node")) & (y["component"] != F.col("x.component"))
-        )
-        return one.select(F.col("x.node").alias("a"), F.explode(others).alias("y")).select(
-            "a", F.col("y.node").alias("b")
-        ).distinct()
+    def pairs_between(self, labels: DataFrame, least: int) -> DataFrame:
+        """Pairs in a block that are not in one component and alike by signature.
+
+        Blocks within a component vanish, and a pair leaves its block only if the signatures agree.
+        """
+        keys = ["path", "p", "q"]
+        self.rest.append(Stored(self.blocks(labels), "block-members"))
+        rows = self.rest[-1].df
+        mixed_blocks = rows.groupBy(*keys).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        own = rows.join(mixed_blocks.where("low <> high").select(*keys), keys, "left_semi")
+        own = own.join(self.nodes.select("node", "signature"), "node")
+        members = own.groupBy(*keys).agg(F.collect_list(F.struct("node", "component", "signature")).alias("members"))
+
+        def alike(x: Column) -> Column:
+            """The pairs of one member with those behind it."""
+            near = F.filter(
+                "members",
+                lambda y: (y["node"] > x["node"])
+                & (y["component"] != x["component"])
+                & (equal_coordinates(x["signature"], y["signature"]) >= least),
+            )
+            return F.transform(near, lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
+
+        pairs = members.select(F.explode(F.flatten(F.transform("members", alike))).alias("pair"))
+        return pairs.select("pair.a", "pair.b").distinct()
 
     def remove(self) -> None:
         for stored in [*self.levels, *self.rest]:
@@ -251,12 +278,14 @@ def between_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def equal_coordinates(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, e: n + e)
+
+
 def alike_by_signature(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    equal = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x
-    )
+    equal = equal_coordinates(F.col("sa"), F.col("sb"))
     return pairs.join(left, "a").join(right, "b").where(equal >= least).select("a", "b")
 
 
@@ -311,7 +340,7 @@ def near_duplicates(
     docs: DataFrame,
     percent: int = 85,
     shingle_words: int = 5,
-    trees: int = 10,
+    recall: float = 0.999,
     small: int = 24,
     depth: int = 5,
     margin: float = 0.15,
@@ -320,7 +349,8 @@ def near_duplicates(
 
     Documents are linked if 100 * |intersection| >= percent * |union|. ``is_first`` marks one
     row of each component: the smallest id, then the first row. ``margin`` is how far below the
-    threshold the share of equal coordinates may fall, over four standard deviations.
+    threshold the share of equal coordinates may fall, over four standard deviations. There are
+    as many trees as it takes for ``recall``, see ``trees_for``.
     """
     spark = docs.sparkSession
     rows = Stored(profiles(docs, shingle_words), "profiles")
@@ -333,7 +363,7 @@ def near_duplicates(
     )
     nodes = Stored(classes, "nodes")
     release(spark)
-    forest = Forest(nodes.df, trees, threshold, small, depth)
+    forest = Forest(nodes.df, trees_for(threshold, depth, recall), threshold, small, depth)
     least = int((threshold - margin) * COORDINATES)
     verifier = Verifier(docs, shingle_words, percent)
     labels = None
@@ -345,7 +375,7 @@ def near_duplicates(
         found = verifier.links(alike_by_signature(pairs, nodes.df, least))
         labels = merged(labels, found)
         growing = forest.branch(labels.df)
-    found = verifier.links(alike_by_signature(forest.pairs_between(labels.df), nodes.df, least))
+    found = verifier.links(forest.pairs_between(labels.df, least))
     labels = merged(labels, found)
     verifier.remove()
     forest.remove()

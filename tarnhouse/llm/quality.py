@@ -45,7 +45,7 @@ from tarnhouse.llm.common import BROADCAST_BYTES, Stored, free_name, measured, n
 ORDER = 4
 BITS = 16  # of a character in an n-gram's code
 UNIT = 10_000  # log probabilities are whole numbers of 1 / UNIT, so that sums are exact
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 3 << 20  # a task holds several numbers for each character of a block
 GROUP_TASKS = 16  # scan tasks whose blocks meet one copy of a model shard
 EVIDENCE = 2.0  # nats by which an n-gram must be likelier under the toxic model to count
 BINS = 100  # histogram bins for each factor of e
