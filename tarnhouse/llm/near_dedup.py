@@ -136,6 +136,9 @@ def children(path: Column, threshold: float) -> Column:
     return F.when(both, F.array_distinct(F.array(child(0), child(1)))).otherwise(F.array(child(0)))
 
 
+IN_BLOCK = 192  # nodes of a large group that are compared with as many others in one task
+
+
 def trees_for(threshold: float, depth: int, recall: float) -> int:
     """How many trees find a pair at the threshold with this probability, if all of its groups stay large.
 
@@ -205,17 +208,19 @@ class Forest:
         return True
 
     def blocks(self, labels: DataFrame) -> DataFrame:
-        """Members with their components, by block of at most about 2 * small.
+        """Members with their components, by block of at most about 2 * IN_BLOCK.
 
         Small groups are one block. Others are dealt so that all pairs between components meet,
-        but not those within the largest: the rows grow with the number of nodes outside it.
+        but not those within the largest: the rows grow with the number of nodes outside it. A
+        pair becomes a row only if its signatures agree, so blocks may be much larger than small
+        groups, and a node is in few of them.
         """
         out = None
         for level in self.levels:
             small = with_components(level.df.where(F.col("n") <= self.small), labels)
             small = small.select("path", F.lit(0).alias("p"), F.lit(0).alias("q"), "node", "component")
             out = small if out is None else out.unionByName(small)
-        parts = lambda n: F.ceil(F.col(n) / self.small).cast("int")
+        parts = lambda n: F.ceil(F.col(n) / IN_BLOCK).cast("int")
         upto = lambda n: F.sequence(F.lit(0), parts(n) - 1)
         part = lambda n: F.pmod(F.xxhash64("node"), parts(n)).cast("int")
         for rest in self.rest:
