@@ -22,11 +22,11 @@ BLOCK_DOCS = 60_000  # places in a block are 16-bit numbers
 GROUP_BITS = 33 + 10
 
 
-def pack(*arrays: np.ndarray | bytes) -> bytes:
+def pack(*arrays: np.ndarray | bytes, level: int = 1) -> bytes:
     """Arrays as one compressed value; sizes first."""
     parts = [a if isinstance(a, bytes) else np.ascontiguousarray(a).tobytes() for a in arrays]
     head = struct.pack(f"<{len(parts)}Q", *map(len, parts))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(head + b"".join(parts))
 
 
 def unpack(data: bytes, *kinds: str) -> list[np.ndarray | bytes]:

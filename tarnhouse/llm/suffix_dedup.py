@@ -157,7 +157,7 @@ def text_blocks(docs: DataFrame, length: int, block_bytes: int, piece: int) -> D
         places, firsts, lasts = Bytes(arrays[0], arrays[1], sizes, joined, arrays[2], piece).anchors(length)
         steps = np.diff(places, prepend=0).astype(np.int32)
         anchors = (steps, (places - firsts).astype(np.uint16), (places - lasts).astype(np.uint16))
-        data = pack(*arrays, sizes, joined, *anchors)
+        data = pack(*arrays, sizes, joined, *anchors, level=3)  # written once and shuffled three times
         return pd.DataFrame({"block": [name], "data": [data]})
 
     keyed = docs.select(
