@@ -541,7 +541,7 @@ def load_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "load_stamps",
-    """SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS "rows", current_date AS loaded, CAST(1 AS BIGINT) AS stamps
+    """SELECT o_orderstatus, current_date AS loaded, CAST(count(*) AS BIGINT) AS "rows", CAST(1 AS BIGINT) AS stamps
     FROM orders GROUP BY 1""",
 )
 def load_stamps(spark: SparkSession, sf: str) -> DataFrame:
