@@ -42,6 +42,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_decontamination": CONTAMINATION_SQL,
     "op3_line_dedup": LINE_SQL,
-    "op11_tokenizer_alignment": lambda spark, sf: alignment_report(table(spark, sf, "documents")),
     "op13_centroid_clustering": CLUSTER_SQL,
 }
