@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,9 +54,40 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
+def are_whole_files(docs: DataFrame) -> bool:
+    """Whether the rows are those of Parquet files, each once, so that file and place identify a row."""
+    if "_metadata" in (c.lower() for c in docs.columns):
+        return False
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():
+        return False
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """The documents with the number of their row, which is the same whenever they are scanned."""
-    return docs.withColumn(name, F.monotonically_increasing_id())
+    """The documents with a number of their row in column ``name``.
+
+    The number is the same whenever the result is scanned, however the files are cut into tasks by
+    then: it is made of a hash of the file, tested to tell all files apart, and the row's place in
+    it. Rows that are not simply those of Parquet files are numbered once and stored. So number
+    once and hand the result on.
+    """
+    if are_whole_files(docs):
+        last = F.max("_metadata.row_index").alias("last")
+        files = Stored(docs.groupBy(F.col("_metadata.file_path").alias("file")).agg(last), "row-files")
+        found = files.df.agg(F.count("*").alias("n"), F.max("last").alias("last")).first()
+        bits = max(1, int(found["last"] or 0).bit_length())
+        for seed in range(8):
+            hashed = lambda file: F.pmod(F.xxhash64(F.lit(seed), file), F.lit(1 << (63 - bits)))  # noqa: B023, E731
+            if files.df.agg(F.count_distinct(hashed(F.col("file")))).first()[0] == found["n"]:
+                files.remove()
+                high = F.shiftleft(hashed(F.col("_metadata.file_path")), bits)
+                return docs.withColumn(name, high.bitwiseOR(F.col("_metadata.row_index")))
+        files.remove()
+    return Stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered-rows").df
 
 
 def measured(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:

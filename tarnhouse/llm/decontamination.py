@@ -56,15 +56,25 @@ def benchmark_windows(benchmark: DataFrame, size: int) -> DataFrame:
 
 
 def benchmark_hits(
-    docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_bytes: int = BROADCAST_BYTES
+    docs: DataFrame,
+    benchmark: DataFrame,
+    size: int = 10,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    row: str | None = None,
 ) -> DataFrame:
-    """Per row: rid, doc_id, n_words, hits (at, length) in order of words, and the items they are from."""
+    """Per row: rid, doc_id, n_words, hits (at, length) in order of words, and the items they are from.
+
+    ``row`` is the column that numbers the rows; without one they are numbered here.
+    """
+    if row is None:
+        row = free_name(docs, "row")
+        docs = numbered(docs, row)
     known = Stored(benchmark_windows(benchmark, size), "benchmark-windows").df
     lengths = sorted(r["length"] for r in known.select("length").distinct().collect())  # at most ``size`` rows
     header = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("length"), F.lit("").alias("gram"))
     words = F.col("words")
     split = docs.select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", words_of(F.col("text")).alias("words")
+        F.col(row).alias("rid"), "doc_id", words_of(F.col("text")).alias("words")
     ).withColumn("n_words", F.size(words).cast("long"))
     overlap = max(lengths, default=1) - 1
     begins = F.explode(F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(STRETCH)))
@@ -122,12 +132,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove documents or spans, not {remove}")
     row, words = free_name(docs, "row"), free_name(docs, "hit_words")
-    hits = benchmark_hits(docs, benchmark, **parameters).where(F.size("hits") > 0)
+    rows = numbered(docs, row)
+    hits = benchmark_hits(rows, benchmark, row=row, **parameters).where(F.size("hits") > 0)
     hits = Stored(hits.select(F.col("rid").alias(row), F.col("hits").alias(words)), "benchmark-hits").df
     hits = measured(hits, 40 + 8 * F.size(words))
     if remove == "documents":
-        return numbered(docs, row).join(hits, row, "left_anti").select(*docs.columns)
-    joined = numbered(docs, row).join(hits, row, "left")
+        return rows.join(hits, row, "left_anti").select(*docs.columns)
+    joined = rows.join(hits, row, "left")
     text = F.when(F.col(words).isNull(), F.col("text")).otherwise(without_words(F.col("text"), F.col(words)))
     return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
 

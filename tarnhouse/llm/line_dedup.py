@@ -25,10 +25,10 @@ BAND = 0.25
 SKETCH_BITS = 12
 
 
-def lines_of(docs: DataFrame, site: str) -> DataFrame:
+def lines_of(docs: DataFrame, row: str, site: str) -> DataFrame:
     """rid, doc_id, site, at, and the two halves of the hash of each line that is not blank."""
     keyed = docs.select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", F.col(site).alias("site"), "text"
+        F.col(row).alias("rid"), "doc_id", F.col(site).alias("site"), "text"
     )
     lines = keyed.select("rid", "doc_id", "site", F.posexplode(F.split("text", "\n")).alias("at", "raw"))
     line = F.btrim("raw", F.lit(" \t\r"))
@@ -62,9 +62,9 @@ def boilerplate(lines: DataFrame, min_sites: int) -> DataFrame:
     )
 
 
-def removed_lines(docs: DataFrame, min_sites: int, site: str) -> DataFrame:
+def removed_lines(docs: DataFrame, row: str, min_sites: int, site: str) -> DataFrame:
     """Per row with removals: its number and the places of its removed lines."""
-    lines = lines_of(docs, site)
+    lines = lines_of(docs, row, site)
     found = lines.join(boilerplate(lines, min_sites), ["h1", "h2"])
     later = (F.col("rid") != F.col("first.rid")) | (F.col("at") != F.col("first.at"))
     return found.where(later).groupBy(F.col("rid").alias("line_rid")).agg(F.collect_list("at").alias("removed_at"))
@@ -91,11 +91,12 @@ def dedup_lines(docs: DataFrame, min_sites: int = 8, site: str = "source", drop_
 def with_removals(docs: DataFrame, min_sites: int, site: str) -> tuple[DataFrame, Column]:
     """The documents with the column of their removed lines."""
     row, places = free_name(docs, "row"), free_name(docs, "removed_at")
-    removed = removed_lines(docs, min_sites, site).select(
+    rows = numbered(docs, row)
+    removed = removed_lines(rows, row, min_sites, site).select(
         F.col("line_rid").alias(row), F.col("removed_at").alias(places)
     )
     removed = measured(Stored(removed, "removed-lines").df, 40 + 4 * F.size(places))
-    return numbered(docs, row).join(removed, row, "left"), F.col(places)
+    return rows.join(removed, row, "left"), F.col(places)
 
 
 def line_report(docs: DataFrame, min_sites: int = 8, site: str = "source") -> DataFrame:

@@ -88,7 +88,7 @@ class Shingles:
         return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def profiles(docs: DataFrame, size: int) -> DataFrame:
+def profiles(docs: DataFrame, row: str, size: int) -> DataFrame:
     """rid, doc_id, n_shingles, two hashes of the whole set, and the signature."""
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,7 +104,7 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
             yield pd.concat([batch[["rid", "doc_id"]].reset_index(drop=True), out], axis=1)
 
     keyed = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
+        F.col(row).alias("rid"),
         F.col("doc_id").cast("string").alias("doc_id"),  # pandas has no null in whole numbers
         F.coalesce("text", F.lit("")).alias("text"),
     )
@@ -112,7 +112,7 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
     return keyed.mapInPandas(profile, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+def shingle_sets(docs: DataFrame, row: str, nodes: DataFrame, size: int) -> DataFrame:
     """The full sets of the given nodes, from their representative rows."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,7 +121,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
             own = [shingles.of(t).view(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"node": batch["node"], "shingles": own})
 
-    keyed = docs.select(F.monotonically_increasing_id().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.select(F.col(row).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
     return keyed.join(nodes, "node", "left_semi").mapInPandas(sets, "node long, shingles array<long>")
 
 
@@ -297,8 +297,8 @@ def alike_by_signature(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFr
 class Verifier:
     """Compares full sets; those that were fetched once are kept for later pairs."""
 
-    def __init__(self, docs: DataFrame, size: int, percent: int):
-        self.docs, self.size, self.percent = docs, size, percent
+    def __init__(self, docs: DataFrame, row: str, size: int, percent: int):
+        self.docs, self.row, self.size, self.percent = docs, row, size, percent
         self.sets: list[Stored] = []
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -310,7 +310,7 @@ class Verifier:
         for known in self.sets:
             nodes = nodes.join(known.df.select("node"), "node", "left_anti")
         wanted = Stored(nodes, "candidate-nodes")
-        self.sets.append(Stored(shingle_sets(self.docs, measured(wanted.df, 24), self.size), "shingle-sets"))
+        self.sets.append(Stored(shingle_sets(self.docs, self.row, measured(wanted.df, 24), self.size), "shingle-sets"))
         wanted.remove()
         sets = self.sets[0].df
         for more in self.sets[1:]:
@@ -349,16 +349,21 @@ def near_duplicates(
     small: int = 24,
     depth: int = 5,
     margin: float = 0.15,
+    row: str | None = None,
 ) -> DataFrame:
     """rid, doc_id, n_shingles, component_id and is_first of each row.
 
     Documents are linked if 100 * |intersection| >= percent * |union|. ``is_first`` marks one
     row of each component: the smallest id, then the first row. ``margin`` is how far below the
     threshold the share of equal coordinates may fall, over four standard deviations. There are
-    as many trees as it takes for ``recall``, see ``trees_for``.
+    as many trees as it takes for ``recall``, see ``trees_for``. ``row`` is the column that numbers
+    the rows, see ``numbered``; without one they are numbered here.
     """
     spark = docs.sparkSession
-    rows = Stored(profiles(docs, shingle_words), "profiles")
+    if row is None:
+        row = free_name(docs, "row")
+        docs = numbered(docs, row)
+    rows = Stored(profiles(docs, row, shingle_words), "profiles")
     threshold = percent / 100
     filled = rows.df.where("n_shingles > 0")
     classes = filled.groupBy("set1", "set2", "n_shingles").agg(
@@ -370,7 +375,7 @@ def near_duplicates(
     release(spark)
     forest = Forest(nodes.df, trees_for(threshold, depth, recall), threshold, small, depth)
     least = int((threshold - margin) * COORDINATES)
-    verifier = Verifier(docs, shingle_words, percent)
+    verifier = Verifier(docs, row, shingle_words, percent)
     labels = None
     growing = True
     while growing:
@@ -416,6 +421,7 @@ def near_report(docs: DataFrame, **parameters) -> DataFrame:
 def keep_first(docs: DataFrame, **parameters) -> DataFrame:
     """The documents without all but one of each group of near duplicates."""
     row = free_name(docs, "row")
-    others = near_duplicates(docs, **parameters).where("NOT is_first").select(F.col("rid").alias(row))
+    rows = numbered(docs, row)
+    others = near_duplicates(rows, row=row, **parameters).where("NOT is_first").select(F.col("rid").alias(row))
     others = measured(Stored(others, "other-rows").df, 24)
-    return numbered(docs, row).join(others, row, "left_anti").select(*docs.columns)
+    return rows.join(others, row, "left_anti").select(*docs.columns)

@@ -47,6 +47,7 @@ BITS = 16  # of a character in an n-gram's code
 UNIT = 10_000  # log probabilities are whole numbers of 1 / UNIT, so that sums are exact
 BLOCK_CHARS = 3 << 20  # a task holds several numbers for each character of a block
 GROUP_TASKS = 16  # scan tasks whose blocks meet one copy of a model shard
+SHARD_CODES = 1 << 20  # n-grams of a language in a shard of its model
 EVIDENCE = 2.0  # nats by which an n-gram must be likelier under the toxic model to count
 BINS = 100  # histogram bins for each factor of e
 STRETCH = 200  # words; stretches overlap by half
@@ -85,9 +86,9 @@ def shard_column(code: Column, shards: int) -> Column:
     return F.pmod(code.bitwiseXOR(F.shiftrightunsigned(code, 29)), F.lit(shards)).cast("int")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, row: str) -> DataFrame:
     return docs.select(
-        F.monotonically_increasing_id().alias("rid"),
+        F.col(row).alias("rid"),
         F.col("doc_id").cast("string").alias("doc_id"),  # pandas has no null in whole numbers
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -261,7 +262,7 @@ def worst_stretches(texts: DataFrame, known: DataFrame, classes: DataFrame, broa
     return out
 
 
-def postings(docs: DataFrame, shards: int) -> DataFrame:
+def postings(texts: DataFrame, shards: int) -> DataFrame:
     """N-gram frequencies of blocks of documents of one language, by shard."""
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -292,7 +293,7 @@ def postings(docs: DataFrame, shards: int) -> DataFrame:
                 out.append((lang, shard, block, POSTINGS, pack(codes[own], per_term.astype(np.uint32), d, c)))
         return pd.DataFrame(out, columns=[c.split()[0] for c in PACKED.split(", ")])
 
-    return keyed(docs).mapInPandas(gather, PACKED)
+    return texts.mapInPandas(gather, PACKED)
 
 
 def scored(rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
@@ -329,11 +330,24 @@ def summed(group: pd.DataFrame) -> pd.DataFrame:
 SCORES = "rid long, doc_id string, lang string, n_grams long, known boolean, surprise long, evidence long"
 
 
-def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """rid, doc_id, lang, n_grams, perplexity, toxicity, worst and kind (of label) of each row; stored."""
+def document_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    shards: int = 32,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    row: str | None = None,
+) -> DataFrame:
+    """rid, doc_id, lang, n_grams, perplexity, toxicity, worst and kind (of label) of each row; stored.
+
+    There are ``shards`` of a language's model, and more for one of many n-grams. ``row`` is the
+    column that numbers the rows; without one they are numbered here.
+    """
     spark = docs.sparkSession
+    if row is None:
+        row = free_name(docs, "row")
+        docs = numbered(docs, row)
     classes = measured(Stored(label_classes(labels), "label-classes").df, 40, broadcast_bytes)
-    texts = keyed(docs)
+    texts = keyed(docs, row)
     known = texts.join(classes, texts["doc_id"] == F.col("label_id").cast("string"))
     worst = worst_stretches(texts, known, classes, broadcast_bytes)
     counts = tallied(known, "kind lang").groupBy("kind", "lang", "code").agg(F.sum("n").alias("n"))
@@ -347,6 +361,8 @@ def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadc
     model = KneserNey(counts)
     release(spark)
     codes = Stored(tallied(texts, "lang").select("lang", "code").distinct(), "codes")
+    most = codes.df.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
+    shards = max(shards, -(-most // SHARD_CODES))
     lent = codes.df.join(thin.df, "lang")
     asked = codes.df.unionByName(lent.select(F.lit(EVERY).alias("lang"), "code").distinct()) if borrows else codes.df
     p = model.probabilities(asked).select("kind", "lang", "code", F.log("p").alias("log"), F.lit(False).alias("wide"))
@@ -382,11 +398,9 @@ def document_scores(docs: DataFrame, labels: DataFrame, shards: int = 32, broadc
         logs.remove()
     release(spark)
 
-    tasks = GROUP_TASKS << 33
-    groups = F.floor(F.col("block") / tasks).cast("long")
-    rows = postings(docs, shards).withColumn("part", groups)
-    n_parts = -(-docs.rdd.getNumPartitions() // GROUP_TASKS)  # a plan's number of scan tasks, no job
-    copies = values.df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_parts).cast("long"))))
+    n_parts = max(1, -(-docs.rdd.getNumPartitions() // GROUP_TASKS))  # a plan's number of scan tasks, no job
+    rows = postings(texts, shards).withColumn("part", F.pmod(F.xxhash64("block"), F.lit(n_parts)).cast("long"))
+    copies = values.df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_parts - 1).cast("long"))))
 
     def score(r: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
         return scored(r.drop(columns="part"), m)
@@ -481,7 +495,8 @@ def quality_report(docs: DataFrame, labels: DataFrame, **parameters) -> DataFram
 def keep_good(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
     """The documents that are not rejected."""
     row = free_name(docs, "row")
-    rejected = quality(docs, labels, **parameters).where("rejected").select(F.col("rid").alias(row))
-    return numbered(docs, row).join(
+    rows = numbered(docs, row)
+    rejected = quality(rows, labels, row=row, **parameters).where("rejected").select(F.col("rid").alias(row))
+    return rows.join(
         measured(Stored(rejected, "rejected").df, 24), row, "left_anti"
     ).select(*docs.columns)
