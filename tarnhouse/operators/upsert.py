@@ -131,11 +131,15 @@ def upsert_months(table: MonthlyTable, source: DataFrame) -> UpsertResult:
     """Replace the months that the source touches and leave the files of all others alone.
 
     A row whose date moves to another month touches both; a month left without rows goes. To
-    find the months, only keys are read of the whole target. See ``upsert`` for the rest.
+    find the months, only keys are read of the whole target. A table without rows takes the source
+    as it is, read once, as none of its rows can match. See ``upsert`` for the rest.
     """
     if not table.exists():
         raise FileNotFoundError(f"no table at {table.path}")
     source = conform(source, table.columns)
+    if not table.months():
+        rows = table.append(source)
+        return UpsertResult(rows, rows, 0, table.max_mark())
     new, old = touched_months(table, source)
     if not new:
         return UpsertResult(0, 0, 0, table.max_mark())

@@ -177,3 +177,15 @@ def test_null_keys_are_spread(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_table_without_rows_reads_the_source_once(spark, tmp_path):
+    t = table(spark)
+    t.overwrite(frame(spark))
+    seen = spark.sparkContext.accumulator(0)
+    data = [row(1, "a", 1), row(1, "b", 2, at=9), row(None, "n", None)]
+    source = spark.createDataFrame(spark.sparkContext.parallelize(data).map(lambda r: (seen.add(1), r)[1]), SCHEMA)
+    done = upsert(t, source)
+    assert (done.rows, done.inserted, done.updated, done.max_mark) == (3, 3, 0, datetime(2024, 1, 9))
+    assert t.months() == [NO_MONTH, 202401, 202402] and t.row_count() == 3
+    assert seen.value == 3
