@@ -10,8 +10,10 @@ with probability 1e-9 after one branching and 1e-3 after five.
 Dense groups of near copies never fall apart by branching. So every group is first compared with
 its leader, which is linear, and the verified links are joined to components. A large group within
 one component is settled, as no link in it could change anything. One with few nodes outside its
-largest component is compared in blocks, as are all that are left at the last level; the others
-branch again. The exhaustive comparisons skip pairs that are in one component already.
+largest component is compared in blocks, as are all that are left at the last level. A crowd, whose
+groups of several trees are mostly the same nodes, would stay together in each of them: these groups
+are united, leave the trees, meet a few more leaders at each level and are compared in blocks once.
+The others branch again. The exhaustive comparisons skip pairs that are in one component already.
 
 A pair is a candidate if its signatures agree in enough places, and a link if the full shingle
 sets do. Nothing is capped, and no group is gathered in one task.
@@ -136,7 +138,7 @@ def children(path: Column, threshold: float) -> Column:
     return F.when(both, F.array_distinct(F.array(child(0), child(1)))).otherwise(F.array(child(0)))
 
 
-IN_BLOCK = 192  # nodes of a large group that are compared with as many others in one task
+IN_BLOCK = 768  # nodes of a large group that are compared with as many others in one task
 
 
 def trees_for(threshold: float, depth: int, recall: float) -> int:
@@ -154,8 +156,14 @@ def trees_for(threshold: float, depth: int, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - stays)))
 
 
+LEADERS = 8  # nodes that a crowd's others are compared with at each level
+
+
 class Forest:
-    """The groups of all trees, level by level, as stored tables of (path, node, n, leader)."""
+    """The groups of all trees, level by level, as stored tables of (path, node, n, leader).
+
+    ``crowd`` has the groups that were united over trees and levels, as a stored table of (path, node).
+    """
 
     def __init__(self, nodes: DataFrame, trees: int, threshold: float, small: int, depth: int):
         self.nodes, self.threshold, self.small, self.depth = nodes, threshold, small, depth
@@ -163,49 +171,52 @@ class Forest:
         members = nodes.select("node", "signature", roots.alias("root"))
         self.members = members.select("node", F.explode(children(F.col("root"), threshold)).alias("path"))
         self.levels: list[Stored] = []
+        self.crowd: Stored | None = None
         self.rest: list[Stored] = []
 
     def grow(self) -> DataFrame:
-        """The next level's groups; returns each leader's pairs with its group."""
-        groups = self.members.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
-        level = Stored(self.members.join(groups.where("n > 1"), "path"), "forest")
+        """The next level's groups; returns each leader's pairs with its group, and those of crowds."""
+        members = Stored(self.members, "forest-members")
+        groups = members.df.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
+        level = Stored(members.df.join(groups.where("n > 1"), "path"), "forest")
+        members.remove()
         self.levels.append(level)
-        pairs = level.df.where("node <> leader")
-        return pairs.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = level.df.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+        if self.crowd:
+            drawn = F.xxhash64(F.lit(len(self.levels)), "node")
+            slots = self.crowd.df.groupBy("path", F.pmod(drawn, F.lit(LEADERS)).alias("slot"))
+            leaders = slots.agg(F.min(F.struct(drawn, F.col("node"))).alias("least"))
+            led = self.crowd.df.join(leaders.select("path", F.col("least.node").alias("leader")), "path")
+            led = led.where("node <> leader")
+            pairs = pairs.unionByName(led.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")))
+        return pairs.distinct()
 
     def branch(self, labels: DataFrame) -> bool:
-        """Branches the large groups that are not settled; whether there are any.
+        """Branches the large groups that are not settled; whether there is another level.
 
         A group within one component is settled. One that has few nodes outside its largest
-        component is compared in blocks later, which costs less than more levels; so are all
-        that are left at the last level.
+        component is compared in blocks later, which costs less than more levels; so are crowds,
+        and all that are left at the last level.
         """
+        last = len(self.levels) >= self.depth
         large = self.levels[-1].df.where(F.col("n") > self.small)
         if large.isEmpty():
-            return False
-        rows = Stored(with_components(large, labels), "forest-large")
-        sizes = rows.df.groupBy("path", "component").agg(F.count("*").alias("n"))
-        shape = sizes.groupBy("path").agg(
-            F.max(F.struct("n", "component")).alias("largest"), F.sum("n").alias("total"), F.count("*").alias("kinds")
-        )
-        shape = shape.where("kinds > 1").select(
-            "path",
-            F.col("largest.component").alias("main"),
-            F.col("largest.n").alias("main_n"),
-            (F.col("total") - F.col("largest.n")).alias("other_n"),
-        )
-        shape = Stored(shape, "forest-shape").df
-        last = F.lit(len(self.levels) >= self.depth)
-        in_blocks = last | (F.col("other_n") <= self.small)
-        self.rest.append(Stored(rows.df.join(shape.where(in_blocks), "path"), "forest-rest"))
-        open_groups = shape.where(~in_blocks).select("path")
-        if open_groups.isEmpty():
-            return False
-        members = rows.df.select("path", "node").join(open_groups, "path", "left_semi")
+            return bool(self.crowd) and not last
+        rows = Stored(with_components(at_home(large), labels), "forest-large")
+        shape = Stored(group_shapes(rows.df), "forest-shape").df
+        few = F.col("other_n") <= self.small
+        united = Stored(crowds(rows.df, shape.where(~few)), "forest-united").df
+        many = shape.where(~few).join(united, "path", "left_anti")
+        in_blocks = shape.where(few).unionByName(many) if last else shape.where(few)
+        self.rest.append(Stored(rows.df.drop("home").join(in_blocks, "path"), "forest-rest"))
+        if not united.isEmpty():
+            crowd = members_of(rows.df, united)
+            self.crowd = united_further(crowd.unionByName(self.crowd.df) if self.crowd else crowd)
+        members = rows.df.select("path", "node").join(many.select("path"), "path", "left_semi")
         self.members = members.join(self.nodes.select("node", "signature"), "node").select(
             "node", F.explode(children(F.col("path"), self.threshold)).alias("path")
         )
-        return True
+        return not last and (bool(self.crowd) or not many.isEmpty())
 
     def blocks(self, labels: DataFrame) -> DataFrame:
         """Members with their components, by block of at most about 2 * IN_BLOCK.
@@ -243,36 +254,112 @@ class Forest:
         Blocks within a component vanish, and a pair leaves its block only if the signatures agree.
         """
         keys = ["path", "p", "q"]
+        if self.crowd:
+            known = Stored(with_components(self.crowd.df, labels), "crowd-large").df
+            self.rest.append(Stored(known.join(group_shapes(known), "path"), "crowd-rest"))
         self.rest.append(Stored(self.blocks(labels), "block-members"))
         rows = self.rest[-1].df
         mixed_blocks = rows.groupBy(*keys).agg(F.min("component").alias("low"), F.max("component").alias("high"))
         own = rows.join(mixed_blocks.where("low <> high").select(*keys), keys, "left_semi")
         own = own.join(self.nodes.select("node", "signature"), "node")
         members = own.groupBy(*keys).agg(F.collect_list(F.struct("node", "component", "signature")).alias("members"))
+        members = members.select("members.node", "members.component", F.flatten("members.signature").alias("signature"))
 
-        def alike(x: Column) -> Column:
-            """The pairs of one member with those behind it."""
-            near = F.filter(
-                "members",
-                lambda y: (y["node"] > x["node"])
-                & (y["component"] != x["component"])
-                & (equal_coordinates(x["signature"], y["signature"]) >= least),
-            )
-            return F.transform(near, lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
+        def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for node, component, signature in zip(batch["node"], batch["component"], batch["signature"], strict=True):
+                    for a, b in alike_in_block(np.asarray(node), np.asarray(component), np.asarray(signature), least):
+                        yield pd.DataFrame({"a": a, "b": b})
 
-        pairs = members.select(F.explode(F.flatten(F.transform("members", alike))).alias("pair"))
-        return pairs.select("pair.a", "pair.b").distinct()
+        return members.mapInPandas(alike, "a long, b long").distinct()
 
     def remove(self) -> None:
         for stored in [*self.levels, *self.rest]:
             stored.remove()
+        if self.crowd:
+            self.crowd.remove()
+
+
+def alike_in_block(
+    node: np.ndarray, component: np.ndarray, signature: np.ndarray, least: int, rows: int = 1 << 16
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of a block's members, smaller node first, of different components and alike by signature."""
+    order = np.argsort(node)
+    node, component, signature = node[order], component[order], signature.reshape(len(node), -1)[order]
+    left, right, size = [], [], 0
+    for k in range(len(node) - 1):
+        apart = np.flatnonzero((component[k + 1 :] != component[k]) & (node[k + 1 :] != node[k])) + k + 1
+        near = apart[(signature[apart] == signature[k]).sum(axis=1) >= least]
+        left.append(np.full(len(near), node[k]))
+        right.append(node[near])
+        size += len(near)
+        if size >= rows or (size and k == len(node) - 2):
+            yield np.concatenate(left), np.concatenate(right)
+            left, right, size = [], [], 0
+
+
+def at_home(groups: DataFrame) -> DataFrame:
+    """path, node and the node's home, the largest of its groups; a node has a few in each tree."""
+    own = groups.groupBy("node").agg(
+        F.max(F.struct("n", "path"))["path"].alias("home"), F.collect_list("path").alias("paths")
+    )
+    return own.select("node", "home", F.explode("paths").alias("path"))
+
+
+def group_shapes(rows: DataFrame) -> DataFrame:
+    """path, largest component, its size and that of the rest, of groups that are not settled."""
+    sizes = rows.groupBy("path", "component").agg(F.count("*").alias("n"))
+    shape = sizes.groupBy("path").agg(
+        F.max(F.struct("n", "component")).alias("largest"), F.sum("n").alias("total"), F.count("*").alias("kinds")
+    )
+    return shape.where("kinds > 1").select(
+        "path",
+        F.col("largest.component").alias("main"),
+        F.col("largest.n").alias("main_n"),
+        (F.col("total") - F.col("largest.n")).alias("other_n"),
+    )
+
+
+def crowds(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """path and crowd of those of the groups that are mostly the same nodes as another.
+
+    Groups of which three quarters have the same home are one crowd. Together they are at most so
+    much larger than one of them that comparing all pairs once costs less than doing so in each.
+    """
+    homes = rows.groupBy("path", "home").agg(F.count("*").alias("n")).groupBy("path")
+    homes = homes.agg(F.max(F.struct("n", "home")).alias("most"), F.sum("n").alias("total"))
+    homes = homes.where("most.n * 4 >= total * 3").select("path", F.col("most.home").alias("crowd"))
+    found = groups.select("path").join(homes, "path")
+    several = found.groupBy("crowd").agg(F.count("*").alias("groups")).where("groups > 1").select("crowd")
+    return found.join(several, "crowd", "left_semi").select("path", "crowd")
+
+
+def members_of(rows: DataFrame, united: DataFrame) -> DataFrame:
+    """path and node of the crowds, under paths of their own."""
+    return rows.join(united, "path").select(F.xxhash64("crowd").alias("path"), "node").distinct()
+
+
+def united_further(groups: DataFrame) -> Stored:
+    """The crowds, of (path, node), with those united that are mostly the same nodes, until none are."""
+    current = Stored(groups, "forest-crowd")
+    while True:
+        sizes = current.df.groupBy("path").agg(F.count("*").alias("n"))
+        rows = at_home(current.df.join(sizes, "path"))
+        united = Stored(crowds(rows, sizes), "forest-united").df
+        if united.isEmpty():
+            return current
+        others = current.df.join(united, "path", "left_anti")
+        following = Stored(others.unionByName(members_of(current.df, united)), "forest-crowd")
+        current.remove()
+        current = following
 
 
 def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """path, node and component of the rows; a node without a label is its own component."""
+    """The rows without their sizes, with the component; a node without a label is its own component."""
     known = labels.withColumnRenamed("node", "labelled")
-    rows = rows.join(known, rows["node"] == known["labelled"], "left")
-    return rows.select("path", "node", F.coalesce("component", "node").alias("component"))
+    joined = rows.join(known, rows["node"] == known["labelled"], "left")
+    own = [c for c in ("path", "node", "home") if c in rows.columns]
+    return joined.select(*own, F.coalesce("component", "node").alias("component"))
 
 
 def between_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:

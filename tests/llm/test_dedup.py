@@ -13,7 +13,7 @@ from tarnhouse.llm import suffix_array as sa
 from tarnhouse.llm.components import components
 from tarnhouse.llm.decontamination import contamination_report, decontaminate
 from tarnhouse.llm.line_dedup import dedup_lines, line_report
-from tarnhouse.llm.near_dedup import keep_first, near_duplicates, near_report
+from tarnhouse.llm.near_dedup import alike_in_block, keep_first, near_duplicates, near_report, united_further
 from tarnhouse.llm import suffix_dedup
 from tarnhouse.llm.suffix_dedup import Bytes, remove_repeats, repeat_report
 
@@ -326,3 +326,29 @@ def test_empty_tables(no_docs):
     assert dedup_lines(no_docs, drop_empty=True).collect() == []
     assert near_duplicates(no_docs).collect() == []
     assert keep_first(no_docs).columns == [c.split()[0] for c in SCHEMA.split(", ")]
+
+
+def test_groups_of_mostly_the_same_nodes_are_united(spark):
+    groups = {1: range(40), 2: range(5, 45), 3: range(40, 70), 4: range(100, 140)}
+    rows = spark.createDataFrame([(p, n) for p, nodes in groups.items() for n in nodes], "path long, node long")
+    found = {}
+    for r in united_further(rows).df.collect():
+        found.setdefault(r["path"], []).append(r["node"])
+    united = sorted(sorted(nodes) for nodes in found.values())
+    assert united == [list(range(45)), list(range(40, 70)), list(range(100, 140))]
+    again = spark.createDataFrame([(p, n) for p in (1, 2, 3) for n in range(9 + (p == 3))], "path long, node long")
+    assert sorted(r["node"] for r in united_further(again).df.collect()) == list(range(10))
+
+
+def test_pairs_of_a_block(spark):
+    rng = np.random.default_rng(5)
+    node, component = rng.permutation(60), rng.integers(0, 9, 60)
+    signature = rng.integers(0, 2, (60, 16)).astype(np.int32)
+    want = {
+        (min(node[i], node[k]), max(node[i], node[k]))
+        for i in range(60)
+        for k in range(i)
+        if component[i] != component[k] and (signature[i] == signature[k]).sum() >= 9
+    }
+    found = [p for a, b in alike_in_block(node, component, signature.ravel(), 9, rows=50) for p in zip(a, b, strict=True)]
+    assert len(found) == len(want) and set(found) == want
