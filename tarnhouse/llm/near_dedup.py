@@ -1,22 +1,21 @@
 """Operator 8, MinHash near-dedup by a chosen-path similarity join.
 
-Documents with the same shingle set are one node from the start. Nodes carry a MinHash signature.
-A tree starts from all nodes; each of its groups is branched by a few coordinates that the path
-so far chooses, and nodes with the same token there go on together. Groups of up to ``small``
-nodes are compared exhaustively; larger ones branch again. Independent trees are repeated for
-recall: a pair at the threshold survives a branching with probability 0.87, so ten trees miss it
-with probability 1e-9 after one branching and 1e-3 after five.
-
-Dense groups of near copies never fall apart by branching. So every group is first compared with
-its leader, which is linear, and the verified links are joined to components. A large group within
-one component is settled, as no link in it could change anything. One with few nodes outside its
-largest component is compared in blocks, as are all that are left at the last level. A crowd, whose
-groups of several trees are mostly the same nodes, would stay together in each of them: these groups
-are united, leave the trees, meet a few more leaders at each level and are compared in blocks once.
-The others branch again. The exhaustive comparisons skip pairs that are in one component already.
-
-A pair is a candidate if its signatures agree in enough places, and a link if the full shingle
-sets do. Nothing is capped, and no group is gathered in one task.
+Documents with the same shingle set are one node from the start. Nodes carry a MinHash signature. In
+each of several independent trees a node follows a path of a few coordinates, each of which the path
+so far chooses, and nodes with the same tokens on the way are a group. Groups of up to ``small`` nodes
+after ``FIRST`` coordinates are compared as they are; larger ones go on to ``depth`` coordinates. There
+are so many trees that a pair at the threshold meets with probability ``recall`` even there; after
+``FIRST`` coordinates twelve trees miss it with probability 2e-7.
+
+Inside a block of a group, signatures tell which nodes are alike; those that hang together are a
+cluster, and a cluster that several trees find is kept once. Then the full sets of each cluster are
+compared where they meet, and a block emits no more links than join its nodes. So no pair becomes a
+row, however many are alike, and the rows grow with the number of nodes.
+
+Groups that are still large are cut into parts for this, in each tree in another way. After that,
+those within one component are settled, as no link in them could change anything. The others, of which
+groups with mostly the same nodes are united, are dealt to blocks in which all pairs between their
+components meet. Nothing is capped, and no group is gathered in one task.
 
 A null or empty text, or one without words, has no shingles and no link. Rows are documents one
 by one: repeated rows are exact copies, and rows with a null id take part, their component being
@@ -127,157 +126,206 @@ def shingle_sets(docs: DataFrame, row: str, nodes: DataFrame, size: int) -> Data
     return keyed.join(nodes, "node", "left_semi").mapInPandas(sets, "node long, shingles array<long>")
 
 
-def children(path: Column, threshold: float) -> Column:
-    """Paths below ``path`` for the row's signature: one or two coordinates, 1 / threshold on average."""
-
-    def child(k: int) -> Column:
-        place = F.pmod(F.xxhash64(path, F.lit(k)), F.lit(COORDINATES)).cast("int")
-        return F.xxhash64(path, place, F.get("signature", place))
-
-    both = F.pmod(F.xxhash64(path, F.lit(-1)), F.lit(1000)) < F.lit(int(1000 * (1 / threshold - 1)))
-    return F.when(both, F.array_distinct(F.array(child(0), child(1)))).otherwise(F.array(child(0)))
-
-
+FIRST = 2  # coordinates after which small groups are compared
 IN_BLOCK = 768  # nodes of a large group that are compared with as many others in one task
+IN_NODE = 5000  # shingles on average from which a node counts as several in this
 
 
 def trees_for(threshold: float, depth: int, recall: float) -> int:
-    """How many trees find a pair at the threshold with this probability, if all of its groups stay large.
+    """How many trees find a pair at the threshold with this probability, after so many coordinates."""
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth)))
 
-    A pair goes on below a path if the tokens at one of the path's one or two coordinates agree,
-    each with the probability of the threshold; it is found in a tree if it does so at every level.
-    Groups that get small, or are settled, are compared whole, so that less is lost than this.
-    """
-    two = 1 / threshold - 1
-    stays = 1.0
-    for _ in range(depth):
-        apart = 1 - threshold * stays
-        stays = 1 - ((1 - two) * apart + two * apart * apart)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - stays)))
 
+def path_below(path: Column, steps: int) -> Column:
+    """The path that the row's signature follows from ``path`` on, each coordinate chosen by the path so far."""
+    place = lambda p: F.pmod(F.xxhash64(p), F.lit(COORDINATES)).cast("int")
+    if steps < 1:
+        return path
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(steps)), path, lambda p, _: F.xxhash64(p, F.get("signature", place(p)))
+    )
 
-LEADERS = 8  # nodes that a crowd's others are compared with at each level
 
+def sized(members: DataFrame) -> DataFrame:
+    """The members (path, node, n_shingles) of groups of several nodes, with the size of their group."""
+    heavy = F.ceil(F.sum("n_shingles") / IN_NODE).cast("long")
+    groups = members.groupBy("path").agg(F.count("*").alias("nodes"), F.greatest(F.count("*"), heavy).alias("n"))
+    return members.join(groups.where("nodes > 1").select("path", "n"), "path")
 
-class Forest:
-    """The groups of all trees, level by level, as stored tables of (path, node, n, leader).
 
-    ``crowd`` has the groups that were united over trees and levels, as a stored table of (path, node).
-    """
+class Forest:
+    """The groups of all trees, as stored tables of (path, node, n_shingles, n): small ones, and large ones."""
 
-    def __init__(self, nodes: DataFrame, trees: int, threshold: float, small: int, depth: int):
-        self.nodes, self.threshold, self.small, self.depth = nodes, threshold, small, depth
+    def __init__(self, nodes: DataFrame, trees: int, small: int, depth: int):
+        self.nodes, first = nodes, min(FIRST, depth)
         roots = F.explode(F.sequence(F.lit(1), F.lit(trees)).cast("array<bigint>"))
-        members = nodes.select("node", "signature", roots.alias("root"))
-        self.members = members.select("node", F.explode(children(F.col("root"), threshold)).alias("path"))
-        self.levels: list[Stored] = []
-        self.crowd: Stored | None = None
-        self.rest: list[Stored] = []
-
-    def grow(self) -> DataFrame:
-        """The next level's groups; returns each leader's pairs with its group, and those of crowds."""
-        members = Stored(self.members, "forest-members")
-        groups = members.df.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
-        level = Stored(members.df.join(groups.where("n > 1"), "path"), "forest")
-        members.remove()
-        self.levels.append(level)
-        pairs = level.df.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        if self.crowd:
-            drawn = F.xxhash64(F.lit(len(self.levels)), "node")
-            slots = self.crowd.df.groupBy("path", F.pmod(drawn, F.lit(LEADERS)).alias("slot"))
-            leaders = slots.agg(F.min(F.struct(drawn, F.col("node"))).alias("least"))
-            led = self.crowd.df.join(leaders.select("path", F.col("least.node").alias("leader")), "path")
-            led = led.where("node <> leader")
-            pairs = pairs.unionByName(led.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")))
-        return pairs.distinct()
-
-    def branch(self, labels: DataFrame) -> bool:
-        """Branches the large groups that are not settled; whether there is another level.
-
-        A group within one component is settled. One that has few nodes outside its largest
-        component is compared in blocks later, which costs less than more levels; so are crowds,
-        and all that are left at the last level.
-        """
-        last = len(self.levels) >= self.depth
-        large = self.levels[-1].df.where(F.col("n") > self.small)
-        if large.isEmpty():
-            return bool(self.crowd) and not last
-        rows = Stored(with_components(at_home(large), labels), "forest-large")
-        shape = Stored(group_shapes(rows.df), "forest-shape").df
-        few = F.col("other_n") <= self.small
-        united = Stored(crowds(rows.df, shape.where(~few)), "forest-united").df
-        many = shape.where(~few).join(united, "path", "left_anti")
-        in_blocks = shape.where(few).unionByName(many) if last else shape.where(few)
-        self.rest.append(Stored(rows.df.drop("home").join(in_blocks, "path"), "forest-rest"))
-        if not united.isEmpty():
-            crowd = members_of(rows.df, united)
-            self.crowd = united_further(crowd.unionByName(self.crowd.df) if self.crowd else crowd)
-        members = rows.df.select("path", "node").join(many.select("path"), "path", "left_semi")
-        self.members = members.join(self.nodes.select("node", "signature"), "node").select(
-            "node", F.explode(children(F.col("path"), self.threshold)).alias("path")
-        )
-        return not last and (bool(self.crowd) or not many.isEmpty())
-
-    def blocks(self, labels: DataFrame) -> DataFrame:
-        """Members with their components, by block of at most about 2 * IN_BLOCK.
-
-        Small groups are one block. Others are dealt so that all pairs between components meet,
-        but not those within the largest: the rows grow with the number of nodes outside it. A
-        pair becomes a row only if its signatures agree, so blocks may be much larger than small
-        groups, and a node is in few of them.
-        """
-        out = None
-        for level in self.levels:
-            small = with_components(level.df.where(F.col("n") <= self.small), labels)
-            small = small.select("path", F.lit(0).alias("p"), F.lit(0).alias("q"), "node", "component")
-            out = small if out is None else out.unionByName(small)
-        parts = lambda n: F.ceil(F.col(n) / IN_BLOCK).cast("int")
-        upto = lambda n: F.sequence(F.lit(0), parts(n) - 1)
-        part = lambda n: F.pmod(F.xxhash64("node"), parts(n)).cast("int")
-        for rest in self.rest:
-            main, others = rest.df.where("component = main"), rest.df.where("component <> main")
-            others = others.withColumn("own", part("other_n"))
-            both = [
-                main.withColumn("p", F.explode(upto("other_n"))).withColumn("q", -1 - part("main_n")),
-                others.withColumn("p", F.col("own")).withColumn("q", F.explode(upto("main_n"))).withColumn("q", -1 - F.col("q")),
-                others.withColumn("other", F.explode(upto("other_n")))
-                .withColumn("p", F.least("own", "other"))
-                .withColumn("q", F.greatest("own", "other")),
-            ]
-            for dealt in both:
-                out = out.unionByName(dealt.select("path", "p", "q", "node", "component"))
-        return out
-
-    def pairs_between(self, labels: DataFrame, least: int) -> DataFrame:
-        """Pairs in a block that are not in one component and alike by signature.
-
-        Blocks within a component vanish, and a pair leaves its block only if the signatures agree.
+        members = nodes.select("node", "n_shingles", "signature", roots.alias("root"))
+        members = members.select("node", "n_shingles", path_below(F.col("root"), first).alias("path"))
+        found = Stored(sized(members), "forest")
+        self.stored, self.small = [found], found.df.where(F.col("n") <= small)
+        large = found.df.where(F.col("n") > small)
+        self.large = None if large.isEmpty() else large
+        if self.large is not None and depth > first:
+            members = large.select("path", "node").join(nodes, "node")
+            members = members.select("node", "n_shingles", path_below(F.col("path"), depth - first).alias("path"))
+            deeper = Stored(sized(members), "forest-deeper")
+            self.stored.append(deeper)
+            self.small = self.small.unionByName(deeper.df.where(F.col("n") <= small))
+            large = deeper.df.where(F.col("n") > small)
+            self.large = None if large.isEmpty() else large
+
+    def clusters(self, least: int) -> DataFrame:
+        """cluster and node of nodes that are alike by signature in a small group or a part of a large one.
+
+        A cluster is named by its nodes, so that it is one row for each of them in whatever trees it is found.
         """
-        keys = ["path", "p", "q"]
-        if self.crowd:
-            known = Stored(with_components(self.crowd.df, labels), "crowd-large").df
-            self.rest.append(Stored(known.join(group_shapes(known), "path"), "crowd-rest"))
-        self.rest.append(Stored(self.blocks(labels), "block-members"))
-        rows = self.rest[-1].df
-        mixed_blocks = rows.groupBy(*keys).agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        own = rows.join(mixed_blocks.where("low <> high").select(*keys), keys, "left_semi")
-        own = own.join(self.nodes.select("node", "signature"), "node")
-        members = own.groupBy(*keys).agg(F.collect_list(F.struct("node", "component", "signature")).alias("members"))
-        members = members.select("members.node", "members.component", F.flatten("members.signature").alias("signature"))
+        blocks = self.small.select("path", F.lit(0).alias("part"), "node")
+        if self.large is not None:
+            part = F.pmod(F.xxhash64("path", "node"), parts("n")).cast("int")
+            blocks = blocks.unionByName(self.large.select("path", part.alias("part"), "node"))
+        blocks = blocks.join(self.nodes.select("node", "signature"), "node")
+        blocks = blocks.select(F.xxhash64("path", "part").alias("block"), "node", "signature")
 
         def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for node, component, signature in zip(batch["node"], batch["component"], batch["signature"], strict=True):
-                    for a, b in alike_in_block(np.asarray(node), np.asarray(component), np.asarray(signature), least):
-                        yield pd.DataFrame({"a": a, "b": b})
-
-        return members.mapInPandas(alike, "a long, b long").distinct()
+            for batch, bounds in whole_groups(batches, "block"):
+                node, signature = batch["node"].to_numpy(), np.stack(batch["signature"].to_numpy())
+                out = []
+                for a, b in bounds:
+                    own = np.sort(node[a:b])
+                    labels = np.arange(b - a)
+                    for left, right in alike_in_block(node[a:b], node[a:b], signature[a:b], least):
+                        labels = joined(labels, np.searchsorted(own, left), np.searchsorted(own, right))
+                    names = np.zeros(b - a, dtype=np.uint64)
+                    np.add.at(names, labels, mixed(own.view(np.uint64)))
+                    several = np.bincount(labels, minlength=b - a)[labels] > 1
+                    out.append(np.stack([names[labels].view(np.int64), own], axis=1)[several])
+                yield pd.DataFrame(np.concatenate(out), columns=["cluster", "node"])
+
+        dealt = blocks.repartition("block").sortWithinPartitions("block")
+        return dealt.mapInPandas(alike, "cluster long, node long").distinct()
+
+    def blocks_between(self, labels: DataFrame) -> DataFrame:
+        """cluster, node and component of the large groups that are not settled, by block of about 2 * IN_BLOCK.
+
+        They are dealt so that all pairs between components meet, but not those within the
+        largest: the rows grow with the number of nodes outside it.
+        """
+        crowd = united_further(self.large.select("path", "node"))
+        members = crowd.df.join(self.nodes.select("node", "n_shingles"), "node")
+        weights = members.groupBy("path").agg(F.greatest(F.lit(1.0), F.avg("n_shingles") / IN_NODE).alias("weight"))
+        known = Stored(with_components(crowd.df, labels), "crowd-large")
+        rest = Stored(known.df.join(group_shapes(known.df).join(weights, "path"), "path"), "crowd-rest")
+        crowd.remove()
+        known.remove()
+        self.stored.append(rest)
+        number = lambda n: parts(F.col(n) * F.col("weight"))
+        upto = lambda n: F.sequence(F.lit(0), number(n) - 1)
+        part = lambda n: F.pmod(F.xxhash64("node"), number(n)).cast("int")
+        main, others = rest.df.where("component = main"), rest.df.where("component <> main")
+        others = others.withColumn("own", part("other_n"))
+        out = main.withColumn("p", F.explode(upto("other_n"))).withColumn("q", -1 - part("main_n"))
+        keys = ["path", "p", "q", "node", "component"]
+        out = out.select(*keys)
+        across = others.withColumn("p", F.col("own")).withColumn("q", F.explode(upto("main_n")))
+        out = out.unionByName(across.withColumn("q", -1 - F.col("q")).select(*keys))
+        among = others.withColumn("other", F.explode(upto("other_n")))
+        among = among.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
+        out = out.unionByName(among.select(*keys))
+        return out.select(F.xxhash64("path", "p", "q").alias("cluster"), "node", "component")
 
     def remove(self) -> None:
-        for stored in [*self.levels, *self.rest]:
+        for stored in self.stored:
             stored.remove()
-        if self.crowd:
-            self.crowd.remove()
+
+
+def parts(n: Column | str) -> Column:
+    n = F.col(n) if isinstance(n, str) else n
+    return F.ceil(n / IN_BLOCK).cast("int")
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[tuple[pd.DataFrame, list[tuple[int, int]]]]:
+    """Rows sorted by a key, in batches that hold groups of equal keys whole, with the bounds of these."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pd.concat([held, batch], ignore_index=True)
+        keys = batch[key].to_numpy()
+        firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
+        if len(firsts) > 1:
+            yield batch, list(zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True))
+        held = batch.iloc[firsts[-1] :].copy() if len(firsts) else None
+    if held is not None:
+        yield held, [(0, len(held))]
+
+
+def joined(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The smallest member reachable for each member, after the links of two parallel arrays of members."""
+    while True:
+        low = np.minimum(labels[left], labels[right])
+        new = labels.copy()
+        for end in (left, right):
+            np.minimum.at(new, end, low)
+            np.minimum.at(new, labels[end], low)
+        new = new[new]
+        if (new == labels).all():
+            return labels
+        labels = new
+
+
+def links_in_block(
+    component: np.ndarray, sets: list[np.ndarray], percent: int, step: int = 1024
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links between members of different components, as pairs of members, as many as join what the full sets link.
+
+    Each member meets the lists of members that hold its shingles; shingles of one member are left out.
+    """
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    _, shingle, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    member = np.repeat(np.arange(n), sizes)
+    several = holders[shingle] > 1
+    shingle, member = shingle[several], member[several]
+    lists = member[np.argsort(shingle, kind="stable")]
+    starts = np.cumsum(holders * (holders > 1)) - holders * (holders > 1)
+    own = np.concatenate([[0], np.cumsum(np.bincount(member, minlength=n))])
+    _, labels = np.unique(component, return_inverse=True)
+    before = labels
+    for i in range(n - 1):
+        if (labels[i + 1 :] == labels[i]).all():
+            continue
+        common = np.zeros(n, dtype=np.int64)
+        for a in range(own[i], own[i + 1], step):
+            held = shingle[a : min(a + step, own[i + 1])]
+            lengths = holders[held]
+            ends = np.cumsum(lengths)
+            places = np.repeat(starts[held] - ends + lengths, lengths) + np.arange(ends[-1])
+            common += np.bincount(lists[places], minlength=n)
+        near = common * 100 >= (sizes[i] + sizes - common) * percent
+        near[: i + 1] = False
+        near &= labels != labels[i]
+        if near.any():
+            labels = np.where(np.isin(labels, labels[near]), labels[i], labels)
+    # A star for each component that came about, of one member of each component before.
+    _, firsts = np.unique(before, return_index=True)
+    _, centres, which = np.unique(labels[firsts], return_index=True, return_inverse=True)
+    centres = firsts[centres][which]
+    moved = centres != firsts
+    return centres[moved], firsts[moved]
+
+
+def links_of(clusters: DataFrame, docs: DataFrame, row: str, size: int, percent: int) -> DataFrame:
+    """a and b of links between the components of each cluster, as many as join what the full sets link."""
+    sets = shingle_sets(docs, row, measured(clusters.select("node"), 24), size)
+    rows = sets.join(measured(clusters, 40), "node").repartition("cluster").sortWithinPartitions("cluster")
+
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch, bounds in whole_groups(batches, "cluster"):
+            node, component, own = (batch[c].to_numpy() for c in ("node", "component", "shingles"))
+            for a, b in bounds:
+                left, right = links_in_block(component[a:b], list(own[a:b]), percent)
+                if len(left):
+                    yield pd.DataFrame({"a": node[a:b][left], "b": node[a:b][right]})
+
+    return rows.mapInPandas(links, "a long, b long")
 
 
 def alike_in_block(
@@ -362,89 +410,27 @@ def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.select(*own, F.coalesce("component", "node").alias("component"))
 
 
-def between_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs that are not in one component already."""
-    a = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    b = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
-    return joined.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
-def equal_coordinates(x: Column, y: Column) -> Column:
-    return F.aggregate(F.zip_with(x, y, lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, e: n + e)
-
-
-def alike_by_signature(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    equal = equal_coordinates(F.col("sa"), F.col("sb"))
-    return pairs.join(left, "a").join(right, "b").where(equal >= least).select("a", "b")
-
-
-class Verifier:
-    """Compares full sets; those that were fetched once are kept for later pairs."""
-
-    def __init__(self, docs: DataFrame, row: str, size: int, percent: int):
-        self.docs, self.row, self.size, self.percent = docs, row, size, percent
-        self.sets: list[Stored] = []
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets reach the threshold."""
-        candidates = Stored(pairs, "candidates")
-        if candidates.df.isEmpty():
-            return candidates.df
-        nodes = candidates.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        for known in self.sets:
-            nodes = nodes.join(known.df.select("node"), "node", "left_anti")
-        wanted = Stored(nodes, "candidate-nodes")
-        self.sets.append(Stored(shingle_sets(self.docs, self.row, measured(wanted.df, 24), self.size), "shingle-sets"))
-        wanted.remove()
-        sets = self.sets[0].df
-        for more in self.sets[1:]:
-            sets = sets.unionByName(more.df)
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-        common = F.size(F.array_intersect("sa", "sb")).alias("i")
-        both = candidates.df.join(left, "a").join(right, "b")
-        both = both.select("a", "b", common, (F.size("sa") + F.size("sb")).alias("n"))
-        links = both.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * self.percent).select("a", "b")
-        links = Stored(links, "links").df
-        candidates.remove()
-        release(self.docs.sparkSession)
-        return links
-
-    def remove(self) -> None:
-        for stored in self.sets:
-            stored.remove()
-
-
-def merged(labels: Stored | None, links: DataFrame) -> Stored:
+def merged(labels: Stored, links: DataFrame) -> Stored:
     """The components after more links: each component goes on as a star of its nodes."""
-    if labels is None:
-        return components(links)
     if links.isEmpty():
         return labels
     stars = labels.df.select(F.col("component").alias("a"), F.col("node").alias("b"))
     return components(stars.unionByName(links))
 
 
-def near_duplicates(
+def labelled(
     docs: DataFrame,
     percent: int = 85,
     shingle_words: int = 5,
     recall: float = 0.999,
-    small: int = 24,
+    small: int = IN_BLOCK,
     depth: int = 5,
     margin: float = 0.15,
     row: str | None = None,
 ) -> DataFrame:
-    """rid, doc_id, n_shingles, component_id and is_first of each row.
+    """rid, doc_id, n_shingles, component (by a row number, its own without shingles) and component_id of each row.
 
-    Documents are linked if 100 * |intersection| >= percent * |union|. ``is_first`` marks one
-    row of each component: the smallest id, then the first row. ``margin`` is how far below the
-    threshold the share of equal coordinates may fall, over four standard deviations. There are
-    as many trees as it takes for ``recall``, see ``trees_for``. ``row`` is the column that numbers
-    the rows, see ``numbered``; without one they are numbered here.
+    For the parameters see ``near_duplicates``.
     """
     spark = docs.sparkSession
     if row is None:
@@ -460,38 +446,46 @@ def near_duplicates(
     )
     nodes = Stored(classes, "nodes")
     release(spark)
-    forest = Forest(nodes.df, trees_for(threshold, depth, recall), threshold, small, depth)
-    least = int((threshold - margin) * COORDINATES)
-    verifier = Verifier(docs, row, shingle_words, percent)
-    labels = None
-    growing = True
-    while growing:
-        pairs = forest.grow()
-        if labels:
-            pairs = between_components(pairs, labels.df)
-        found = verifier.links(alike_by_signature(pairs, nodes.df, least))
-        labels = merged(labels, found)
-        growing = forest.branch(labels.df)
-    found = verifier.links(forest.pairs_between(labels.df, least))
-    labels = merged(labels, found)
-    verifier.remove()
+    forest = Forest(nodes.df.select("node", "n_shingles", "signature"), trees_for(threshold, depth, recall), small, depth)
+    clusters = Stored(forest.clusters(int((threshold - margin) * COORDINATES)), "clusters")
+    alone = clusters.df.withColumn("component", F.col("node"))
+    labels = components(links_of(alone, docs, row, shingle_words, percent))
+    clusters.remove()
+    if forest.large is not None:
+        blocks = Stored(forest.blocks_between(labels.df), "blocks")
+        links = Stored(links_of(blocks.df, docs, row, shingle_words, percent), "links")
+        labels = merged(labels, links.df)
+        links.remove()
+        blocks.remove()
     forest.remove()
     release(spark)
 
-    own = nodes.df.select("set1", "set2", "n_shingles", "node", "least_id").join(labels.df, "node", "left")
+    keys = ["set1", "set2", "n_shingles"]
+    own = nodes.df.select(*keys, "node", "least_id").join(labels.df, "node", "left")
     own = own.withColumn("component", F.coalesce("component", "node"))
     smallest = own.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    known = own.join(smallest, "component").select("set1", "set2", "n_shingles", "component", "component_id")
-    keys = ["set1", "set2", "n_shingles"]
+    known = own.join(smallest, "component").select(*keys, "component", "component_id")
     out = rows.df.select("rid", "doc_id", *keys).join(known, keys, "left")
     single = F.col("n_shingles") == 0
-    out = out.select(
+    return out.select(
         "rid",
         "doc_id",
         "n_shingles",
         F.when(single, F.col("rid")).otherwise(F.col("component")).alias("component"),
         F.when(single, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
+    """rid, doc_id, n_shingles, component_id and is_first of each row.
+
+    Documents are linked if 100 * |intersection| >= ``percent`` * |union|. ``is_first`` marks one
+    row of each component: the smallest id, then the first row. ``margin`` is how far below the
+    threshold the share of equal coordinates may fall, over four standard deviations. There are
+    as many trees as it takes for ``recall``, see ``trees_for``. ``row`` is the column that numbers
+    the rows, see ``numbered``; without one they are numbered here.
+    """
+    out = labelled(docs, **parameters)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
     chosen = out.groupBy("component", F.col("n_shingles") == 0).agg(F.min(order).alias("chosen"))
     chosen = chosen.select(F.col("chosen.rid").alias("rid"), F.lit(True).alias("is_first"))
@@ -502,7 +496,7 @@ def near_duplicates(
 
 def near_report(docs: DataFrame, **parameters) -> DataFrame:
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return near_duplicates(docs, **parameters).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    return labelled(docs, **parameters).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def keep_first(docs: DataFrame, **parameters) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tarnhouse.llm import suffix_array as sa
@@ -14,7 +15,8 @@ from tarnhouse.llm.components import components
 from tarnhouse.llm.decontamination import contamination_report, decontaminate
 from tarnhouse.llm.line_dedup import dedup_lines, line_report
 from tarnhouse.llm.near_dedup import alike_in_block, keep_first, near_duplicates, near_report, united_further
-from tarnhouse.llm import suffix_dedup
+from tarnhouse.llm import near_dedup, suffix_dedup
+from tarnhouse.llm.near_dedup import joined, links_in_block, whole_groups
 from tarnhouse.llm.suffix_dedup import Bytes, remove_repeats, repeat_report
 
 from .conftest import ROWS, SCHEMA, as_text, by_row, stored
@@ -352,3 +354,66 @@ def test_pairs_of_a_block(spark):
     }
     found = [p for a, b in alike_in_block(node, component, signature.ravel(), 9, rows=50) for p in zip(a, b, strict=True)]
     assert len(found) == len(want) and set(found) == want
+
+
+def test_crowd_below_the_threshold_takes_few_jobs(spark, tmp_path, monkeypatch):
+    """Copies that are alike in nearly all pairs but hardly linked, in parts that are smaller than their group."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for k in range(90):
+        words = list(base)
+        for at in rng.sample(range(100), 1 + (k % 9 > 0) + (k % 3 > 0)):
+            words[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(words)))
+    df = stored(spark, tmp_path, rows, "doc_id long, text string", "crowd")
+    want = as_text(groups_by_hand(rows, 85))
+    monkeypatch.setattr(near_dedup, "IN_BLOCK", 16)
+    spark.sparkContext.setJobGroup("crowd", "crowd")
+    for small in (1000, 12):
+        got = near_report(df, small=small, depth=3)
+        assert by_row(got, *got.columns) == want
+        if small == 1000:
+            assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("crowd")) < 80  # 57 at the time of writing
+    spark.sparkContext.setJobGroup("rest", "rest")
+
+
+@pytest.mark.parametrize("percent", [60, 85])
+def test_links_of_a_block_join_what_full_sets_link(percent):
+    rng = np.random.default_rng(percent)
+    sets, base = [], rng.integers(0, 1 << 62, 40)
+    for _ in range(50):
+        own = base.copy()
+        own[rng.integers(0, 40, rng.integers(0, 9))] = rng.integers(0, 1 << 62)
+        sets.append(np.unique(np.append(own, rng.integers(0, 1 << 62, rng.integers(0, 4)))))
+    component = rng.integers(0, 45, 50)
+    sets_of = [set(s.tolist()) for s in sets]
+
+    def reached(pairs):
+        labels = {c: c for c in component.tolist()}
+        for i, k in pairs:
+            old, new = labels[component[i]], labels[component[k]]
+            labels = {c: new if x == old else x for c, x in labels.items()}
+        return sorted(sorted(c for c in labels if labels[c] == x) for x in set(labels.values()))
+
+    linked = [
+        (i, k)
+        for i in range(50)
+        for k in range(i)
+        if 100 * len(sets_of[i] & sets_of[k]) >= percent * len(sets_of[i] | sets_of[k])
+    ]
+    left, right = links_in_block(component, sets, percent, step=7)
+    assert reached(zip(left, right, strict=True)) == reached(linked)
+    assert len(left) == len(set(component.tolist())) - len(reached(linked)) > 0
+
+
+def test_members_joined_and_groups_kept_whole():
+    labels = joined(np.arange(7), np.array([6, 2, 5]), np.array([2, 0, 4]))
+    assert labels.tolist() == [0, 1, 0, 3, 4, 4, 0]
+    assert joined(labels, np.array([6]), np.array([5])).tolist() == [0, 1, 0, 3, 0, 0, 0]
+    keys = [1, 1, 2, 3, 3, 3, 3, 5, 6, 6]
+    cuts = [0, 1, 1, 4, 6, 9, 10]
+    batches = [pd.DataFrame({"key": keys[a:b], "n": range(a, b)}) for a, b in zip(cuts, cuts[1:], strict=False)]
+    found = [batch["n"].tolist()[a:b] for batch, bounds in whole_groups(iter(batches), "key") for a, b in bounds]
+    assert found == [[0, 1], [2], [3, 4, 5, 6], [7], [8, 9]]
+    assert list(whole_groups(iter([]), "key")) == []
