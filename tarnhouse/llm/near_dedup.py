@@ -27,10 +27,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnhouse.llm.common import Stored, free_name, measured, numbered, release
@@ -49,7 +50,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 class Shingles:
     """Hashed shingle sets; equal words always hash alike, in every task."""
 
-    def __init__(self, size: int, cache_words: int = 500_000):
+    def __init__(self, size: int, cache_words: int = 30_000):
         import xxhash
 
         rng = np.random.default_rng(SEED)
@@ -89,6 +90,18 @@ class Shingles:
         return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, batch_bytes: int = 4 << 20) -> Iterator[None]:
+    """Texts and sets go to Python in smaller batches, as Spark, Arrow and pandas each hold a copy of one."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(batch_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def profiles(docs: DataFrame, row: str, size: int) -> DataFrame:
     """rid, doc_id, n_shingles, two hashes of the whole set, and the signature."""
 
@@ -436,8 +449,9 @@ def labelled(
     if row is None:
         row = free_name(docs, "row")
         docs = numbered(docs, row)
-    rows = Stored(profiles(docs, row, shingle_words), "profiles")
     threshold = percent / 100
+    with small_batches(spark):
+        rows = Stored(profiles(docs, row, shingle_words), "profiles")
     filled = rows.df.where("n_shingles > 0")
     classes = filled.groupBy("set1", "set2", "n_shingles").agg(
         F.min("rid").alias("node"),
@@ -449,11 +463,13 @@ def labelled(
     forest = Forest(nodes.df.select("node", "n_shingles", "signature"), trees_for(threshold, depth, recall), small, depth)
     clusters = Stored(forest.clusters(int((threshold - margin) * COORDINATES)), "clusters")
     alone = clusters.df.withColumn("component", F.col("node"))
-    labels = components(links_of(alone, docs, row, shingle_words, percent))
+    with small_batches(spark):
+        labels = components(links_of(alone, docs, row, shingle_words, percent))
     clusters.remove()
     if forest.large is not None:
         blocks = Stored(forest.blocks_between(labels.df), "blocks")
-        links = Stored(links_of(blocks.df, docs, row, shingle_words, percent), "links")
+        with small_batches(spark):
+            links = Stored(links_of(blocks.df, docs, row, shingle_words, percent), "links")
         labels = merged(labels, links.df)
         links.remove()
         blocks.remove()

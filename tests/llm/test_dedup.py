@@ -16,7 +16,7 @@ from tarnhouse.llm.decontamination import contamination_report, decontaminate
 from tarnhouse.llm.line_dedup import dedup_lines, line_report
 from tarnhouse.llm.near_dedup import alike_in_block, keep_first, near_duplicates, near_report, united_further
 from tarnhouse.llm import near_dedup, suffix_dedup
-from tarnhouse.llm.near_dedup import joined, links_in_block, whole_groups
+from tarnhouse.llm.near_dedup import Shingles, joined, links_in_block, small_batches, whole_groups
 from tarnhouse.llm.suffix_dedup import Bytes, remove_repeats, repeat_report
 
 from .conftest import ROWS, SCHEMA, as_text, by_row, stored
@@ -417,3 +417,19 @@ def test_members_joined_and_groups_kept_whole():
     found = [batch["n"].tolist()[a:b] for batch, bounds in whole_groups(iter(batches), "key") for a, b in bounds]
     assert found == [[0, 1], [2], [3, 4, 5, 6], [7], [8, 9]]
     assert list(whole_groups(iter([]), "key")) == []
+
+
+def test_little_is_held_for_texts_in_python(spark):
+    """Batches of a few MB, and few words kept with their hashes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    rows = spark.range(4000).selectExpr("repeat(cast(id % 10 as string), 1000) AS text").coalesce(1)
+    sizes = lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches)
+    with small_batches(spark, 100_000):
+        counts = [r["n"] for r in rows.mapInPandas(sizes, "n long").collect()]
+    assert sum(counts) == 4000 and max(counts) < 400
+    assert spark.conf.get(name) == before
+    shingles = Shingles(5)
+    for k in range(50):
+        shingles.of(" ".join(f"w{x}" for x in range(1000 * k, 1000 * k + 1000)))
+    assert len(shingles.words) <= 32_000
